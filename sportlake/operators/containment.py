@@ -97,30 +97,21 @@ def _anchor(name: Column) -> Column:
 def _keys(text: Column, kinds: set[tuple[str, int | None]]) -> Column:
     """All distinct keys of a text, for the kinds of anchors that the names use."""
     words = F.array_distinct(F.split(text, " "))
-    groups = []
-    for kind, length in sorted(kinds, key=str):
-        if kind == WORD:
-            groups.append(F.transform(words, lambda w: _key(F.lit(WORD), w)))
-            continue
-        # Default arguments tie each lambda to its own length.
-        long_enough = F.filter(words, lambda w, n=length: F.length(w) >= n)
-        if kind == START:
-            groups.append(
-                F.transform(
-                    long_enough,
-                    lambda w, n=length: _key(F.lit(START), F.left(w, F.lit(n))),
-                )
-            )
-        else:
-            groups.append(
-                F.flatten(
-                    F.transform(
-                        long_enough,
-                        lambda w, n=length: F.transform(
-                            F.sequence(F.lit(1), F.length(w) - n + 1),
-                            lambda i: _key(F.lit(INSIDE), F.substr(w, i, F.lit(n))),
-                        ),
-                    )
-                )
-            )
+    groups = [_keys_of(words, kind, length) for kind, length in sorted(kinds, key=str)]
     return F.array_distinct(F.concat(*groups))
+
+
+def _keys_of(words: Column, kind: str, length: int | None) -> Column:
+    if kind == WORD:
+        return F.transform(words, lambda w: _key(F.lit(WORD), w))
+    long_enough = F.filter(words, lambda w: F.length(w) >= length)
+    if kind == START:
+        return F.transform(long_enough, lambda w: _key(F.lit(START), F.left(w, F.lit(length))))
+
+    def pieces(word: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.length(word) - length + 1)
+        return F.transform(
+            starts, lambda i: _key(F.lit(INSIDE), F.substr(word, i, F.lit(length)))
+        )
+
+    return F.flatten(F.transform(long_enough, pieces))

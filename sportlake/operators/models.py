@@ -75,12 +75,16 @@ def assign_clusters(
         return total
 
     ranked = F.transform(
-        array,
+        "centers",
         lambda c: F.struct(
             squared_distance(c).alias("distance"), c["cluster"].alias("cluster")
         ),
     )
-    return profile.withColumn("cluster", F.array_min(ranked)["cluster"])
+    return (
+        profile.withColumn("centers", array)
+        .withColumn("cluster", F.array_min(ranked)["cluster"])
+        .drop("centers")
+    )
 
 
 def cluster_means(clustered: DataFrame) -> DataFrame:

@@ -434,7 +434,10 @@ def match_entries(found: DataFrame, players: DataFrame) -> DataFrame:
             ),
         )
         return F.transform(
-            listed, lambda p, i: F.struct(F.lit(section).alias("section"), i.alias("spot"), p)
+            listed,
+            lambda p, i: F.struct(
+                F.lit(section).alias("section"), i.alias("spot"), p.alias("player")
+            ),
         )
 
     listed = (
@@ -451,7 +454,7 @@ def match_entries(found: DataFrame, players: DataFrame) -> DataFrame:
                 )
             ).alias("listed"),
         )
-        .select("request_id", "side", "team_name", "listed.section", "listed.spot", "listed.p.*")
+        .select("request_id", "side", "team_name", "listed.section", "listed.spot", "listed.player.*")
     )
     kinds = {
         "red_cards": "redCards",

@@ -106,7 +106,7 @@ def appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
         "match_id",
         "player_id",
         F.date_add(F.lit(FIRST_DAY).cast("date"), day).alias("match_date"),
-        (2 * slot_of(F.col("match_id")) + player % 2).cast("string").alias("team_id"),
+        (1 + 2 * slot_of(F.col("match_id")) + player % 2).cast("string").alias("team_id"),
         F.when(bench & (turn % 16 == 0), F.lit(None))
         .when(bench, minute)
         .otherwise(0)
@@ -245,8 +245,8 @@ def match_records(spark: SparkSession, sf_dir: str) -> DataFrame:
             goals_2.cast("string"),
         ).alias("label"),
         F.lit("Regular").alias("duration"),
-        F.when(goals_1 > goals_2, 2 * slot)
-        .when(goals_1 < goals_2, 2 * slot + 1)
+        F.when(goals_1 > goals_2, 1 + 2 * slot)
+        .when(goals_1 < goals_2, 2 + 2 * slot)
         .otherwise(0)
         .cast("long")
         .alias("winner"),

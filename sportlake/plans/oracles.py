@@ -89,7 +89,7 @@ ap AS (
   FROM (
     SELECT DISTINCT match_id, player_id,
       CAST(DATE '2024-01-01' + CAST(d AS INTEGER) AS DATE) AS match_date,
-      CAST(2 * (match_id % 1000000000) + player_id % 2 AS VARCHAR) AS team_id,
+      CAST(1 + 2 * (match_id % 1000000000) + player_id % 2 AS VARCHAR) AS team_id,
       player_id + d AS turn,
       CAST(48 + (7 * player_id + 11 * d) % 48 AS INTEGER) AS minute,
       (player_id + d) % 16 <> 0 AS played
@@ -257,7 +257,7 @@ hd AS (
          WHEN w = teams[2] THEN name_2 END AS winner,
     gameweek, venue
   FROM fo JOIN (
-    SELECT *, CASE WHEN g1 > g2 THEN 2 * slot WHEN g1 < g2 THEN 2 * slot + 1 END AS w FROM mt
+    SELECT *, CASE WHEN g1 > g2 THEN 1 + 2 * slot WHEN g1 < g2 THEN 2 + 2 * slot END AS w FROM mt
   ) m USING (match_id)
 ),
 sq AS (
@@ -537,7 +537,7 @@ ORACLES: dict[str, str] = {
         _SIDES + "," + _CHANCES,
     ),
     "player_profile": _with(
-        ("rq", "pl", "tt"),
+        ("rq", "pl", "fp"),
         """SELECT request_id, rq.name, pl.name IS NOT NULL AS registered, birth_area, birth_date,
              foot, role, height, passport_area, weight,
              CASE WHEN pl.name IS NOT NULL THEN coalesce(fouls, 0) END AS fouls,
@@ -551,8 +551,7 @@ ORACLES: dict[str, str] = {
              CASE WHEN pl.name IS NOT NULL THEN coalesce(shots_on_target, 0) END
                AS percent_shots_on_target
            FROM rq LEFT JOIN pl ON rq.name = pl.name
-           LEFT JOIN (SELECT tt.* FROM tt JOIN la USING (player_id)) USING (player_id)
-           WHERE req_type = 2""".replace("FROM tt JOIN la", "FROM tt JOIN (SELECT player_id FROM la)"),
+           LEFT JOIN fp USING (player_id) WHERE req_type = 2""",
     ),
     "resolve_contains": """
         SELECT doc_id, min(item_id) AS item_id
