@@ -3,7 +3,6 @@ from .scalars import (
     age_rounded,
     as_percent,
     fix_label,
-    has_tag,
     is_positive,
     iso_date,
     match_day,
@@ -15,7 +14,6 @@ __all__ = [
     "age_rounded",
     "as_percent",
     "fix_label",
-    "has_tag",
     "is_positive",
     "iso_date",
     "match_day",

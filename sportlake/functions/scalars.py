@@ -15,11 +15,6 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     )
 
 
-def has_tag(tags: Column | str, code: int) -> Column:
-    """Whether the tag array holds the code; a missing array holds nothing."""
-    return F.coalesce(F.array_contains(tags, F.lit(code)), F.lit(False))
-
-
 def iso_date(text: Column | str) -> Column:
     """Date of a ``yyyy-MM-dd`` text, null when it cannot be read."""
     return F.try_to_date(text, "yyyy-MM-dd")

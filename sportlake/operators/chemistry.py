@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import codes
@@ -25,55 +25,51 @@ def pairs(changes: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """
     sizes = (
         changes.groupBy("match_id")
-        .agg(F.count("*").alias("players"))
-        .where(F.col("players") > block_rows)
-        .select("match_id", F.ceil(F.col("players") / block_rows).alias("blocks"))
+        .agg(F.expr(f"ceil(count(*) / {block_rows}) AS blocks"))
+        .where("blocks > 1")
     )
     placed = (
         changes.join(sizes, "match_id", "left")
-        .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-        .withColumn("block", F.expr("pmod(xxhash64(player_id), blocks)"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        .select(
+        .selectExpr(
+            *changes.columns,
+            "pmod(xxhash64(player_id), coalesce(blocks, 1)) AS block",
+            "explode(sequence(0L, coalesce(blocks, 1) - 1)) AS other",
+        )
+        .selectExpr(
             "match_id",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
+            "least(block, other) AS low",
+            "greatest(block, other) AS high",
             "block",
             "player_id",
             "team_id",
             "delta",
         )
     )
-    a, b = placed.alias("a"), placed.alias("b")
-    same_cell = (
-        (F.col("a.match_id") == F.col("b.match_id"))
-        & (F.col("a.low") == F.col("b.low"))
-        & (F.col("a.high") == F.col("b.high"))
-    )
     # Two players of one block share many cells and meet in the diagonal one only.
-    meet = (F.col("a.player_id") < F.col("b.player_id")) & (
-        (F.col("a.block") != F.col("b.block")) | (F.col("a.low") == F.col("a.high"))
+    meet = F.expr(
+        """a.match_id = b.match_id AND a.low = b.low AND a.high = b.high
+           AND a.player_id < b.player_id AND (a.block <> b.block OR a.low = a.high)"""
     )
-    return a.join(b, same_cell & meet).select(
-        F.col("a.match_id").alias("match_id"),
-        F.col("a.player_id").alias("player_a"),
-        F.col("b.player_id").alias("player_b"),
-        contribution(
-            F.col("a.delta"), F.col("b.delta"), F.col("a.team_id") == F.col("b.team_id")
-        ).alias("contribution"),
+    return (
+        placed.alias("a")
+        .join(placed.alias("b"), meet)
+        .selectExpr(
+            "a.match_id",
+            "a.player_id AS player_a",
+            "b.player_id AS player_b",
+            f"{_CONTRIBUTION} AS contribution",
+        )
     )
 
 
-def contribution(change_a: Column, change_b: Column, same_team: Column) -> Column:
-    """What one shared match adds to a pair's coefficient.
-
-    Team mates gain by changing alike and lose by strictly opposite changes; for
-    opponents it is the other way round. A change of zero is opposite to nothing.
-    """
-    mean = (change_a + change_b) / 2
-    opposite = ((change_a > 0) & (change_b < 0)) | ((change_a < 0) & (change_b > 0))
-    together = F.when(opposite, -F.abs(mean)).otherwise(mean)
-    return F.when(same_team, together).otherwise(-together)
+# What one shared match adds to a pair's coefficient. Team mates gain by changing alike and
+# lose by strictly opposite changes; for opponents it is the other way round. A change of
+# zero is opposite to nothing.
+_MEAN = "(a.delta + b.delta) / 2"
+_OPPOSITE = "(a.delta > 0 AND b.delta < 0 OR a.delta < 0 AND b.delta > 0)"
+_TOGETHER = f"CASE WHEN {_OPPOSITE} THEN -abs({_MEAN}) ELSE {_MEAN} END"
+_CONTRIBUTION = f"""
+    CASE WHEN a.team_id = b.team_id THEN {_TOGETHER} ELSE -({_TOGETHER}) END"""
 
 
 def contributions(paired: DataFrame) -> DataFrame:
@@ -99,9 +95,8 @@ def chemistry(rated: DataFrame) -> DataFrame:
 
 def mirrored(coeffs: DataFrame) -> DataFrame:
     """Both directions of every pair."""
-    a, b, c = F.col("player_a"), F.col("player_b"), F.col("coeff")
-
-    def edge(x: Column, y: Column) -> Column:
-        return F.struct(x.alias("player_a"), y.alias("player_b"), c.alias("coeff"))
-
-    return coeffs.select(F.inline(F.array(edge(a, b), edge(b, a))))
+    return coeffs.selectExpr(
+        """inline(array(
+             struct(player_a, player_b, coeff),
+             named_struct('player_a', player_b, 'player_b', player_a, 'coeff', coeff)))"""
+    )

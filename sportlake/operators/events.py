@@ -6,7 +6,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import codes
-from ..functions import has_tag, ratio
+
+
+def _tagged(code: int) -> str:
+    return f"coalesce(array_contains(tags, {code}), false)"
+
+
+_ACCURATE = _tagged(codes.TAG_ACCURATE)
+_KEY = _tagged(codes.TAG_KEY_PASS)
+_GOAL = _tagged(codes.TAG_GOAL)
+_PASS = f"event_code = {codes.PASS}"
+_DUEL = f"event_code = {codes.DUEL}"
+_SHOT = f"event_code = {codes.SHOT}"
+_FREE_KICK = f"event_code = {codes.FREE_KICK}"
+_FOUL = f"event_code = {codes.FOUL}"
+
+# Condition under which an event counts, per counter.
+CONDITIONS = {
+    "anp": f"{_PASS} AND {_ACCURATE} AND NOT {_KEY}",
+    "akp": f"{_PASS} AND {_ACCURATE} AND {_KEY}",
+    "np": f"{_PASS} AND NOT {_KEY}",
+    "kp": f"{_PASS} AND {_KEY}",
+    "dw": f"{_DUEL} AND {_tagged(codes.TAG_WON)}",
+    "nd": f"{_DUEL} AND {_tagged(codes.TAG_NEUTRAL)}",
+    "td": _DUEL,
+    "shots": _SHOT,
+    "on_target_goal": f"{_SHOT} AND {_ACCURATE} AND {_GOAL}",
+    "on_target_notgoal": f"{_SHOT} AND {_ACCURATE} AND NOT {_GOAL}",
+    "on_target": f"{_SHOT} AND {_ACCURATE}",
+    "fouls": _FOUL,
+    "own_goals": _tagged(codes.TAG_OWN_GOAL),
+    "free_kicks": _FREE_KICK,
+    "eff_free_kicks": f"{_FREE_KICK} AND {_ACCURATE}",
+    "penalties": f"{_FREE_KICK} AND sub_event = {codes.PENALTY} AND {_GOAL}",
+    "goals": f"({_PASS} OR {_DUEL} OR {_SHOT} OR {_FREE_KICK} OR {_FOUL}) AND {_GOAL}",
+}
 
 
 def classify(events: DataFrame) -> DataFrame:
@@ -15,41 +49,10 @@ def classify(events: DataFrame) -> DataFrame:
     Goals count for the five known kinds of event only. An own goal counts for any event;
     events of other kinds add nothing else.
     """
-    code = F.col("event_code")
-    goal = has_tag("tags", codes.TAG_GOAL)
-    own_goal = has_tag("tags", codes.TAG_OWN_GOAL)
-    accurate = has_tag("tags", codes.TAG_ACCURATE)
-    key = has_tag("tags", codes.TAG_KEY_PASS)
-
-    passed = code == codes.PASS
-    duel = code == codes.DUEL
-    shot = code == codes.SHOT
-    free_kick = code == codes.FREE_KICK
-    known = code.isin(codes.PASS, codes.DUEL, codes.SHOT, codes.FREE_KICK, codes.FOUL)
-
-    conditions = {
-        "anp": passed & accurate & ~key,
-        "akp": passed & accurate & key,
-        "np": passed & ~key,
-        "kp": passed & key,
-        "dw": duel & has_tag("tags", codes.TAG_WON),
-        "nd": duel & has_tag("tags", codes.TAG_NEUTRAL),
-        "td": duel,
-        "shots": shot,
-        "on_target_goal": shot & accurate & goal,
-        "on_target_notgoal": shot & accurate & ~goal,
-        "on_target": shot & accurate,
-        "fouls": code == codes.FOUL,
-        "own_goals": own_goal,
-        "free_kicks": free_kick,
-        "eff_free_kicks": free_kick & accurate,
-        "penalties": free_kick & (F.col("sub_event") == codes.PENALTY) & goal,
-        "goals": known & goal,
-    }
-    return events.select(
+    return events.selectExpr(
         "match_id",
         "player_id",
-        *[F.when(conditions[c], 1).otherwise(0).alias(c) for c in codes.COUNTERS],
+        *[f"CASE WHEN {CONDITIONS[c]} THEN 1 ELSE 0 END AS {c}" for c in codes.COUNTERS],
     )
 
 
@@ -60,23 +63,26 @@ def counters(classified: DataFrame) -> DataFrame:
     events sends one row per map task.
     """
     return classified.groupBy("match_id", "player_id").agg(
-        *[F.sum(c).cast("long").alias(c) for c in codes.COUNTERS]
+        *[F.expr(f"sum({c}) AS {c}") for c in codes.COUNTERS]
     )
 
 
 def ratios(counted: DataFrame) -> DataFrame:
     """Pass accuracy, duel, shot and free-kick effectiveness; 0 where nothing was tried."""
-    c = F.col
-    return counted.select(
+
+    def share(part: str, whole: str, name: str) -> str:
+        return f"coalesce(try_divide(double({part}), double({whole})), 0D) AS {name}"
+
+    return counted.selectExpr(
         "match_id",
         "player_id",
-        ratio(c("anp") + 2 * c("akp"), c("np") + 2 * c("kp")).alias("pa"),
-        ratio(c("dw") + c("nd") * 0.5, c("td")).alias("de"),
-        ratio(c("on_target_goal") + c("on_target_notgoal") * 0.5, c("shots")).alias("se"),
+        share("anp + 2 * akp", "np + 2 * kp", "pa"),
+        share("dw + nd * 0.5D", "td", "de"),
+        share("on_target_goal + on_target_notgoal * 0.5D", "shots", "se"),
         "fouls",
         "own_goals",
-        c("on_target").alias("target"),
-        ratio(c("eff_free_kicks") + c("penalties"), c("free_kicks")).alias("fk_eff"),
+        "on_target AS target",
+        share("eff_free_kicks + penalties", "free_kicks", "fk_eff"),
         "goals",
         "anp",
         "akp",

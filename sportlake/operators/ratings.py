@@ -10,7 +10,7 @@ however many matches that player has.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import codes
@@ -44,27 +44,21 @@ def match_steps(rows: DataFrame) -> DataFrame:
 
     Shots on target enter as a count; shot effectiveness does not enter at all.
     """
-    minutes = F.col("end_minute") - F.col("start_minute")
-    gain = (F.col("pa") + F.col("de") + F.col("fk_eff") + F.col("target")) / 4
-    lost = codes.FOUL_PENALTY * F.col("fouls") + codes.OWN_GOAL_PENALTY * F.col("own_goals")
-    return rows.where("played AND match_date IS NOT NULL").select(
+    minutes = "(end_minute - start_minute)"
+    gain = "((pa + de + fk_eff + target) / 4)"
+    lost = f"({codes.FOUL_PENALTY}D * fouls + {codes.OWN_GOAL_PENALTY}D * own_goals)"
+    return rows.where("played AND match_date IS NOT NULL").selectExpr(
         "player_id",
         "match_id",
         "match_date",
         "team_id",
         "age",
-        F.when(minutes == codes.FULL_MATCH, F.lit(codes.FULL_MATCH_BONUS))
-        .otherwise(minutes / codes.FULL_MATCH)
-        .alias("weight"),
-        (gain - lost * gain).alias("contribution"),
+        f"""CASE WHEN {minutes} = {codes.FULL_MATCH} THEN {codes.FULL_MATCH_BONUS}D
+                 ELSE {minutes} / {codes.FULL_MATCH} END AS weight""",
+        f"{gain} - {lost} * {gain} AS contribution",
     )
 
 
-def next_rating(rating: Column, weight: Column, contribution: Column) -> Column:
-    """One step of the recurrence."""
-    return weight * ((contribution + rating) / 2)
-
-
 def history(
     steps: DataFrame, period_days: int = PERIOD_DAYS, chunk_rows: int = CHUNK_ROWS
 ) -> DataFrame:
@@ -73,111 +67,94 @@ def history(
     A chunk holds at most ``chunk_rows`` matches of a player, all from one calendar period.
     """
     chunks = _chunks(steps, period_days, chunk_rows)
-    seeded = chunks.join(_chunk_seeds(chunks), ["player_id", "period", "part"])
-    return seeded.select(
-        "player_id", F.inline(_run(F.col("steps"), F.col("seed"), F.col("played_before")))
-    ).select(
-        "player_id", "match_id", "match_date", "team_id", "rating", "delta", "matches", "age"
+    return (
+        chunks.join(_chunk_seeds(chunks), ["player_id", "period", "part"])
+        .selectExpr("player_id", f"inline({_RUN})")
+        .select(
+            "player_id", "match_id", "match_date", "team_id", "rating", "delta", "matches", "age"
+        )
     )
 
 
 def _chunks(steps: DataFrame, period_days: int, chunk_rows: int) -> DataFrame:
-    in_period = Window.partitionBy("player_id", "period").orderBy("match_date", "match_id")
-    step = F.struct("match_date", "match_id", "team_id", "age", "weight", "contribution")
+    in_period = "PARTITION BY player_id, period ORDER BY match_date, match_id"
+    step = "struct(match_date, match_id, team_id, age, weight, contribution)"
     return (
-        steps.withColumn(
-            "period",
-            F.floor(F.datediff("match_date", F.lit("1970-01-01").cast("date")) / period_days),
+        steps.withColumn("period", F.expr(f"floor(unix_date(match_date) / {period_days})"))
+        .withColumn(
+            "part", F.expr(f"floor((row_number() OVER ({in_period}) - 1) / {chunk_rows})")
         )
-        .withColumn("part", F.floor((F.row_number().over(in_period) - 1) / chunk_rows))
         .groupBy("player_id", "period", "part")
-        .agg(F.array_sort(F.collect_list(step)).alias("steps"))
+        .agg(F.expr(f"array_sort(collect_list({step})) AS steps"))
     )
 
 
-def _chunk_seeds(chunks: DataFrame) -> DataFrame:
-    """Rating and number of matches before each chunk, one small row per chunk."""
-
-    def compose(acc: Column, step: Column) -> Column:
-        half = step["weight"] / 2
-        return F.struct(
-            (half * acc["scale"]).alias("scale"),
-            (half * (acc["shift"] + step["contribution"])).alias("shift"),
-        )
-
-    identity = F.struct(F.lit(1.0).alias("scale"), F.lit(0.0).alias("shift"))
-    maps = chunks.select(
-        "player_id",
-        "period",
-        "part",
-        F.size("steps").alias("played"),
-        F.aggregate("steps", identity, compose).alias("map"),
-    )
+# The composed map of a chunk: rating at its end = scale * rating at its start + shift.
+_COMPOSE = """
+    aggregate(
+      steps,
+      named_struct('scale', 1D, 'shift', 0D),
+      (map, step) -> named_struct(
+        'scale', step.weight / 2 * map.scale,
+        'shift', step.weight / 2 * (map.shift + step.contribution)
+      )
+    )"""
+
+# Rating and number of matches before each chunk of a player.
+_SEEDS = f"""
+    aggregate(
+      chunks,
+      named_struct(
+        'seeds', cast(array() AS
+          array<struct<period: bigint, part: bigint, seed: double, played_before: int>>),
+        'rating', {codes.START_RATING}D,
+        'played', 0
+      ),
+      (acc, chunk) -> named_struct(
+        'seeds', concat(acc.seeds, array(named_struct(
+          'period', chunk.period, 'part', chunk.part,
+          'seed', acc.rating, 'played_before', acc.played))),
+        'rating', chunk.map.scale * acc.rating + chunk.map.shift,
+        'played', acc.played + chunk.played
+      ),
+      acc -> acc.seeds
+    )"""
+
+# The rated matches of a chunk, from its seed on.
+_NEXT = "step.weight * ((step.contribution + acc.rating) / 2)"
+_RUN = f"""
+    aggregate(
+      steps,
+      named_struct(
+        'rated', cast(array() AS
+          array<struct<match_id: bigint, match_date: date, team_id: string, rating: double,
+                       delta: double, matches: int, age: int>>),
+        'rating', seed,
+        'matches', played_before
+      ),
+      (acc, step) -> named_struct(
+        'rated', concat(acc.rated, array(named_struct(
+          'match_id', step.match_id, 'match_date', step.match_date, 'team_id', step.team_id,
+          'rating', {_NEXT}, 'delta', {_NEXT} - acc.rating,
+          'matches', acc.matches + 1, 'age', step.age))),
+        'rating', {_NEXT},
+        'matches', acc.matches + 1
+      ),
+      acc -> acc.rated
+    )"""
 
-    def advance(acc: Column, chunk: Column) -> Column:
-        seed = F.struct(
-            chunk["period"].alias("period"),
-            chunk["part"].alias("part"),
-            acc["rating"].alias("seed"),
-            acc["played"].alias("played_before"),
-        )
-        return F.struct(
-            F.concat(acc["seeds"], F.array(seed)).alias("seeds"),
-            (chunk["map"]["scale"] * acc["rating"] + chunk["map"]["shift"]).alias("rating"),
-            (acc["played"] + chunk["played"]).alias("played"),
-        )
 
-    start = F.struct(
-        F.array()
-        .cast("array<struct<period:bigint,part:bigint,seed:double,played_before:int>>")
-        .alias("seeds"),
-        F.lit(codes.START_RATING).alias("rating"),
-        F.lit(0).alias("played"),
-    )
+def _chunk_seeds(chunks: DataFrame) -> DataFrame:
+    """Rating and number of matches before each chunk, one small row per chunk."""
     return (
-        maps.groupBy("player_id")
-        .agg(
-            F.array_sort(F.collect_list(F.struct("period", "part", "played", "map"))).alias(
-                "chunks"
-            )
-        )
-        .select(
-            "player_id", F.inline(F.aggregate("chunks", start, advance, lambda a: a["seeds"]))
-        )
-    )
-
-
-def _run(steps: Column, seed: Column, played_before: Column) -> Column:
-    """Array of rated matches of one chunk, starting from its seed."""
-
-    def advance(acc: Column, step: Column) -> Column:
-        rating = next_rating(acc["rating"], step["weight"], step["contribution"])
-        rated = F.struct(
-            step["match_id"].alias("match_id"),
-            step["match_date"].alias("match_date"),
-            step["team_id"].alias("team_id"),
-            rating.alias("rating"),
-            (rating - acc["rating"]).alias("delta"),
-            (acc["matches"] + 1).alias("matches"),
-            step["age"].alias("age"),
-        )
-        return F.struct(
-            F.concat(acc["rated"], F.array(rated)).alias("rated"),
-            rating.alias("rating"),
-            (acc["matches"] + 1).alias("matches"),
-        )
-
-    start = F.struct(
-        F.array()
-        .cast(
-            "array<struct<match_id:bigint,match_date:date,team_id:string,rating:double,"
-            "delta:double,matches:int,age:int>>"
+        chunks.selectExpr(
+            "player_id",
+            f"struct(period, part, size(steps) AS played, {_COMPOSE} AS map) AS chunk",
         )
-        .alias("rated"),
-        seed.alias("rating"),
-        played_before.alias("matches"),
+        .groupBy("player_id")
+        .agg(F.expr("array_sort(collect_list(chunk)) AS chunks"))
+        .selectExpr("player_id", f"inline({_SEEDS})")
     )
-    return F.aggregate(steps, start, advance, lambda a: a["rated"])
 
 
 def latest(rated: DataFrame) -> DataFrame:

@@ -22,51 +22,64 @@ FIRST_DAY = "2024-01-01"
 FIRST_BIRTH = "1985-01-01"
 
 
+# Columns of the driver's tables that are used. Naming them spares a look into the files.
+TABLES = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, "
+    "value double, props string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey long, o_custkey long",
+    "lineitem": "l_orderkey long, l_partkey long",
+    "documents": "doc_id long, text string",
+    "benchmark": "item_id long, text string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+# Which event code a kind of table event stands for.
+EVENT_CODES = {
+    "view": codes.PASS,
+    "click": codes.DUEL,
+    "purchase": codes.SHOT,
+    "signup": codes.FREE_KICK,
+    "error": codes.FOUL,
+}
+
+# Conditions on the event's number k under which it carries a tag.
+EVENT_TAGS = {
+    "k % 2 = 0": codes.TAG_ACCURATE,
+    "k % 5 = 0": codes.TAG_KEY_PASS,
+    "k % 10 = 0": codes.TAG_GOAL,
+    "k = 99": codes.TAG_OWN_GOAL,
+    "k % 3 = 0": codes.TAG_WON,
+    "k % 3 = 1": codes.TAG_NEUTRAL,
+}
 
 
 def bound_events(events: DataFrame) -> DataFrame:
     """Event records in the engine's columns. Works on static and streaming tables."""
-    day = F.datediff(F.col("ts").cast("date"), F.lit(FIRST_DAY).cast("date")).cast("long")
-    k = F.get_json_object("props", "$.k").cast("int")
-    kinds = {
-        "view": codes.PASS,
-        "click": codes.DUEL,
-        "purchase": codes.SHOT,
-        "signup": codes.FREE_KICK,
-        "error": codes.FOUL,
-    }
-    code = F.lit(0)
-    for kind, number in kinds.items():
-        code = F.when(F.col("event_type") == kind, number).otherwise(code)
-
-    def tag(condition: Column, number: int) -> Column:
-        return F.when(condition, number).otherwise(0)
-
-    return events.select("event_id", F.col("user_id").alias("player_id"), day.alias("day"),
-                         code.alias("event_code"), k.alias("k")).select(
+    kinds = " ".join(f"WHEN '{kind}' THEN {code}" for kind, code in EVENT_CODES.items())
+    tags = ", ".join(f"CASE WHEN {when} THEN {tag} ELSE 0 END" for when, tag in EVENT_TAGS.items())
+    return events.selectExpr(
+        "event_id",
+        "user_id AS player_id",
+        f"bigint(datediff(date(ts), DATE'{FIRST_DAY}')) AS day",
+        f"CASE event_type {kinds} ELSE 0 END AS event_code",
+        "int(get_json_object(props, '$.k')) AS k",
+    ).selectExpr(
         "event_id",
         "event_code",
-        F.when(F.col("k") >= 90, codes.PENALTY).otherwise(0).alias("sub_event"),
-        match_id(F.col("day"), F.col("player_id")).alias("match_id"),
+        f"CASE WHEN k >= 90 THEN {codes.PENALTY} ELSE 0 END AS sub_event",
+        f"day * {MATCHES_PER_DAY} + floor((player_id + {DAY_SHIFT} * day) / {SQUAD}) AS match_id",
         "player_id",
-        F.array(
-            tag(F.col("k") % 2 == 0, codes.TAG_ACCURATE),
-            tag(F.col("k") % 5 == 0, codes.TAG_KEY_PASS),
-            tag(F.col("k") % 10 == 0, codes.TAG_GOAL),
-            tag(F.col("k") == 99, codes.TAG_OWN_GOAL),
-            tag(F.col("k") % 3 == 0, codes.TAG_WON),
-            tag(F.col("k") % 3 == 1, codes.TAG_NEUTRAL),
-        ).alias("tags"),
+        f"array({tags}) AS tags",
     )
 
 
-def match_id(day: Column, player: Column) -> Column:
-    slot = F.floor((player + DAY_SHIFT * day) / SQUAD)
-    return (day * MATCHES_PER_DAY + slot).cast("long")
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bound_events(table(spark, sf_dir, "events"))
 
@@ -98,26 +111,25 @@ def appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
     off. Minutes reach beyond 90, so some players come on after the end.
     """
     listed = events(spark, sf_dir).select("match_id", "player_id").distinct()
-    player, day = F.col("player_id"), F.col("day")
-    turn = player + day
-    minute = (48 + (7 * player + 11 * day) % 48).cast("int")
-    bench = turn % 8 == 0
-    return listed.withColumn("day", day_of(F.col("match_id"))).select(
-        "match_id",
-        "player_id",
-        F.date_add(F.lit(FIRST_DAY).cast("date"), day).alias("match_date"),
-        (1 + 2 * slot_of(F.col("match_id")) + player % 2).cast("string").alias("team_id"),
-        F.when(bench & (turn % 16 == 0), F.lit(None))
-        .when(bench, minute)
-        .otherwise(0)
-        .cast("int")
-        .alias("start_minute"),
-        F.when(bench & (turn % 16 == 0), F.lit(None))
-        .when(~bench & (turn % 3 == 0), minute)
-        .otherwise(codes.FULL_MATCH)
-        .cast("int")
-        .alias("end_minute"),
-        (~(bench & (turn % 16 == 0))).alias("played"),
+    return (
+        listed.withColumn("day", day_of(F.col("match_id")))
+        .selectExpr(
+            "*",
+            "player_id + day AS turn",
+            "int(48 + (7 * player_id + 11 * day) % 48) AS minute",
+        )
+        .selectExpr(
+            "match_id",
+            "player_id",
+            f"date_add(DATE'{FIRST_DAY}', day) AS match_date",
+            f"string(1 + 2 * (match_id % {MATCHES_PER_DAY}) + player_id % 2) AS team_id",
+            """CASE WHEN turn % 16 = 0 THEN NULL WHEN turn % 8 = 0 THEN minute
+                    ELSE 0 END AS start_minute""",
+            f"""CASE WHEN turn % 16 = 0 THEN NULL
+                     WHEN turn % 8 <> 0 AND turn % 3 = 0 THEN minute
+                     ELSE {codes.FULL_MATCH} END AS end_minute""",
+            "turn % 16 <> 0 AS played",
+        )
     )
 
 
