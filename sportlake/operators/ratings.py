@@ -79,11 +79,16 @@ def history(
 def _chunks(steps: DataFrame, period_days: int, chunk_rows: int) -> DataFrame:
     in_period = "PARTITION BY player_id, period ORDER BY match_date, match_id"
     step = "struct(match_date, match_id, team_id, age, weight, contribution)"
+    # The chunks are read twice, for their maps and for the run. Saying what the join on
+    # the keys implies here keeps both readings alike, so that Spark shuffles once.
     return (
-        steps.withColumn("period", F.expr(f"floor(unix_date(match_date) / {period_days})"))
+        steps.where("player_id IS NOT NULL")
+        .withColumn("period", F.expr(f"floor(unix_date(match_date) / {period_days})"))
+        .where("period IS NOT NULL")
         .withColumn(
             "part", F.expr(f"floor((row_number() OVER ({in_period}) - 1) / {chunk_rows})")
         )
+        .where("part IS NOT NULL")
         .groupBy("player_id", "period", "part")
         .agg(F.expr(f"array_sort(collect_list({step})) AS steps"))
     )

@@ -202,88 +202,98 @@ def member_ratings(
 
 
 def win_chance(
-    members: DataFrame,
+    rated: DataFrame,
     chemistry: DataFrame,
+    rosters: DataFrame | None = None,
     centered: bool = False,
     max_fixture_pairs: int = MAX_FIXTURE_PAIRS,
 ) -> DataFrame:
     """Chances of both sides per fixture from ``fixture_id, side, player_id, rating``.
 
+    ``rosters`` may give the same rows without their ratings, where those are cheaper.
+
     Each side's strength is its mean rating times the fixture's chemistry, the mean
     coefficient over all cross-team pairs with 0.5 for pairs that never met. The default
     formula adds the mean strength, so it is not bound to 0..100; ``centered`` subtracts it.
     """
-    one, two = F.col("side") == 1, F.col("side") == 2
     sides = (
-        members.groupBy("fixture_id")
+        rated.groupBy("fixture_id")
         .agg(
-            F.count_if(one).alias("players_1"),
-            F.count_if(two).alias("players_2"),
-            F.avg(F.when(one, F.col("rating"))).alias("mean_1"),
-            F.avg(F.when(two, F.col("rating"))).alias("mean_2"),
+            F.expr("count_if(side = 1) AS players_1"),
+            F.expr("count_if(side = 2) AS players_2"),
+            F.expr("avg(rating) FILTER (WHERE side = 1) AS mean_1"),
+            F.expr("avg(rating) FILTER (WHERE side = 2) AS mean_2"),
         )
         .where("players_1 > 0 AND players_2 > 0")
     )
-    cells = F.col("players_1") * F.col("players_2")
-    excess = _chemistry_excess(members, sides, chemistry, max_fixture_pairs)
-    strength_1 = F.col("mean_1") * F.col("chem")
-    strength_2 = F.col("mean_2") * F.col("chem")
-    mean_strength = (strength_1 + strength_2) / 2
-    shift = -mean_strength if centered else mean_strength
-    chance = (0.5 + strength_1 + shift) * 100
+    excess = _chemistry_excess(
+        rated if rosters is None else rosters, chemistry, max_fixture_pairs
+    )
+    sign = "-" if centered else "+"
     return (
         sides.join(excess, "fixture_id", "left")
-        .withColumn(
-            "chem", codes.START_CHEMISTRY + F.coalesce("excess", F.lit(0.0)) / cells
+        .selectExpr(
+            "*",
+            f"""{codes.START_CHEMISTRY}D
+                + coalesce(excess, 0D) / (players_1 * players_2) AS chem""",
+        )
+        .selectExpr(
+            "fixture_id",
+            "chem",
+            f"""(0.5D + mean_1 * chem {sign} (mean_1 * chem + mean_2 * chem) / 2) * 100
+                AS chance_1""",
         )
-        .select("fixture_id", "chem", chance.alias("chance_1"), (100 - chance).alias("chance_2"))
+        .selectExpr("*", "100 - chance_1 AS chance_2")
     )
 
 
 def _chemistry_excess(
-    members: DataFrame, sides: DataFrame, chemistry: DataFrame, max_fixture_pairs: int
+    rosters: DataFrame, chemistry: DataFrame, max_fixture_pairs: int
 ) -> DataFrame:
     """Sum of ``coeff - 0.5`` over the cross-team pairs that ever met, per fixture.
 
     Pairs that never met add nothing, so they need not be looked at. Rosters are small and
-    their cross-team pairs are joined with the chemistry. Where one check of the members
+    their cross-team pairs are joined with the chemistry. Where one check of the rosters
     finds a fixture of very many pairs, that fixture's pairs are not spelled out: its
     members meet the known pairs of the chemistry instead.
     """
-    gain = (F.col("coeff") - codes.START_CHEMISTRY).alias("gain")
-    sized = sides.withColumn("cells", F.col("players_1") * F.col("players_2"))
-    largest = sized.agg(F.max("cells")).first()[0] or 0
-    listed = members.select("fixture_id", "side", "player_id")
+    listed = rosters.select("fixture_id", "side", "player_id")
+    sizes = listed.groupBy("fixture_id").agg(
+        F.expr("count_if(side = 1) * count_if(side = 2) AS pairs")
+    )
+    gain = f"coeff - {codes.START_CHEMISTRY}D AS gain"
+    has_large = (sizes.agg(F.max("pairs")).first()[0] or 0) > max_fixture_pairs
     small = listed
-    if largest > max_fixture_pairs:
-        small_ids = sized.where(F.col("cells") <= max_fixture_pairs).select("fixture_id")
+    if has_large:
+        small_ids = sizes.where(F.col("pairs") <= max_fixture_pairs)
         small = listed.join(small_ids, "fixture_id", "left_semi")
 
-    a, b = small.where("side = 1").alias("a"), small.where("side = 2").alias("b")
+    one = small.where("side = 1").alias("a")
+    two = small.where("side = 2").alias("b")
     met = (
-        a.join(b, F.col("a.fixture_id") == F.col("b.fixture_id"))
-        .select(
-            F.col("a.fixture_id").alias("fixture_id"),
-            F.least("a.player_id", "b.player_id").alias("player_a"),
-            F.greatest("a.player_id", "b.player_id").alias("player_b"),
+        one.join(two, F.expr("a.fixture_id = b.fixture_id"))
+        .selectExpr(
+            "a.fixture_id",
+            "least(a.player_id, b.player_id) AS player_a",
+            "greatest(a.player_id, b.player_id) AS player_b",
         )
         .join(chemistry, ["player_a", "player_b"])
-        .select("fixture_id", gain)
+        .selectExpr("fixture_id", gain)
     )
-    if largest > max_fixture_pairs:
-        large_ids = sized.where(F.col("cells") > max_fixture_pairs).select("fixture_id")
+    if has_large:
+        large_ids = sizes.where(F.col("pairs") > max_fixture_pairs)
         large = listed.join(large_ids, "fixture_id", "left_semi")
-        first = large.select(
-            "fixture_id", F.col("side").alias("side_a"), F.col("player_id").alias("player_a")
-        )
-        second = large.select(
-            "fixture_id", F.col("side").alias("side_b"), F.col("player_id").alias("player_b")
-        )
         known = (
-            chemistry.join(first, "player_a")
-            .join(second, ["fixture_id", "player_b"])
+            chemistry.join(
+                large.selectExpr("fixture_id", "side AS side_a", "player_id AS player_a"),
+                "player_a",
+            )
+            .join(
+                large.selectExpr("fixture_id", "side AS side_b", "player_id AS player_b"),
+                ["fixture_id", "player_b"],
+            )
             .where("side_a <> side_b")
-            .select("fixture_id", gain)
+            .selectExpr("fixture_id", gain)
         )
         met = met.unionByName(known)
     return met.groupBy("fixture_id").agg(F.sum("gain").alias("excess"))
@@ -319,7 +329,8 @@ def fixture_answers(
     )
     rated = member_ratings(resolved, players, latest, predictions)
     gone = retired(rated, threshold).groupBy("fixture_id").agg(F.count("*").alias("retired"))
-    chances = win_chance(rated, chemistry, centered)
+    rosters = resolved.where("player_id IS NOT NULL")
+    chances = win_chance(rated, chemistry, rosters, centered)
     status = (
         F.when(~F.col("valid_1"), "team 1 invalid")
         .when(~F.col("valid_2"), "team 2 invalid")

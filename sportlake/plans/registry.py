@@ -228,46 +228,43 @@ def retired(spark, sf_dir):
 def fallback_rating(spark, sf_dir):
     births = bind.births(spark, sf_dir)
     members = births.select("player_id", F.lit("2024-02-01").alias("date"))
+    latest = bind.latest_rating(spark, sf_dir)
     rated = answers.member_ratings(
-        members,
-        births,
-        bind.latest_rating(spark, sf_dir),
-        model_ops.predict_grid(_curve(spark, sf_dir)),
+        members, births, latest, model_ops.predict_grid(model_ops.fit_quadratic(latest))
     )
     return rounded(rated.select("player_id", "age", "rating"))
 
 
-def _match_sides(spark, sf_dir):
-    played = bind.appearances(spark, sf_dir).where("played")
-    return played.join(
-        bind.latest_rating(spark, sf_dir).select("player_id", "rating"), "player_id"
-    ).select(
-        F.col("match_id").alias("fixture_id"),
-        (F.col("player_id") % 2 + 1).cast("int").alias("side"),
-        "player_id",
-        "rating",
+def _match_chances(spark, sf_dir, centered):
+    """Every match as a fixture of its two teams."""
+    rosters = (
+        bind.appearances(spark, sf_dir)
+        .where("played")
+        .selectExpr("match_id AS fixture_id", "int(player_id % 2 + 1) AS side", "player_id")
+    )
+    history = bind.rating_history(spark, sf_dir)
+    latest = rating_ops.latest(history).select("player_id", "rating")
+    return answers.win_chance(
+        rosters.join(latest, "player_id"), chemistry_ops.chemistry(history), rosters, centered
     )
 
 
 def win_chance(spark, sf_dir):
-    return rounded(answers.win_chance(_match_sides(spark, sf_dir), _chemistry(spark, sf_dir)))
+    return rounded(_match_chances(spark, sf_dir, centered=False))
 
 
 def win_chance_centered(spark, sf_dir):
-    return rounded(
-        answers.win_chance(
-            _match_sides(spark, sf_dir), _chemistry(spark, sf_dir), centered=True
-        )
-    )
+    return rounded(_match_chances(spark, sf_dir, centered=True))
 
 
 def fixture_answers(spark, sf_dir):
+    history = bind.rating_history(spark, sf_dir)
     return rounded(
         answers.fixture_answers(
             bind.fixture_members(spark, sf_dir),
             bind.players(spark, sf_dir),
-            bind.latest_rating(spark, sf_dir),
-            _chemistry(spark, sf_dir),
+            rating_ops.latest(history),
+            chemistry_ops.chemistry(history),
             quotas=FIXTURE_QUOTAS,
             threshold=FIXTURE_RETIRED_RATING,
         )
