@@ -18,6 +18,7 @@ from ..operators import ratings as rating_ops
 from ..operators import records as record_ops
 from ..session import scratch_folder
 from ..sources import files
+from ..streaming import jobs
 from . import answers
 from . import bindings as bind
 from .oracles import OFF_TIES, PLACES
@@ -420,6 +421,52 @@ def chemistry_text(spark, sf_dir):
     return rounded(files.read_chemistry(spark, path))
 
 
+# Streams ----------------------------------------------------------------------------------
+
+STREAM_TIMEOUT = 1800
+
+
+def _streamed(spark, sf_dir, with_counters=False, with_ratings=False):
+    """Runs the streaming jobs over all records, written as JSON lines; gives the tables."""
+    source, out = scratch_folder(spark, "lines"), scratch_folder(spark, "season")
+    _lines(spark, sf_dir).write.text(source)
+    session = jobs.stream_session(spark, spark.sparkContext.defaultParallelism)
+    lines = jobs.read_lines(session, source)
+    running = []
+    if with_counters:
+        checkpoint = scratch_folder(spark, "checkpoint-counters")
+        running.append(jobs.start_counters(lines, out, checkpoint, interval=None))
+    if with_ratings:
+        checkpoint = scratch_folder(spark, "checkpoint-ratings")
+        births = bind.births(session, sf_dir)
+        running.append(jobs.start_ratings(lines, births, out, checkpoint, interval=None))
+    for query in running:
+        jobs.finish(query, STREAM_TIMEOUT)
+    return out
+
+
+def stream_counters(spark, sf_dir):
+    return jobs.counters(spark, _streamed(spark, sf_dir, with_counters=True))
+
+
+def stream_ratings(spark, sf_dir):
+    return rounded(jobs.ratings(spark, _streamed(spark, sf_dir, with_ratings=True)))
+
+
+def stream_chemistry(spark, sf_dir):
+    return rounded(jobs.chemistry(spark, _streamed(spark, sf_dir, with_ratings=True)))
+
+
+def stream_quadratic(spark, sf_dir):
+    return rounded(jobs.curve_stats(spark, _streamed(spark, sf_dir, with_ratings=True)))
+
+
+def stream_profile(spark, sf_dir):
+    return rounded(
+        jobs.profile(spark, _streamed(spark, sf_dir, with_counters=True, with_ratings=True))
+    )
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -470,5 +517,10 @@ QUERIES: dict[str, Query] = {
         profile_tsv,
         predictions_csv,
         chemistry_text,
+        stream_counters,
+        stream_ratings,
+        stream_chemistry,
+        stream_quadratic,
+        stream_profile,
     )
 }

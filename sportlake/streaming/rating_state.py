@@ -1,0 +1,162 @@
+"""The rating recurrence as keyed state of a stream.
+
+State per player: the current rating with the match it stands at, and counters of matches
+that were not rated yet. Rows arrive as events and appearances in one stream.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from .. import codes
+from ..operators.ratings import with_age
+
+# Counters that enter a rating.
+USED = [
+    "anp",
+    "akp",
+    "np",
+    "kp",
+    "dw",
+    "nd",
+    "td",
+    "on_target",
+    "fouls",
+    "own_goals",
+    "free_kicks",
+    "eff_free_kicks",
+    "penalties",
+]
+
+OUTPUT = """player_id long, match_id long, match_date date, team_id string, rating double,
+    delta double, matches int, age int, late boolean"""
+
+
+def contribution(counts: dict[str, int]) -> float:
+    """Contribution of a player to a match, as ``ratings.match_steps`` has it in columns."""
+
+    def share(part: float, whole: float) -> float:
+        return part / whole if whole else 0.0
+
+    passing = share(counts["anp"] + 2 * counts["akp"], counts["np"] + 2 * counts["kp"])
+    duels = share(counts["dw"] + counts["nd"] * 0.5, counts["td"])
+    free_kicks = share(counts["eff_free_kicks"] + counts["penalties"], counts["free_kicks"])
+    gain = (passing + duels + free_kicks + counts["on_target"]) / 4
+    lost = codes.FOUL_PENALTY * counts["fouls"] + codes.OWN_GOAL_PENALTY * counts["own_goals"]
+    return gain - lost * gain
+
+
+class RatingProcessor(StatefulProcessor):
+    """Rates each appearance with the counters held by then.
+
+    Appearances of a batch are taken in order of match date and id. One that is not after
+    the last rated match of its player, because it came late or twice, is put out as late
+    and changes nothing. Events after the rating of their match count in profiles only.
+    """
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._rating = handle.getValueState(
+            "rating", "rating double, matches int, match_date date, match_id long"
+        )
+        self._open = handle.getMapState(
+            "open_matches", "match_id long", ", ".join(f"{c} long" for c in USED)
+        )
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        player = key[0]
+        sums: dict[int, list[int]] = {}
+        listed = []
+        for row in rows:
+            if row["is_event"]:
+                held = sums.setdefault(row["match_id"], [0] * len(USED))
+                for i, counter in enumerate(USED):
+                    held[i] += row[counter]
+            else:
+                listed.append(row)
+        for match, added in sums.items():
+            if self._open.containsKey((match,)):
+                added = [a + b for a, b in zip(added, self._open.getValue((match,)))]
+            self._open.updateValue((match,), tuple(added))
+
+        listed.sort(key=lambda r: (r["match_date"], r["match_id"]))
+        for row in listed:
+            yield from self._rate(player, row)
+
+    def _rate(self, player: int, row: Row) -> Iterator[Row]:
+        match = row["match_id"]
+        counts = dict.fromkeys(USED, 0)
+        if self._open.containsKey((match,)):
+            counts = dict(zip(USED, self._open.getValue((match,))))
+            self._open.removeKey((match,))
+        if not row["played"]:
+            return
+
+        rating, matches, last = codes.START_RATING, 0, None
+        if self._rating.exists():
+            rating, matches, *last = self._rating.get()
+        at = [row["match_date"], match]
+        late = last is not None and at <= last
+        after, change, played = None, None, None
+        if not late:
+            after = row["weight"] * ((contribution(counts) + rating) / 2)
+            change, played = after - rating, matches + 1
+            self._rating.update((after, played, *at))
+        yield Row(
+            player_id=player,
+            match_id=match,
+            match_date=row["match_date"],
+            team_id=row["team_id"],
+            rating=after,
+            delta=change,
+            matches=played,
+            age=row["age"],
+            late=late,
+        )
+
+    def close(self) -> None:
+        pass
+
+
+def rating_input(
+    classified: DataFrame, appearances: DataFrame, players: DataFrame
+) -> DataFrame:
+    """Events and appearances of known players as one stream of rows."""
+    known = players.select("player_id")
+    events = classified.join(known, "player_id", "left_semi").selectExpr(
+        "player_id",
+        "match_id",
+        "true AS is_event",
+        "CAST(NULL AS date) AS match_date",
+        "CAST(NULL AS string) AS team_id",
+        "CAST(NULL AS int) AS age",
+        "CAST(NULL AS double) AS weight",
+        "false AS played",
+        *[f"CAST({c} AS bigint) AS {c}" for c in USED],
+    )
+    minutes = "(end_minute - start_minute)"
+    listed = with_age(appearances.where("match_date IS NOT NULL"), players).selectExpr(
+        "player_id",
+        "match_id",
+        "false AS is_event",
+        "match_date",
+        "team_id",
+        "age",
+        f"""CASE WHEN {minutes} = {codes.FULL_MATCH} THEN {codes.FULL_MATCH_BONUS}D
+                 ELSE {minutes} / {codes.FULL_MATCH} END AS weight""",
+        "played",
+        *[f"0L AS {c}" for c in USED],
+    )
+    return events.unionByName(listed)
+
+
+def rate(rows: DataFrame) -> DataFrame:
+    """Ratings of the stream, one row per appearance, late ones marked."""
+    return rows.groupBy("player_id").transformWithState(
+        statefulProcessor=RatingProcessor(),
+        outputStructType=OUTPUT,
+        outputMode="Append",
+        timeMode="None",
+    )
