@@ -176,7 +176,7 @@ CURVE = """
 cs AS (
   SELECT count(*) AS s0, sum(x) AS s1, sum(x * x) AS s2, sum(x * x * x) AS s3,
     sum(x * x * x * x) AS s4, sum(rating) AS t0, sum(rating * x) AS t1,
-    sum(rating * x * x) AS t2
+    sum(rating * x * x) AS t2, count(DISTINCT x) AS ages
   FROM (SELECT CAST(age - 28 AS DOUBLE) AS x, rating FROM la)
 ),
 cu AS (
@@ -185,8 +185,8 @@ cu AS (
     (s0 * (t1 * s4 - t2 * s3) - t0 * (s1 * s4 - s2 * s3) + s2 * (s1 * t2 - s2 * t1)) / det AS c1,
     (s0 * (s2 * t2 - s3 * t1) - s1 * (s1 * t2 - s2 * t1) + t0 * (s1 * s3 - s2 * s2)) / det AS c2
   FROM (
-    SELECT *, s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3)
-              + s2 * (s1 * s3 - s2 * s2) AS det
+    SELECT *, CASE WHEN ages >= 3 THEN s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3)
+              + s2 * (s1 * s3 - s2 * s2) END AS det
     FROM cs
   )
 ),
