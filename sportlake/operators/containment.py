@@ -49,8 +49,16 @@ def contained_names(texts: DataFrame, names: DataFrame, on: tuple[str, ...] = ()
     keyed_names = anchored.select(
         "name_id", "name", *on, _key(F.col("anchor.kind"), F.col("anchor.piece")).alias("key")
     )
-    keyed_texts = texts.select("text_id", *on, F.explode(_keys(F.col("text"), kinds)).alias("key"))
-    candidates = keyed_texts.join(keyed_names, [*on, "key"]).select("text_id", "name_id", "name")
+    keyed_texts = (
+        texts.select("text_id", *on, F.explode(F.split("text", " ")).alias("word"))
+        .select("text_id", *on, F.explode(_keys(F.col("word"), kinds)).alias("key"))
+        .where("key IS NOT NULL")
+    )
+    candidates = (
+        keyed_texts.join(keyed_names, [*on, "key"])
+        .select("text_id", "name_id", "name")
+        .distinct()
+    )
     return (
         candidates.join(texts.select("text_id", "text"), "text_id")
         .where(F.contains("text", "name"))
@@ -94,24 +102,23 @@ def _anchor(name: Column) -> Column:
     return F.array_max(F.when(count == 1, single).otherwise(several))
 
 
-def _keys(text: Column, kinds: set[tuple[str, int | None]]) -> Column:
-    """All distinct keys of a text, for the kinds of anchors that the names use."""
-    words = F.array_distinct(F.split(text, " "))
-    groups = [_keys_of(words, kind, length) for kind, length in sorted(kinds, key=str)]
-    return F.array_distinct(F.concat(*groups))
-
-
-def _keys_of(words: Column, kind: str, length: int | None) -> Column:
-    if kind == WORD:
-        return F.transform(words, lambda w: _key(F.lit(WORD), w))
-    long_enough = F.filter(words, lambda w: F.length(w) >= length)
-    if kind == START:
-        return F.transform(long_enough, lambda w: _key(F.lit(START), F.left(w, F.lit(length))))
-
-    def pieces(word: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.length(word) - length + 1)
-        return F.transform(
-            starts, lambda i: _key(F.lit(INSIDE), F.substr(word, i, F.lit(length)))
-        )
-
-    return F.flatten(F.transform(long_enough, pieces))
+def _keys(word: Column, kinds: set[tuple[str, int | None]]) -> Column:
+    """Keys of one word of a text, for the kinds of anchors that the names use."""
+    whole, pieces = [], []
+    for kind, length in sorted(kinds, key=str):
+        if kind == WORD:
+            whole.append(_key(F.lit(WORD), word))
+        elif kind == START:
+            piece = _key(F.lit(START), F.left(word, F.lit(length)))
+            whole.append(F.when(F.length(word) >= length, piece))
+        else:
+            pieces.append(_pieces(word, length))
+    return F.concat(F.array(*whole).cast("array<bigint>"), *pieces) if pieces else F.array(*whole)
+
+
+def _pieces(word: Column, length: int) -> Column:
+    starts = F.sequence(F.lit(1), F.length(word) - length + 1)
+    keys = F.transform(
+        starts, lambda i: _key(F.lit(INSIDE), F.substr(word, i, F.lit(length)))
+    )
+    return F.when(F.length(word) >= length, keys).otherwise(F.array().cast("array<bigint>"))

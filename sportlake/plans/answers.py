@@ -125,29 +125,34 @@ def roster_checks(
     members: DataFrame,
     players: DataFrame,
     quotas: dict[str, tuple[int, int | None]] = codes.ROSTER_QUOTAS,
-    keys: tuple[str, ...] = ("roster_id",),
 ) -> DataFrame:
     """Players per role of each roster and whether the quotas hold.
 
     Names that belong to nobody count for no role and are reported in ``unknown``.
     """
     roles = players_by_name(players).select("name", "role", F.lit(True).alias("known"))
-    valid = F.lit(True)
-    for role, (least, most) in quotas.items():
-        valid = valid & (F.col(role.lower()) >= least)
-        if most is not None:
-            valid = valid & (F.col(role.lower()) <= most)
     return (
         members.join(roles, "name", "left")
-        .groupBy(*keys)
+        .groupBy("roster_id")
         .agg(
             *[F.count_if(F.col("role") == r).alias(r.lower()) for r in ("GK", "DF", "MD", "FW")],
             F.count_if(F.col("known").isNull()).alias("unknown"),
         )
-        .withColumn("valid", valid)
+        .withColumn("valid", _quotas_hold(quotas, "{}"))
     )
 
 
+def _quotas_hold(quotas: dict[str, tuple[int, int | None]], column: str) -> Column:
+    """Whether the role counts, in columns named like ``column``, keep to the quotas."""
+    valid = F.lit(True)
+    for role, (least, most) in quotas.items():
+        count = F.col(column.format(role))
+        valid = valid & (count >= least)
+        if most is not None:
+            valid = valid & (count <= most)
+    return valid
+
+
 def retired(rated: DataFrame, threshold: float = 0.0) -> DataFrame:
     """Rows whose rating lies below the threshold; such players count as retired."""
     return rated.where(F.col("rating") < threshold)
@@ -180,22 +185,21 @@ def member_ratings(
     latest: DataFrame,
     predictions: DataFrame | None = None,
 ) -> DataFrame:
-    """Members that have a player, with the rating that counts for the fixture.
+    """Members with the rating that counts for the fixture; null where there is no player.
 
     Without predictions an unrated player gets 0.5. With them, the prediction for the
     age on the request's date, and 0.5 beyond the predicted ages.
     """
-    births = players.select("player_id", "birth_date")
-    rated = (
-        members.where("player_id IS NOT NULL")
-        .join(latest.select("player_id", "rating"), "player_id", "left")
-        .join(births, "player_id", "left")
-        .withColumn("age", age_floor("birth_date", iso_date("date")))
-        .drop("birth_date")
-    )
+    rated = members.join(latest.select("player_id", "rating"), "player_id", "left")
     if predictions is None:
-        return fallback_rating(rated, None)
-    return fallback_rating(rated, predictions, "age")
+        filled = fallback_rating(rated, None)
+    else:
+        births = players.select("player_id", "birth_date")
+        aged = rated.join(births, "player_id", "left").withColumn(
+            "age", age_floor("birth_date", iso_date("date"))
+        )
+        filled = fallback_rating(aged.drop("birth_date"), predictions, "age")
+    return filled.withColumn("rating", F.expr("IF(player_id IS NULL, NULL, rating)"))
 
 
 # Win chance -------------------------------------------------------------------------------
@@ -217,36 +221,41 @@ def win_chance(
     formula adds the mean strength, so it is not bound to 0..100; ``centered`` subtracts it.
     """
     sides = (
-        rated.groupBy("fixture_id")
-        .agg(
-            F.expr("count_if(side = 1) AS players_1"),
-            F.expr("count_if(side = 2) AS players_2"),
-            F.expr("avg(rating) FILTER (WHERE side = 1) AS mean_1"),
-            F.expr("avg(rating) FILTER (WHERE side = 2) AS mean_2"),
-        )
-        .where("players_1 > 0 AND players_2 > 0")
+        rated.groupBy("fixture_id").agg(*_side_sums()).where("players_1 > 0 AND players_2 > 0")
     )
     excess = _chemistry_excess(
         rated if rosters is None else rosters, chemistry, max_fixture_pairs
     )
-    sign = "-" if centered else "+"
     return (
         sides.join(excess, "fixture_id", "left")
-        .selectExpr(
-            "*",
-            f"""{codes.START_CHEMISTRY}D
-                + coalesce(excess, 0D) / (players_1 * players_2) AS chem""",
-        )
-        .selectExpr(
-            "fixture_id",
-            "chem",
-            f"""(0.5D + mean_1 * chem {sign} (mean_1 * chem + mean_2 * chem) / 2) * 100
-                AS chance_1""",
-        )
+        .selectExpr("*", _CHEM)
+        .selectExpr("fixture_id", "chem", _chance(centered))
         .selectExpr("*", "100 - chance_1 AS chance_2")
     )
 
 
+def _side_sums() -> list[Column]:
+    """Size and mean rating of both sides of a fixture."""
+    return [
+        F.expr(text)
+        for side in (1, 2)
+        for text in (
+            f"count_if(side = {side} AND rating IS NOT NULL) AS players_{side}",
+            f"avg(rating) FILTER (WHERE side = {side}) AS mean_{side}",
+        )
+    ]
+
+
+_CHEM = f"""{codes.START_CHEMISTRY}D
+    + coalesce(excess, 0D) / nullif(players_1 * players_2, 0) AS chem"""
+
+
+def _chance(centered: bool) -> str:
+    sign = "-" if centered else "+"
+    return f"""(0.5D + mean_1 * chem {sign} (mean_1 * chem + mean_2 * chem) / 2) * 100
+        AS chance_1"""
+
+
 def _chemistry_excess(
     rosters: DataFrame, chemistry: DataFrame, max_fixture_pairs: int
 ) -> DataFrame:
@@ -314,38 +323,38 @@ def fixture_answers(
     ``status`` tells the first check that failed: an invalid roster of side 1, then of
     side 2, then retired players. Only fixtures with status ``ok`` have chances.
     """
-    resolved = members.join(resolve_players(members, players), "name", "left")
-    checks = (
-        roster_checks(members, players, quotas, ("fixture_id", "side"))
-        .groupBy("fixture_id")
-        .agg(
-            F.coalesce(F.bool_or(F.when(F.col("side") == 1, F.col("valid"))), F.lit(False)).alias(
-                "valid_1"
-            ),
-            F.coalesce(F.bool_or(F.when(F.col("side") == 2, F.col("valid"))), F.lit(False)).alias(
-                "valid_2"
-            ),
-        )
-    )
+    roles = players_by_name(players).select("name", "role")
+    lookup = resolve_players(members, players).join(roles, "name", "left")
+    resolved = members.join(lookup, "name", "left")
     rated = member_ratings(resolved, players, latest, predictions)
-    gone = retired(rated, threshold).groupBy("fixture_id").agg(F.count("*").alias("retired"))
-    rosters = resolved.where("player_id IS NOT NULL")
-    chances = win_chance(rated, chemistry, rosters, centered)
+    found = F.col("player_id").isNotNull()
+    rosters = resolved.where(found).select("fixture_id", "side", "player_id")
+    excess = _chemistry_excess(rosters, chemistry, MAX_FIXTURE_PAIRS)
+    counted = [
+        F.count_if((F.col("side") == side) & (F.col("role") == role)).alias(f"{role}_{side}")
+        for side in (1, 2)
+        for role in quotas
+    ]
+    listed = [F.count_if(F.col("side") == side).alias(f"listed_{side}") for side in (1, 2)]
+    gone = F.count_if(F.col("rating") < threshold).alias("retired")
     status = (
-        F.when(~F.col("valid_1"), "team 1 invalid")
-        .when(~F.col("valid_2"), "team 2 invalid")
+        F.when((F.col("listed_1") == 0) | ~_quotas_hold(quotas, "{}_1"), "team 1 invalid")
+        .when((F.col("listed_2") == 0) | ~_quotas_hold(quotas, "{}_2"), "team 2 invalid")
         .when(F.col("retired") > 0, "retired players")
         .otherwise("ok")
     )
     return (
-        checks.join(gone, "fixture_id", "left")
-        .join(chances, "fixture_id", "left")
+        rated.groupBy("fixture_id")
+        .agg(*_side_sums(), *counted, *listed, gone)
+        .join(excess, "fixture_id", "left")
+        .selectExpr("*", _CHEM)
+        .selectExpr("*", _chance(centered))
         .withColumn("status", status)
-        .select(
+        .selectExpr(
             "fixture_id",
             "status",
-            F.when(F.col("status") == "ok", F.col("chance_1")).alias("chance_1"),
-            F.when(F.col("status") == "ok", F.col("chance_2")).alias("chance_2"),
+            "CASE WHEN status = 'ok' THEN chance_1 END AS chance_1",
+            "CASE WHEN status = 'ok' THEN 100 - chance_1 END AS chance_2",
         )
     )
 
@@ -353,21 +362,25 @@ def fixture_answers(
 # Match details ----------------------------------------------------------------------------
 
 
-def find_matches(requests: DataFrame, matches: DataFrame) -> DataFrame:
-    """First match, by id, whose label and date text contain what a request gives.
+def find_matches(asked: DataFrame, matches: DataFrame) -> DataFrame:
+    """First match, by id, whose label and date text contain a given ``date, label``.
 
-    A request with a full date can only mean matches of that day, so day and label anchor
-    are one join key. Any other date text is compared after the join on the label.
+    A full date can only mean matches of that day, so day and label anchor are one join
+    key. Any other date text is compared after the join on the label.
     """
-    asked = requests.select("request_id", "date", fix_label("label").alias("name")).where(
-        "date IS NOT NULL"
+    names = (
+        asked.where("date IS NOT NULL AND label IS NOT NULL")
+        .select("date", "label")
+        .distinct()
+        .select(
+            F.struct("date", "label").alias("name_id"), "date", fix_label("label").alias("name")
+        )
     )
     full = F.col("date").rlike(r"^\d{4}-\d{2}-\d{2}$")
     listed = matches.select(
         F.col("wyId").alias("text_id"), F.col("label").alias("text"), "dateutc"
     )
     day = F.regexp_extract("dateutc", r"^(\d{4}-\d{2}-\d{2})(?!\d)", 1)
-    names = asked.select(F.col("request_id").alias("name_id"), "name", "date")
 
     same_day = contained_names(
         listed.withColumn("date", day), names.where(full), on=("date",)
@@ -375,14 +388,14 @@ def find_matches(requests: DataFrame, matches: DataFrame) -> DataFrame:
     partly = (
         contained_names(listed, names.where(~full))
         .join(listed.select("text_id", "dateutc"), "text_id")
-        .join(names.select("name_id", "date"), "name_id")
-        .where(F.contains("dateutc", "date"))
+        .where(F.contains("dateutc", "name_id.date"))
         .select("text_id", "name_id")
     )
     return (
         same_day.unionByName(partly)
-        .groupBy(F.col("name_id").alias("request_id"))
+        .groupBy("name_id")
         .agg(F.min("text_id").alias("match_id"))
+        .select("name_id.*", "match_id")
     )
 
 
@@ -391,16 +404,14 @@ def match_details(requests: DataFrame, matches: DataFrame, players: DataFrame) -
 
     Team names come from the request's label and go to the teams in the order in which the
     match record lists them. A draw has no winner. Entries keep record order, bench before
-    lineup, and a player's goals are summed.
+    lineup, and a player's goals are summed. What many requests ask alike is worked out once.
     """
-    found = (
-        find_matches(requests, matches)
-        .join(requests.select("request_id", "date", "label"), "request_id")
-        .join(matches.withColumnRenamed("wyId", "match_id").drop("date", "label"), "match_id")
-    )
+    asked = ["date", "label"]
     teams = F.split(F.substring_index(fix_label("label"), ",", 1), "-")
     found = (
-        found.withColumn("teams", F.transform(teams, lambda t: F.trim(t)))
+        find_matches(requests, matches)
+        .join(matches.withColumnRenamed("wyId", "match_id").drop(*asked), "match_id")
+        .withColumn("teams", F.transform(teams, lambda t: F.trim(t)))
         .withColumn("team_ids", F.map_keys("teamsData"))
         .withColumn(
             "winner",
@@ -415,8 +426,9 @@ def match_details(requests: DataFrame, matches: DataFrame, players: DataFrame) -
             ),
         )
     )
-    header = found.select("request_id", "date", "duration", "winner", "gameweek", "venue")
-    return header.join(_match_lists(match_entries(found, players)), "request_id", "left").select(
+    header = found.select(*asked, "duration", "winner", "gameweek", "venue")
+    lists = _match_lists(match_entries(found, players))
+    answers = header.join(lists, asked, "left").select(
         *header.columns,
         *[
             F.coalesce(c, F.array().cast(t)).alias(c)
@@ -428,13 +440,18 @@ def match_details(requests: DataFrame, matches: DataFrame, players: DataFrame) -
             )
         ],
     )
+    return (
+        requests.select("request_id", *asked)
+        .join(answers, asked)
+        .select("request_id", *[c for c in answers.columns if c != "label"])
+    )
 
 
 _GOALS = "array<struct<name:string,team_name:string,number_of_goals:bigint>>"
 
 
 def match_entries(found: DataFrame, players: DataFrame) -> DataFrame:
-    """Cards and goals one by one: ``request_id, place, kind, name, team_name, amount``."""
+    """Cards and goals one by one: ``date, label, place, kind, name, team_name, amount``."""
 
     def squad(team: Column, part: str, section: int) -> Column:
         listed = F.coalesce(
@@ -453,10 +470,11 @@ def match_entries(found: DataFrame, players: DataFrame) -> DataFrame:
 
     listed = (
         found.select(
-            "request_id", "teams", F.posexplode("teamsData").alias("side", "team_id", "team")
+            "date", "label", "teams", F.posexplode("teamsData").alias("side", "team_id", "team")
         )
         .select(
-            "request_id",
+            "date",
+            "label",
             "side",
             F.try_element_at("teams", F.col("side") + 1).alias("team_name"),
             F.explode(
@@ -465,7 +483,7 @@ def match_entries(found: DataFrame, players: DataFrame) -> DataFrame:
                 )
             ).alias("listed"),
         )
-        .select("request_id", "side", "team_name", "listed.section", "listed.spot", "listed.player.*")
+        .select("date", "label", "side", "team_name", "listed.section", "listed.spot", "listed.player.*")
     )
     kinds = {
         "red_cards": "redCards",
@@ -482,7 +500,8 @@ def match_entries(found: DataFrame, players: DataFrame) -> DataFrame:
     names = players.select(F.col("player_id").alias("playerId"), "name")
     return (
         listed.select(
-            "request_id",
+            "date",
+            "label",
             "playerId",
             "team_name",
             F.struct("side", "section", "spot").alias("place"),
@@ -490,7 +509,7 @@ def match_entries(found: DataFrame, players: DataFrame) -> DataFrame:
         )
         .where(is_positive("amount"))
         .join(names, "playerId")
-        .groupBy("request_id", "kind", "playerId", "name", "team_name")
+        .groupBy("date", "label", "kind", "playerId", "name", "team_name")
         .agg(
             F.min("place").alias("place"),
             F.sum(F.trim("amount").cast("long")).alias("amount"),
@@ -517,7 +536,7 @@ def _match_lists(entries: DataFrame) -> DataFrame:
             ),
         ).alias(kind)
 
-    return entries.groupBy("request_id").agg(
+    return entries.groupBy("date", "label").agg(
         cards("red_cards"), cards("yellow_cards"), goals("goals"), goals("own_goals")
     )
 

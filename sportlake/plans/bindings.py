@@ -294,7 +294,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def player_name(number: Column) -> Column:
-    return F.format_string("Customer#%09d", number)
+    return F.concat(F.lit("Customer#"), F.lpad(number.cast("string"), 9, "0"))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
