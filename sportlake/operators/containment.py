@@ -28,7 +28,8 @@ def contained_names(texts: DataFrame, names: DataFrame, on: tuple[str, ...] = ()
     """Pairs ``(text_id, name_id)`` such that the text contains the name.
 
     ``texts`` has ``text_id, text`` and ``names`` has ``name_id, name``; ids are unique.
-    Columns in ``on`` must agree as well. Empty names name nobody.
+    Columns in ``on`` must agree as well, and a text may stand once for each value of them.
+    Empty names name nobody.
     """
     anchored = names.where("name IS NOT NULL AND name <> ''").withColumn(
         "anchor", _anchor(F.col("name"))
@@ -56,11 +57,11 @@ def contained_names(texts: DataFrame, names: DataFrame, on: tuple[str, ...] = ()
     )
     candidates = (
         keyed_texts.join(keyed_names, [*on, "key"])
-        .select("text_id", "name_id", "name")
+        .select("text_id", "name_id", "name", *on)
         .distinct()
     )
     return (
-        candidates.join(texts.select("text_id", "text"), "text_id")
+        candidates.join(texts.select("text_id", "text", *on), ["text_id", *on])
         .where(F.contains("text", "name"))
         .select("text_id", "name_id")
     )

@@ -223,9 +223,9 @@ def win_chance(
     sides = (
         rated.groupBy("fixture_id").agg(*_side_sums()).where("players_1 > 0 AND players_2 > 0")
     )
-    excess = _chemistry_excess(
-        rated if rosters is None else rosters, chemistry, max_fixture_pairs
-    )
+    listed = rated if rosters is None else rosters
+    largest = _most_pairs(listed)
+    excess = _chemistry_excess(listed, chemistry, largest, max_fixture_pairs)
     return (
         sides.join(excess, "fixture_id", "left")
         .selectExpr("*", _CHEM)
@@ -256,22 +256,32 @@ def _chance(centered: bool) -> str:
         AS chance_1"""
 
 
+def _pair_counts(rosters: DataFrame) -> DataFrame:
+    """Number of cross-team pairs of each fixture."""
+    return rosters.groupBy("fixture_id").agg(
+        F.expr("count_if(side = 1) * count_if(side = 2) AS pairs")
+    )
+
+
+def _most_pairs(rosters: DataFrame) -> int:
+    """Cross-team pairs of the largest fixture: one number, from one pass over the rosters."""
+    return _pair_counts(rosters).agg(F.max("pairs")).first()[0] or 0
+
+
 def _chemistry_excess(
-    rosters: DataFrame, chemistry: DataFrame, max_fixture_pairs: int
+    rosters: DataFrame, chemistry: DataFrame, most_pairs: int, max_fixture_pairs: int
 ) -> DataFrame:
     """Sum of ``coeff - 0.5`` over the cross-team pairs that ever met, per fixture.
 
     Pairs that never met add nothing, so they need not be looked at. Rosters are small and
-    their cross-team pairs are joined with the chemistry. Where one check of the rosters
-    finds a fixture of very many pairs, that fixture's pairs are not spelled out: its
-    members meet the known pairs of the chemistry instead.
+    their cross-team pairs are joined with the chemistry. Where ``most_pairs`` tells of a
+    fixture of very many, that fixture's pairs are not spelled out: its members meet the
+    known pairs of the chemistry instead.
     """
     listed = rosters.select("fixture_id", "side", "player_id")
-    sizes = listed.groupBy("fixture_id").agg(
-        F.expr("count_if(side = 1) * count_if(side = 2) AS pairs")
-    )
+    sizes = _pair_counts(listed)
     gain = f"coeff - {codes.START_CHEMISTRY}D AS gain"
-    has_large = (sizes.agg(F.max("pairs")).first()[0] or 0) > max_fixture_pairs
+    has_large = most_pairs > max_fixture_pairs
     small = listed
     if has_large:
         small_ids = sizes.where(F.col("pairs") <= max_fixture_pairs)
@@ -329,7 +339,7 @@ def fixture_answers(
     rated = member_ratings(resolved, players, latest, predictions)
     found = F.col("player_id").isNotNull()
     rosters = resolved.where(found).select("fixture_id", "side", "player_id")
-    excess = _chemistry_excess(rosters, chemistry, MAX_FIXTURE_PAIRS)
+    excess = _chemistry_excess(rosters, chemistry, _most_pairs(members), MAX_FIXTURE_PAIRS)
     counted = [
         F.count_if((F.col("side") == side) & (F.col("role") == role)).alias(f"{role}_{side}")
         for side in (1, 2)
@@ -366,33 +376,30 @@ def find_matches(asked: DataFrame, matches: DataFrame) -> DataFrame:
     """First match, by id, whose label and date text contain a given ``date, label``.
 
     A full date can only mean matches of that day, so day and label anchor are one join
-    key. Any other date text is compared after the join on the label.
+    key. Any other date text is looked for in all matches that the label leaves.
     """
+    is_day = r"^\d{4}-\d{2}-\d{2}$"
     names = (
         asked.where("date IS NOT NULL AND label IS NOT NULL")
         .select("date", "label")
         .distinct()
         .select(
-            F.struct("date", "label").alias("name_id"), "date", fix_label("label").alias("name")
+            F.struct("date", "label").alias("name_id"),
+            F.when(F.col("date").rlike(is_day), F.col("date")).otherwise("").alias("day"),
+            fix_label("label").alias("name"),
         )
     )
-    full = F.col("date").rlike(r"^\d{4}-\d{2}-\d{2}$")
-    listed = matches.select(
-        F.col("wyId").alias("text_id"), F.col("label").alias("text"), "dateutc"
-    )
     day = F.regexp_extract("dateutc", r"^(\d{4}-\d{2}-\d{2})(?!\d)", 1)
-
-    same_day = contained_names(
-        listed.withColumn("date", day), names.where(full), on=("date",)
-    )
-    partly = (
-        contained_names(listed, names.where(~full))
-        .join(listed.select("text_id", "dateutc"), "text_id")
-        .where(F.contains("dateutc", "name_id.date"))
-        .select("text_id", "name_id")
+    listed = matches.select(
+        F.col("wyId").alias("text_id"),
+        F.col("label").alias("text"),
+        "dateutc",
+        F.explode(F.array_distinct(F.array(day, F.lit("")))).alias("day"),
     )
     return (
-        same_day.unionByName(partly)
+        contained_names(listed, names, on=("day",))
+        .join(matches.select(F.col("wyId").alias("text_id"), "dateutc"), "text_id")
+        .where(F.contains("dateutc", "name_id.date"))
         .groupBy("name_id")
         .agg(F.min("text_id").alias("match_id"))
         .select("name_id.*", "match_id")

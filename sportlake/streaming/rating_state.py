@@ -66,55 +66,58 @@ class RatingProcessor(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        player = key[0]
-        sums: dict[int, list[int]] = {}
+        # State is read once and written once per player and batch.
+        stored = {match[0]: tuple(counts) for match, counts in self._open.iterator()}
+        held = {match: list(counts) for match, counts in stored.items()}
         listed = []
         for row in rows:
             if row["is_event"]:
-                held = sums.setdefault(row["match_id"], [0] * len(USED))
+                counts = held.setdefault(row["match_id"], [0] * len(USED))
                 for i, counter in enumerate(USED):
-                    held[i] += row[counter]
+                    counts[i] += row[counter]
             else:
                 listed.append(row)
-        for match, added in sums.items():
-            if self._open.containsKey((match,)):
-                added = [a + b for a, b in zip(added, self._open.getValue((match,)))]
-            self._open.updateValue((match,), tuple(added))
 
-        listed.sort(key=lambda r: (r["match_date"], r["match_id"]))
-        for row in listed:
-            yield from self._rate(player, row)
+        if listed:
+            listed.sort(key=lambda r: (r["match_date"], r["match_id"]))
+            yield from self._rate(key[0], listed, held)
 
-    def _rate(self, player: int, row: Row) -> Iterator[Row]:
-        match = row["match_id"]
-        counts = dict.fromkeys(USED, 0)
-        if self._open.containsKey((match,)):
-            counts = dict(zip(USED, self._open.getValue((match,))))
+        for match, counts in held.items():
+            if stored.get(match) != tuple(counts):
+                self._open.updateValue((match,), tuple(counts))
+        for match in stored.keys() - held.keys():
             self._open.removeKey((match,))
-        if not row["played"]:
-            return
 
+    def _rate(
+        self, player: int, listed: list[Row], held: dict[int, list[int]]
+    ) -> Iterator[Row]:
         rating, matches, last = codes.START_RATING, 0, None
         if self._rating.exists():
             rating, matches, *last = self._rating.get()
-        at = [row["match_date"], match]
-        late = last is not None and at <= last
-        after, change, played = None, None, None
-        if not late:
-            after = row["weight"] * ((contribution(counts) + rating) / 2)
-            change, played = after - rating, matches + 1
-            self._rating.update((after, played, *at))
-        yield Row(
-            player_id=player,
-            match_id=match,
-            match_date=row["match_date"],
-            team_id=row["team_id"],
-            rating=after,
-            delta=change,
-            matches=played,
-            age=row["age"],
-            late=late,
-        )
+        for row in listed:
+            match = row["match_id"]
+            counts = dict(zip(USED, held.pop(match, [0] * len(USED))))
+            if not row["played"]:
+                continue
+            at = [row["match_date"], match]
+            rated = {"rating": None, "delta": None, "matches": None, "late": True}
+            if last is None or at > last:
+                after = row["weight"] * ((contribution(counts) + rating) / 2)
+                change, rating, matches, last = after - rating, after, matches + 1, at
+                rated = {"rating": after, "delta": change, "matches": matches, "late": False}
+            yield Row(
+                player_id=player,
+                match_id=match,
+                match_date=row["match_date"],
+                team_id=row["team_id"],
+                rating=rated["rating"],
+                delta=rated["delta"],
+                matches=rated["matches"],
+                age=row["age"],
+                late=rated["late"],
+            )
+        if last is not None:
+            self._rating.update((rating, matches, *last))
 
     def close(self) -> None:
         pass
