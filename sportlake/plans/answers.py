@@ -369,6 +369,29 @@ def fixture_answers(
     )
 
 
+def win_chance_answers(
+    requests: DataFrame,
+    players: DataFrame,
+    latest: DataFrame,
+    chemistry: DataFrame,
+    predictions: DataFrame | None = None,
+    **rules,
+) -> DataFrame:
+    """Answers to win-chance requests with the name and chance of both teams."""
+    members = request_members(requests).withColumnRenamed("request_id", "fixture_id")
+    answered = fixture_answers(members, players, latest, chemistry, predictions, **rules)
+    return requests.join(
+        answered.withColumnRenamed("fixture_id", "request_id"), "request_id", "left"
+    ).selectExpr(
+        "request_id",
+        "coalesce(status, 'team 1 invalid') AS status",
+        *[
+            f"named_struct('name', team{n}.name, 'winning chance', chance_{n}) AS team{n}"
+            for n in (1, 2)
+        ],
+    )
+
+
 # Match details ----------------------------------------------------------------------------
 
 

@@ -594,6 +594,10 @@ ORACLES: dict[str, str] = {
     "dedupe_matches": _with(
         ("ev",), "SELECT DISTINCT match_id, CAST(d AS INTEGER) AS day FROM ev"
     ),
+    "matches_file": _with(
+        ("en",),
+        "SELECT match_id, label, day || ' 15:00:00' AS dateutc, gameweek, venue FROM mt",
+    ),
     "players_csv": _with(("pl",), f"SELECT {_PLAYER_COLUMNS} FROM pl"),
     "profile_tsv": _PROFILE,
     "predictions_csv": _GRID,

@@ -397,6 +397,16 @@ def dedupe_matches(spark, sf_dir):
     return record_ops.first_per_key(announced, ["match_id"], ["event_id"]).drop("event_id")
 
 
+def matches_file(spark, sf_dir):
+    """Match records written as JSON lines, each of them twice, and read back."""
+    path = scratch_folder(spark, "matches")
+    lines = bind.match_lines(spark, sf_dir)
+    lines.unionByName(lines).write.text(path)
+    return files.read_matches(spark, path).select(
+        F.col("wyId").alias("match_id"), "label", "dateutc", "gameweek", "venue"
+    )
+
+
 def players_csv(spark, sf_dir):
     path = scratch_folder(spark, "players")
     files.write_players(bind.players(spark, sf_dir), path)
@@ -513,6 +523,7 @@ QUERIES: dict[str, Query] = {
         json_counters,
         json_appearances,
         dedupe_matches,
+        matches_file,
         players_csv,
         profile_tsv,
         predictions_csv,

@@ -4,6 +4,7 @@ import json
 import pytest
 from seasons import FIRST, match_record
 
+from sportlake import schemas
 from sportlake.operators import records
 from sportlake.plans import answers
 from sportlake.sources import files
@@ -158,6 +159,21 @@ def test_fixture_checks_in_order(spark):
     assert got[3] == ("team 2 invalid", None)
     assert got[4] == ("retired players", None)
 
+    requests = spark.createDataFrame(
+        [
+            (f, 1, "2020-01-01", None, None, ("Reds", teams[0]), ("Blues", teams[1]))
+            for f, teams in {**fixtures, 5: ([], squads[0])}.items()
+        ],
+        schemas.REQUEST,
+    )
+    named = answers.win_chance_answers(requests, players, latest, none)
+    got = {r.request_id: json.loads(r.answer) for r in answers.as_json(named).collect()}
+    assert got[1]["team1"] == {"name": "Reds", "winning chance": pytest.approx(100.0)}
+    assert got[1]["team2"] == {"name": "Blues", "winning chance": pytest.approx(0.0)}
+    assert [got[n]["status"] for n in (2, 4, 5)] == [
+        "team 1 invalid", "retired players", "team 1 invalid",
+    ]
+
 
 def test_fallback_ratings(spark):
     rated = spark.createDataFrame(
