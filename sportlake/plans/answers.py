@@ -61,24 +61,19 @@ def resolve_players(names: DataFrame, players: DataFrame) -> DataFrame:
     """Distinct given names with the player they mean.
 
     An exact name wins; otherwise it is the first player, in file order, whose name lies
-    within the given text. Names of nobody have a null ``player_id``.
+    within the given text. Names of nobody have a null ``player_id``. Only exact names have
+    a ``role``.
     """
     wanted = names.select("name").where("name IS NOT NULL").distinct()
-    known = players_by_name(players).select("name", "player_id", "file_order")
-    exact = wanted.join(known.select("name", "player_id"), "name", "left")
+    known = players_by_name(players)
+    exact = wanted.join(known.select("name", "player_id", "role"), "name", "left")
 
-    open_names = exact.where("player_id IS NULL").select(
-        F.col("name").alias("text_id"), F.col("name").alias("text")
-    )
+    open_names = exact.where("player_id IS NULL").selectExpr("name AS text_id", "name AS text")
     within = first_contained(
-        open_names, known.select(F.col("file_order").alias("name_id"), "name")
-    )
-    by_order = known.select(
-        F.col("file_order").alias("name_id"), F.col("player_id").alias("within_id")
-    )
-    found = within.join(by_order, "name_id").select(F.col("text_id").alias("name"), "within_id")
-    return exact.join(found, "name", "left").select(
-        "name", F.coalesce("player_id", "within_id").alias("player_id")
+        open_names, known.selectExpr("struct(file_order, player_id) AS name_id", "name")
+    ).selectExpr("text_id AS name", "name_id.player_id AS within_id")
+    return exact.join(within, "name", "left").select(
+        "name", F.coalesce("player_id", "within_id").alias("player_id"), "role"
     )
 
 
@@ -333,9 +328,7 @@ def fixture_answers(
     ``status`` tells the first check that failed: an invalid roster of side 1, then of
     side 2, then retired players. Only fixtures with status ``ok`` have chances.
     """
-    roles = players_by_name(players).select("name", "role")
-    lookup = resolve_players(members, players).join(roles, "name", "left")
-    resolved = members.join(lookup, "name", "left")
+    resolved = members.join(resolve_players(members, players), "name", "left")
     rated = member_ratings(resolved, players, latest, predictions)
     found = F.col("player_id").isNotNull()
     rosters = resolved.where(found).select("fixture_id", "side", "player_id")

@@ -298,7 +298,7 @@ def resolve_players(spark, sf_dir):
         .otherwise(F.concat(F.lit("Customer "), customer.cast("string")))
         .alias("name")
     )
-    return answers.resolve_players(names, bind.players(spark, sf_dir))
+    return answers.resolve_players(names, bind.players(spark, sf_dir)).drop("role")
 
 
 def _match_details(spark, sf_dir):
