@@ -18,6 +18,7 @@ from ..functions import age_rounded
 
 PERIOD_DAYS = 365
 CHUNK_ROWS = 64
+SLICE_CHUNKS = 128
 
 
 def player_match(appearances: DataFrame, ratios: DataFrame) -> DataFrame:
@@ -105,15 +106,16 @@ _COMPOSE = """
       )
     )"""
 
-# Rating and number of matches before each chunk of a player.
-_SEEDS = f"""
+# Rating and number of matches before each chunk of a player. The fold appends to a list,
+# which copies it, so a long list of chunks is folded in slices.
+_SEED = "struct<period: bigint, part: bigint, seed: double, played_before: int>"
+_SLICE_SEEDS = f"""
     aggregate(
-      chunks,
+      slice,
       named_struct(
-        'seeds', cast(array() AS
-          array<struct<period: bigint, part: bigint, seed: double, played_before: int>>),
-        'rating', {codes.START_RATING}D,
-        'played', 0
+        'seeds', cast(array() AS array<{_SEED}>),
+        'rating', element_at(done, -1).rating,
+        'played', element_at(done, -1).played
       ),
       (acc, chunk) -> named_struct(
         'seeds', concat(acc.seeds, array(named_struct(
@@ -121,8 +123,21 @@ _SEEDS = f"""
           'seed', acc.rating, 'played_before', acc.played))),
         'rating', chunk.map.scale * acc.rating + chunk.map.shift,
         'played', acc.played + chunk.played
+      )
+    )"""
+_SEEDS = f"""
+    aggregate(
+      transform(
+        sequence(0, (size(chunks) - 1) div {SLICE_CHUNKS}),
+        i -> slice(chunks, int(i * {SLICE_CHUNKS} + 1), {SLICE_CHUNKS})
       ),
-      acc -> acc.seeds
+      array(named_struct(
+        'seeds', cast(array() AS array<{_SEED}>),
+        'rating', {codes.START_RATING}D,
+        'played', 0
+      )),
+      (done, slice) -> concat(done, array({_SLICE_SEEDS})),
+      done -> flatten(done.seeds)
     )"""
 
 # The rated matches of a chunk, from its seed on.
