@@ -113,6 +113,11 @@ def player_profile(requests: DataFrame, players: DataFrame, profile: DataFrame)
     )
 
 
+def unregistered(requests: DataFrame, players: DataFrame) -> DataFrame:
+    """Requests that name nobody in the player dimension."""
+    return requests.join(players.select("name"), "name", "left_anti").select(*requests.columns)
+
+
 # Rosters ----------------------------------------------------------------------------------
 
 

@@ -172,12 +172,12 @@ ch AS (
   FROM pr GROUP BY player_a, player_b
 )"""
 
-CURVE = """
+_CURVE = """
 cs AS (
   SELECT count(*) AS s0, sum(x) AS s1, sum(x * x) AS s2, sum(x * x * x) AS s3,
     sum(x * x * x * x) AS s4, sum(rating) AS t0, sum(rating * x) AS t1,
     sum(rating * x * x) AS t2, count(DISTINCT x) AS ages
-  FROM (SELECT CAST(age - 28 AS DOUBLE) AS x, rating FROM la)
+  FROM (SELECT CAST(age - 28 AS DOUBLE) AS x, rating FROM {rated})
 ),
 cu AS (
   SELECT
@@ -194,6 +194,8 @@ co AS (
   SELECT c0 - 28 * c1 + 784 * c2 AS intercept, c1 - 56 * c2 AS linear, c2 AS quadratic FROM cu
 )"""
 
+CURVE = _CURVE.format(rated="la")
+
 PLAYERS = """
 pl AS (
   SELECT c_custkey AS player_id, c_name AS name, n_name AS birth_area,
@@ -553,6 +555,11 @@ ORACLES: dict[str, str] = {
            FROM rq LEFT JOIN pl ON rq.name = pl.name
            LEFT JOIN fp USING (player_id) WHERE req_type = 2""",
     ),
+    "unregistered": _with(
+        ("rq",),
+        """SELECT request_id, name FROM rq
+           WHERE req_type = 2 AND name NOT IN (SELECT c_name FROM customer)""",
+    ),
     "resolve_contains": """
         SELECT doc_id, min(item_id) AS item_id
         FROM documents d JOIN benchmark b ON contains(d.text, b.text) GROUP BY doc_id""",
@@ -609,5 +616,12 @@ ORACLES: dict[str, str] = {
         ("hi",),
         f"""SELECT age, count(*) AS n, {_r("sum(rating)", "rating_sum")} FROM hi GROUP BY age""",
     ),
+    "stream_predictions": _with(
+        ("hi",),
+        f"""SELECT DISTINCT age,
+              {_r("intercept + linear * age + quadratic * age * age", "rating")}
+            FROM hi, co""",
+        _CURVE.format(rated="hi"),
+    ),
     "stream_profile": _PROFILE,
 }

@@ -279,6 +279,11 @@ def player_profile(spark, sf_dir):
     )
 
 
+def unregistered(spark, sf_dir):
+    asked = answers.route(bind.requests(spark, sf_dir))["profile"]
+    return answers.unregistered(asked, bind.players(spark, sf_dir)).select("request_id", "name")
+
+
 def resolve_contains(spark, sf_dir):
     texts = bind.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("text_id"), "text")
     names = bind.table(spark, sf_dir, "benchmark").select(
@@ -471,6 +476,12 @@ def stream_quadratic(spark, sf_dir):
     return rounded(jobs.curve_stats(spark, _streamed(spark, sf_dir, with_ratings=True)))
 
 
+def stream_predictions(spark, sf_dir):
+    """Predictions for all ages seen, from the curve over every rated match of the stream."""
+    stats = jobs.curve_stats(spark, _streamed(spark, sf_dir, with_ratings=True))
+    return rounded(model_ops.predict_ages(stats, model_ops.solve_quadratic(stats)))
+
+
 def stream_profile(spark, sf_dir):
     return rounded(
         jobs.profile(spark, _streamed(spark, sf_dir, with_counters=True, with_ratings=True))
@@ -513,6 +524,7 @@ QUERIES: dict[str, Query] = {
         win_chance_centered,
         fixture_answers,
         player_profile,
+        unregistered,
         resolve_contains,
         resolve_players,
         match_details,
@@ -532,6 +544,7 @@ QUERIES: dict[str, Query] = {
         stream_ratings,
         stream_chemistry,
         stream_quadratic,
+        stream_predictions,
         stream_profile,
     )
 }

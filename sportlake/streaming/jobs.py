@@ -66,9 +66,14 @@ def start_records(
     """Keeps typed matches and events, and the malformed lines in quarantine."""
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        _write(record_ops.match_records(batch), out, "matches", batch_id)
+        batch.persist()
+        numbered = batch.withColumn("arrival", F.monotonically_increasing_id())
+        sent = record_ops.match_records(numbered)
+        first = record_ops.first_per_key(sent, ["wyId"], ["arrival"]).drop("arrival")
+        _write(first, out, "matches", batch_id)
         _write(record_ops.event_records(batch), out, "events", batch_id)
         _write(record_ops.bad_lines(batch), out, "bad_lines", batch_id)
+        batch.unpersist()
 
     return _start(lines, "append", keep, checkpoint, interval)
 
@@ -159,7 +164,7 @@ def matches(spark: SparkSession, out: str) -> DataFrame:
     """Stored matches; the first form of a match stays."""
     schema = T.StructType([*schemas.MATCH.fields, T.StructField("batch_id", T.LongType())])
     stored = spark.read.schema(schema).parquet(f"{out}/matches")
-    return record_ops.first_per_key(stored, ["wyId"], ["batch_id", "date"]).drop("batch_id")
+    return record_ops.first_per_key(stored, ["wyId"], ["batch_id"]).drop("batch_id")
 
 
 def counters(spark: SparkSession, out: str) -> DataFrame:
