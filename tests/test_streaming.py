@@ -1,4 +1,6 @@
 import itertools
+import os
+import time
 
 import pytest
 from seasons import event_record, match_record, players_table, random_season
@@ -14,9 +16,15 @@ def season():
     return random_season()
 
 
+_ARRIVALS = itertools.count(int(time.time()) - 10_000)
+
+
 def _write(folder, name, lines):
+    """Adds a file that is a second newer than the one before; streams go by file times."""
     folder.mkdir(exist_ok=True)
     (folder / name).write_text("\n".join(lines) + "\n")
+    at = next(_ARRIVALS)
+    os.utime(folder / name, (at, at))
 
 
 def _run(spark, folder, out, max_files=None, players=PLAYERS):
