@@ -6,14 +6,25 @@ that were not rated yet. Rows arrive as events and appearances in one stream.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from .. import codes
+from ..codes import (
+    FOUL_PENALTY,
+    FULL_MATCH,
+    FULL_MATCH_BONUS,
+    OWN_GOAL_PENALTY,
+    START_RATING,
+)
 from ..operators.ratings import with_age
 
+# The processor travels with the query, so workers need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Counters that enter a rating.
 USED = [
     "anp",
@@ -45,7 +56,7 @@ def contribution(counts: dict[str, int]) -> float:
     duels = share(counts["dw"] + counts["nd"] * 0.5, counts["td"])
     free_kicks = share(counts["eff_free_kicks"] + counts["penalties"], counts["free_kicks"])
     gain = (passing + duels + free_kicks + counts["on_target"]) / 4
-    lost = codes.FOUL_PENALTY * counts["fouls"] + codes.OWN_GOAL_PENALTY * counts["own_goals"]
+    lost = FOUL_PENALTY * counts["fouls"] + OWN_GOAL_PENALTY * counts["own_goals"]
     return gain - lost * gain
 
 
@@ -91,7 +102,7 @@ class RatingProcessor(StatefulProcessor):
     def _rate(
         self, player: int, listed: list[Row], held: dict[int, list[int]]
     ) -> Iterator[Row]:
-        rating, matches, last = codes.START_RATING, 0, None
+        rating, matches, last = START_RATING, 0, None
         if self._rating.exists():
             rating, matches, *last = self._rating.get()
         for row in listed:
@@ -147,8 +158,8 @@ def rating_input(
         "match_date",
         "team_id",
         "age",
-        f"""CASE WHEN {minutes} = {codes.FULL_MATCH} THEN {codes.FULL_MATCH_BONUS}D
-                 ELSE {minutes} / {codes.FULL_MATCH} END AS weight""",
+        f"""CASE WHEN {minutes} = {FULL_MATCH} THEN {FULL_MATCH_BONUS}D
+                 ELSE {minutes} / {FULL_MATCH} END AS weight""",
         "played",
         *[f"0L AS {c}" for c in USED],
     )

@@ -1,5 +1,7 @@
 import itertools
 import os
+import subprocess
+import sys
 import time
 
 import pytest
@@ -144,3 +146,17 @@ def test_processing_time_trigger(spark, tmp_path):
         assert not query.isActive
     finally:
         query.stop()
+
+
+def test_processor_loads_without_the_package(tmp_path):
+    """Workers on a cluster, or started elsewhere, do not see this package."""
+    from pyspark import cloudpickle
+
+    from sportlake.streaming.rating_state import RatingProcessor
+
+    (tmp_path / "processor").write_bytes(cloudpickle.dumps(RatingProcessor()))
+    load = "import pickle; print(type(pickle.load(open('processor', 'rb'))).__name__)"
+    done = subprocess.run(
+        [sys.executable, "-c", load], cwd=tmp_path, capture_output=True, text=True, check=True
+    )
+    assert done.stdout.strip() == "RatingProcessor"
