@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sportlake.llm.minhash import near_duplicates
+from sportlake.llm.suffixes import repeated_spans
 from sportlake.llm.tables import read_table
 
 
@@ -15,5 +16,13 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), length=2, percent=80)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op3_minhash": op3_minhash}
+def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strings of 400 bytes that occur more than once in the texts of ``documents``, removed."""
+    return repeated_spans(read_table(spark, sf_dir, "documents"), length=400).drop("spans")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash": op3_minhash,
+    "op8_suffix_array": op8_suffix_array,
+}
 ORACLES: dict[str, str] = {}
