@@ -6,10 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pyspark.sql import functions as F
+
+from sportlake.llm import decontam, language, pii, toxicity
 from sportlake.llm.minhash import near_duplicates
 from sportlake.llm.suffixes import repeated_spans
 from sportlake.llm.tables import read_table
 
+#: Key of the registered query; a deployment passes its own secret.
+PII_KEY = b"registered query"
+
+
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts of ``documents`` with pseudonyms for personal numbers, dates and addresses."""
+    return pii.pseudonymised(read_table(spark, sf_dir, "documents"), PII_KEY)
+
 
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of ``documents`` on two-word shingles."""
@@ -21,8 +32,44 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(read_table(spark, sf_dir, "documents"), length=400).drop("spans")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of ``benchmark`` that occur in ``documents``, with up to 8 % of edits."""
+    docs = read_table(spark, sf_dir, "documents")
+    return decontam.contaminated(docs, read_table(spark, sf_dir, "benchmark"), percent=8)
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
+    """Learned from the labels whose ids are not held out (crc32 of the id mod 5 is not 0)."""
+    labels = read_table(spark, sf_dir, "labels").where(toxicity.remainder("doc_id", 5) != 0)
+    return toxicity.fit(read_table(spark, sf_dir, "documents"), labels)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every text of ``documents``."""
+    scored = toxicity.scored(read_table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        (toxicity.remainder("doc_id", 5) == 0).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every text of ``documents``."""
+    docs = read_table(spark, sf_dir, "documents")
+    network = language.fit(docs.where(toxicity.remainder("doc_id", 4) != 2))
+    found = language.identified(docs, network)
+    held_out = (toxicity.remainder("doc_id", 4) == 2).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op3_minhash": op3_minhash,
+    "op5_decontamination": op5_decontamination,
+    "op7_toxicity": op7_toxicity,
     "op8_suffix_array": op8_suffix_array,
+    "op10_language": op10_language,
 }
 ORACLES: dict[str, str] = {}
