@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sportlake.llm import decontam, language, pii, toxicity
+from sportlake.llm import decontam, language, mixing, pii, toxicity
 from sportlake.llm.minhash import near_duplicates
 from sportlake.llm.suffixes import repeated_spans
 from sportlake.llm.tables import read_table
@@ -38,6 +38,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(docs, read_table(spark, sf_dir, "benchmark"), percent=8)
 
 
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` that a mix of their sources by weights 5, 2, 1 takes."""
+    found = mixing.mixed(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model:
     """Learned from the labels whose ids are not held out (crc32 of the id mod 5 is not 0)."""
     labels = read_table(spark, sf_dir, "labels").where(toxicity.remainder("doc_id", 5) != 0)
@@ -68,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_minhash": op3_minhash,
     "op5_decontamination": op5_decontamination,
+    "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
     "op8_suffix_array": op8_suffix_array,
     "op10_language": op10_language,
