@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sportlake.llm import decontam, language, mixing, pii, toxicity
+from sportlake.llm.lines import near_lines
 from sportlake.llm.minhash import near_duplicates
 from sportlake.llm.suffixes import repeated_spans
 from sportlake.llm.tables import read_table
@@ -32,6 +33,11 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_spans(read_table(spark, sf_dir, "documents"), length=400).drop("spans")
 
 
+def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of ``documents`` that repeat an earlier line up to one edit."""
+    return near_lines(read_table(spark, sf_dir, "documents")).drop("row")
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of ``benchmark`` that occur in ``documents``, with up to 8 % of edits."""
     docs = read_table(spark, sf_dir, "documents")
@@ -73,6 +79,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op3_minhash": op3_minhash,
+    "op4_lines": op4_lines,
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
