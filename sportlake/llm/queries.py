@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sportlake.llm import decontam, language, mixing, pii, toxicity
+from sportlake.llm import decontam, imatch, language, mixing, pii, toxicity
 from sportlake.llm.lines import near_lines
 from sportlake.llm.minhash import near_duplicates
 from sportlake.llm.suffixes import repeated_spans
@@ -67,6 +67,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_imatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of ``documents``, and their likeness to edited and to other texts."""
+    return imatch.compared(read_table(spark, sf_dir, "documents"))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every text of ``documents``."""
     docs = read_table(spark, sf_dir, "documents")
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,
     "op8_suffix_array": op8_suffix_array,
+    "op9_imatch": op9_imatch,
     "op10_language": op10_language,
 }
 ORACLES: dict[str, str] = {}
