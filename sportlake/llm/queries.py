@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sportlake.llm import decontam, imatch, language, mixing, pii, toxicity
+from sportlake.llm import decontam, imatch, language, mixing, pii, sharding, toxicity
 from sportlake.llm.lines import near_lines
 from sportlake.llm.minhash import near_duplicates
 from sportlake.llm.suffixes import repeated_spans
@@ -23,6 +23,14 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymised(read_table(spark, sf_dir, "documents"), PII_KEY)
 
 
+def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 39 of ``documents`` with even row counts and linked texts together."""
+    found = sharding.sharded(read_table(spark, sf_dir, "documents"), shards=40)
+    law = F.lit("rows").alias("law")
+    grown = F.lit(None).cast("int").alias("grown_shard")
+    return found.select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near duplicates of ``documents`` on two-word shingles."""
     return near_duplicates(read_table(spark, sf_dir, "documents"), length=2, percent=80)
@@ -83,6 +91,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
+    "op2_sharding": op2_sharding,
     "op3_minhash": op3_minhash,
     "op4_lines": op4_lines,
     "op5_decontamination": op5_decontamination,
