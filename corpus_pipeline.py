@@ -1,4 +1,8 @@
-"""Pipeline over ``documents``: each stage applies one operator to what the one before kept."""
+"""Pipeline over ``documents``: each stage applies one operator to what the one before kept.
+
+A stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written as Parquet and
+read again as the next stage's ``docs``. All but the last return the columns they were given.
+"""
 
 from __future__ import annotations
 
@@ -7,26 +11,63 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sportlake.llm import decontam, mixing, sharding, toxicity
 from sportlake.llm.minhash import near_duplicates
 from sportlake.llm.tables import read_table, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that score 0.5 or more go; the model learns from those labelled and at hand.
+
+    Labels whose ids are held out (crc32 of the id mod 5 is 0) are not learned from. Without
+    labels of both kinds nothing goes. Null and empty texts stay.
+    """
+    labels = read_table(spark, sf_dir, "labels").where(toxicity.remainder("doc_id", 5) != 0)
+    return toxicity.clean(docs, toxicity.fit(docs, labels))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity 0.8) stays.
 
-    That is the row with the group's smallest doc_id. Rows without doc_id stay; of rows that
-    repeat one id, those of the smallest text stay.
+    That is the one with the group's smallest doc_id. Rows without doc_id stay, as do rows
+    without words. Of rows that repeat one id with near texts all stay.
     """
     found = near_duplicates(docs)
     gone = found.where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    return docs.join(gone.where("not kept"), "doc_id", "left_anti")
+    return docs.join(gone.where("not kept"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold an item of ``benchmark``, up to 8 % of edits, go.
+
+    Rows without doc_id are looked up by nothing and stay.
+    """
+    found = decontam.contaminated(docs, read_table(spark, sf_dir, "benchmark"), percent=8)
+    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as a mix of their sources by weights 5, 2, 1 takes them."""
+    return mixing.applied(docs)
+
+
+def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with ``shard`` (0 to 39) and ``slot`` in it."""
+    return sharding.assigned(docs, shards=40)
 
 
 #: Name and function of each stage.
-STAGES: list[tuple[str, Stage]] = [("near_dedup", near_dedup)]
+STAGES: list[tuple[str, Stage]] = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", near_dedup),
+    ("decontamination", decontaminate),
+    ("mixing", mix),
+    ("sharding", shard),
+]
 
+#: Hashes, a trained classifier and edit distances are beyond SQL; see tests/llm.
 ORACLE_SQL = None
 
 
