@@ -199,10 +199,11 @@ def without_near_lines(docs: DataFrame, least: int = 20) -> DataFrame:
     found = near_lines(docs, least).select("row", "removed").where("size(removed) > 0")
     found = found.dropDuplicates(["row"])
     keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
-    joined = keyed.join(found.withColumnRenamed("row", "__row"), "__row", "left")
+    found = found.select(F.col("row").alias("__row"), F.col("removed").alias("__removed"))
+    joined = keyed.join(found, "__row", "left")
     rest = F.expr(
-        """if(removed is null, text, array_join(
+        """if(__removed is null, text, array_join(
             transform(filter(transform(split(text, '\\n'), (l, i) -> struct(l, i)),
-                             x -> not array_contains(removed, x.i)), x -> x.l), '\\n'))"""
+                             x -> not array_contains(__removed, x.i)), x -> x.l), '\\n'))"""
     )
     return joined.withColumn("text", rest).select(*docs.columns)
