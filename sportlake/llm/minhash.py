@@ -6,10 +6,9 @@ reads shifted circularly by k. The K values a shingle contributes are therefore
 neighbouring entries of a table, and a signature is the minimum over such runs.
 
 With 32 bands of 4 coordinates a pair of similarity 0.8 shares no band with a probability of
-5e-8. Texts of equal sets form one class. Within a bucket every class is compared with the
-bucket's leader and its neighbours in the bucket's order; buckets whose classes then still
-belong to several components are finished exactly: every class outside the bucket's largest
-component is compared with all classes of other components.
+5e-8. Texts of equal sets form one class. Within a bucket every class is compared with one
+leader, not with all others. Buckets whose classes then still belong to several components
+are finished exactly: the classes outside the main one meet all others in blocks.
 """
 
 from __future__ import annotations
@@ -22,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sportlake.llm.tables import components, stored
@@ -31,6 +29,8 @@ from sportlake.llm.words import mix, shingle_sets
 #: Positions of the circulant permutation, bands, and coordinates in each band.
 POSITIONS, BANDS, ROWS = 1 << 20, 32, 4
 _BLOCK = 2048
+#: Sets of a side that are compared in one task at a time.
+BLOCK = 512
 
 
 @lru_cache(1)
@@ -136,6 +136,123 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _block_links(percent: int):
+    """Links between the queries and the other sets of a block."""
+
+    def run(table: pa.Table) -> pa.Table:
+        asks = table["query"].to_numpy()
+        names, roots = table["class"].to_numpy(), table["root"].to_numpy()
+        shingles = table["shingles"].combine_chunks()
+        flat, cuts = shingles.values.to_numpy(), shingles.offsets.to_numpy()
+        sizes = np.diff(cuts)
+        rows = np.repeat(np.arange(len(names)), sizes)
+        inner = ~asks[rows]
+        order = np.argsort(flat[inner], kind="stable")
+        values, owners = flat[inner][order], rows[inner][order]
+        found = []
+        for q in np.flatnonzero(asks):
+            own = flat[cuts[q] : cuts[q + 1]]
+            low, high = np.searchsorted(values, own), np.searchsorted(values, own, "right")
+            counts = high - low
+            places = np.repeat(low - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+            common = np.bincount(owners[places], minlength=len(names))
+            linked = (common * 100 >= (sizes[q] + sizes - common) * percent) & (roots != roots[q]) & ~asks
+            found += [(names[q], names[m]) for m in np.flatnonzero(linked)]
+        a, b = zip(*found, strict=True) if found else ((), ())
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return run
+
+
+def _second_leaders(
+    banded: DataFrame, sets: DataFrame, links: DataFrame, roots: DataFrame, percent: int
+) -> tuple[DataFrame, DataFrame]:
+    """Links within buckets whose classes belong to several components: all links, new roots.
+
+    A component leads a bucket if it has the class with most links there; the members of all
+    its buckets form one group and are compared with its best linked class. Members still
+    apart from it are then compared with all of the group, block by block: a task gets at
+    most ``BLOCK`` sets of each side, counts what they have in common through an index
+    of its own, and gives back links only.
+    """
+    degree = (
+        links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
+    )
+    placed = (
+        banded.select("band", "class")
+        .join(degree, "class", "left")
+        .join(roots.withColumnRenamed("node", "class"), "class", "left")
+        .select("band", "class", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("root", "class").alias("root"))
+    )
+    placed = stored(placed, "placed")
+    most = F.max(F.struct("links", "class", "root"))
+    # One leader for a component, whatever buckets it dominates.
+    heads = placed.groupBy("root").agg(most.getField("class").alias("leader"))
+    mixed = (
+        placed.groupBy("band")
+        .agg(F.min("root").alias("low"), F.max("root").alias("high"), most.getField("root").alias("main"))
+        .where("low != high")
+        .join(heads, F.col("main") == F.col("root"))
+        .select("band", "leader")
+    )
+    own = (
+        placed.join(mixed, "band").where("class != leader").select("leader", "class").distinct()
+    )
+    lead = sets.select(F.col("class").alias("leader"), F.col("shingles").alias("sl"))
+    common = F.size(F.array_intersect("shingles", "sl"))
+    own = stored(
+        own.join(lead, "leader")
+        .join(sets, "class")
+        .select("leader", "class", F.size("shingles").alias("n"), F.size("sl").alias("nl"), common.alias("common")),
+        "members",
+    )
+    alike = f"common * 100 >= (n + nl - common) * {percent}"
+    found = own.where(alike).select(F.col("class").alias("a"), F.col("leader").alias("b"))
+    links = links.unionByName(found)
+    trees = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = stored(components(trees.unionByName(found)), "roots")
+
+    rooted = roots.withColumnRenamed("node", "class")
+    lead = roots.select(F.col("node").alias("leader"), F.col("root").alias("main"))
+    sized = (
+        own.join(rooted, "class", "left")
+        .join(lead, "leader", "left")
+        .withColumn("root", F.coalesce("root", "class"))
+        .withColumn("out", F.col("root") != F.coalesce("main", "leader"))
+    )
+    groups = (
+        sized.groupBy("leader")
+        .agg(F.max("out").alias("any_out"), F.count("*").alias("members"), F.sum(F.col("out").cast("int")).alias("outer"))
+        .where("any_out and members > 1")
+        .select(
+            "leader",
+            F.expr(f"cast(ceil(members / {BLOCK}D) as int)").alias("inner_blocks"),
+            F.expr(f"cast(ceil(outer / {BLOCK}D) as int)").alias("outer_blocks"),
+        )
+    )
+    sized = stored(
+        sized.join(groups, "leader").join(sets, "class").select(
+            "leader", "class", "root", "out", "inner_blocks", "outer_blocks", "shingles"
+        ),
+        "apart",
+    )
+    cell = lambda n: F.pmod(F.xxhash64("class"), F.col(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inner = sized.select(
+        "leader", cell("inner_blocks").alias("i"), spread("outer_blocks").alias("o"), F.lit(False).alias("query"), "class", "root", "shingles"
+    )
+    outer = sized.where("out").select(
+        "leader", spread("inner_blocks").alias("i"), cell("outer_blocks").alias("o"), F.lit(True).alias("query"), "class", "root", "shingles"
+    )
+    blocks = inner.unionByName(outer).groupBy("leader", "i", "o")
+    more = blocks.applyInArrow(_block_links(percent), "a bigint, b bigint")
+    more = stored(more, "verified")
+    if more.isEmpty():
+        return links, roots
+    trees = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    return links.unionByName(more), stored(components(trees.unionByName(more)), "roots")
+
+
 def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
     """Component of near duplicates of every row of ``docs`` (doc_id, text, more columns).
 
@@ -177,56 +294,20 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     # The members of shared buckets only; every later step reads this table.
     banded = stored(banded.join(shared, "band"), "banded")
 
-    order = W.partitionBy("band", F.pmod(F.xxhash64("class"), F.lit(64))).orderBy("n", "class")
-    neighbours = banded.select(
-        F.col("class").alias("a"), F.lag("class").over(order).alias("b"), "n", F.lag("n").over(order).alias("m")
-    )
     heads = classes.select(F.col("class").alias("leader"), F.col("n").alias("m"))
     pairs = (
         banded.select("leader", "class", "n")
         .where("class != leader")
         .distinct()
         .join(heads, "leader")
-        .select(F.col("class").alias("a"), F.col("leader").alias("b"), "n", "m")
-        .unionByName(neighbours.where("b is not null"))
         .where(_sizes_fit("n", "m", percent))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
+        .select(F.col("class").alias("a"), F.col("leader").alias("b"))
     )
-    pairs = stored(pairs, "pairs")
-
     wanted = classes.join(banded.select("class").distinct(), "class", "left_semi")
     sets = stored(_class_sets(docs, wanted, length), "sets")
     links = stored(_linked(pairs, sets, percent), "verified")
     roots = stored(components(links), "roots")
-
-    # Exact remainder: buckets whose classes are not yet all in one component.
-    placed = banded.join(roots, banded["class"] == roots["node"], "left").select(
-        "band", "class", "n", F.coalesce("root", "class").alias("root")
-    )
-    mixed = (
-        placed.groupBy("band")
-        .agg(F.min("root").alias("low"), F.max("root").alias("high"), F.mode("root", True).alias("main"))
-        .where("low != high")
-        .select("band", "main")
-    )
-    placed = stored(placed.join(mixed, "band"), "placed")
-    x = placed.where("root != main").select("band", F.col("class").alias("a"), F.col("n"), F.col("root").alias("ra"))
-    y = placed.select(
-        "band", F.col("class").alias("b"), F.col("n").alias("m"), F.col("root").alias("rb"), "main"
-    )
-    rest = (
-        x.join(y, "band")
-        .where((F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("main")) | (F.col("ra") < F.col("rb"))))
-        .where(_sizes_fit("n", "m", percent))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
-    more = stored(_linked(rest, sets, percent), "verified")
-    if not more.isEmpty():
-        trees = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = stored(components(trees.unionByName(more)), "roots")
+    _, roots = _second_leaders(banded, sets, links, roots, percent)
 
     rooted = classes.select("class", "doc_id").join(
         roots, F.col("class") == F.col("node"), "left"
