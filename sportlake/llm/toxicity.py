@@ -6,7 +6,7 @@ terms in it are swapped for others of their kind or left out. Terms that only co
 toxic labels thus lose their weight, and neutral mentions of a group stay neutral.
 
 The model is fitted on a sample of at most ``sample`` labelled rows, those with the smallest
-hash of their id; only their words come to the driver. Scoring runs over whole texts.
+hash of their id. Spark counts their words; of those, the most telling come to the driver. Scoring runs over whole texts.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sportlake.llm.tables import stored
+
 #: Labelled rows used at most, and words with a weight at most.
 SAMPLE, FEATURES = 20_000, 4_000
 #: Words in fewer sample texts carry no weight.
@@ -85,17 +86,6 @@ def swaps(mention: str) -> Iterator[tuple[list[str], list[str]]]:
                 yield [term], [other]
 
 
-def _distinct(texts: list[list[str]], labels: np.ndarray) -> list[int]:
-    """First of the texts with the same words and label, so that copies count once."""
-    seen, chosen = set(), []
-    for i, (found, label) in enumerate(zip(texts, labels, strict=True)):
-        key = (hash(tuple(found)), int(label))
-        if key not in seen:
-            seen.add(key)
-            chosen.append(i)
-    return chosen
-
-
 def train(
     texts: list[list[str]],
     labels: list[int],
@@ -108,12 +98,10 @@ def train(
     y = np.array(labels, float)
     if not len(y):
         return Model()
-    rows = _distinct(texts, y)
-    y = y[rows]
-    flat = pa.array([w for i in rows for w in texts[i]], pa.string()).dictionary_encode()
-    names = flat.dictionary.to_pylist()
-    owner = np.repeat(np.arange(len(rows)), [len(texts[i]) for i in rows])
-    codes = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    names = sorted({w for found in texts for w in found})
+    place = {w: i for i, w in enumerate(names)}
+    owner = np.repeat(np.arange(len(texts)), [len(found) for found in texts])
+    codes = np.array([place[w] for found in texts for w in found], np.int64)
     n = len(y)
     df = np.bincount(codes, minlength=len(names)).astype(float)
     pos = np.bincount(codes, y[owner], minlength=len(names))
@@ -127,8 +115,8 @@ def train(
     keep = remap[codes] >= 0 if len(codes) else np.zeros(0, bool)
     row, col = owner[keep], remap[codes[keep]] if len(codes) else codes
     swapped: dict[tuple[tuple, tuple], int] = {}
-    for i in rows:
-        for mention in mentions[i]:
+    for found in mentions:
+        for mention in found:
             for out, into in swaps(mention):
                 key = tuple(sorted(number[w] for w in out)), tuple(number[w] for w in into)
                 swapped[key] = swapped.get(key, 0) + 1
@@ -172,20 +160,41 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, **options) ->
     rows = (
         docs.select(F.col("doc_id").cast("long"), "text")
         .join(F.broadcast(chosen), "doc_id")  # at most ``sample`` ids
-        .select("toxic", "text", "doc_id")
+        .select("toxic", "text")
         .mapInArrow(_featured, "toxic int, words array<string>, mentions array<string>")
-        .toArrow()
+        # Copies of a text count once.
+        .withColumn("key", F.xxhash64("words"))
+        .dropDuplicates(["key", "toxic"])
     )
-    order = sorted(range(rows.num_rows), key=lambda i: rows["words"][i].as_py())
-    rows = rows.take(pa.array(order, pa.int64())) if order else rows
+    rows = stored(rows, "sample")
+    known = _informative(rows)
+    names = ["toxic", "words", "mentions"]
+
+    def narrowed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [[w for w in found if w in known] for found in batch.column(1).to_pylist()]
+            columns = [batch.column(0), pa.array(own, pa.list_(pa.string())), batch.column(2)]
+            yield pa.RecordBatch.from_arrays([*columns, batch.column(3)], names=[*names, "key"])
+
+    schema = "toxic int, words array<string>, mentions array<string>, key bigint"
+    table = rows.select(*names, "key").mapInArrow(narrowed, schema).toArrow()
+    table = table.sort_by([("key", "ascending"), ("toxic", "ascending")])
     return train(
-        rows["words"].to_pylist(),
-        pc.cast(rows["toxic"], pa.int64()).to_pylist(),
-        rows["mentions"].to_pylist(),
-        **options,
+        table["words"].to_pylist(), table["toxic"].to_pylist(), table["mentions"].to_pylist(), **options
     )
 
 
+def _informative(rows: DataFrame) -> set[str]:
+    """The ``FEATURES`` words that tell most about the label, and all identity terms."""
+    total = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("y")).first()
+    share = ((total["y"] or 0) + 0.5) / (total["n"] + 1)
+    counts = rows.select("toxic", F.explode("words").alias("word")).groupBy("word")
+    counts = counts.agg(F.count("*").alias("df"), F.sum("toxic").alias("pos")).where(F.col("df") >= LEAST_TEXTS)
+    gain = (F.col("pos") - F.col("df") * share) ** 2 / F.col("df")
+    best = counts.orderBy(gain.desc(), "word").limit(FEATURES).collect()
+    return {r["word"] for r in best} | _KIND.keys()
+
+
 def scored(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` (doc_id, text) as ``doc_id, score``, a row for each row.
 
