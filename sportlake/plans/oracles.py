@@ -611,6 +611,7 @@ ORACLES: dict[str, str] = {
     "chemistry_text": _CHEMISTRY,
     "stream_counters": _COUNTERS,
     "stream_ratings": _HISTORY,
+    "stream_ratings_batches": _HISTORY,
     "stream_chemistry": _CHEMISTRY,
     "stream_quadratic": _with(
         ("hi",),

@@ -438,9 +438,6 @@ def chemistry_text(spark, sf_dir):
 
 # Streams ----------------------------------------------------------------------------------
 
-STREAM_TIMEOUT = 1800
-
-
 def _streamed(spark, sf_dir, with_counters=False, with_ratings=False):
     """Runs the streaming jobs over all records, written as JSON lines; gives the tables."""
     source, out = scratch_folder(spark, "lines"), scratch_folder(spark, "season")
@@ -453,10 +450,9 @@ def _streamed(spark, sf_dir, with_counters=False, with_ratings=False):
         running.append(jobs.start_counters(lines, out, checkpoint, interval=None))
     if with_ratings:
         checkpoint = scratch_folder(spark, "checkpoint-ratings")
-        births = bind.births(session, sf_dir)
-        running.append(jobs.start_ratings(lines, births, out, checkpoint, interval=None))
+        running.append(jobs.start_facts(lines, out, checkpoint, interval=None))
     for query in running:
-        jobs.finish(query, STREAM_TIMEOUT)
+        jobs.finish(query)
     return out
 
 
@@ -464,28 +460,51 @@ def stream_counters(spark, sf_dir):
     return jobs.counters(spark, _streamed(spark, sf_dir, with_counters=True))
 
 
+def _stream_rated(spark, sf_dir):
+    out = _streamed(spark, sf_dir, with_ratings=True)
+    return jobs.ratings(spark, out, bind.births(spark, sf_dir))
+
+
 def stream_ratings(spark, sf_dir):
-    return rounded(jobs.ratings(spark, _streamed(spark, sf_dir, with_ratings=True)))
+    return rounded(_stream_rated(spark, sf_dir))
+
+
+def stream_ratings_batches(spark, sf_dir):
+    """Ratings of a stream of four batches: a third of all events comes after all matches."""
+    source, out = scratch_folder(spark, "lines"), scratch_folder(spark, "season")
+    events, matches = bind.event_lines(spark, sf_dir), bind.match_lines(spark, sf_dir)
+    third = F.pmod(F.xxhash64("value"), F.lit(3))
+    session = jobs.stream_session(spark, spark.sparkContext.defaultParallelism)
+    checkpoint = scratch_folder(spark, "checkpoint")
+    # Before, with and after the records of their matches; then all matches once more.
+    for lines in (
+        events.where(third == 0),
+        events.where(third == 1).unionByName(matches),
+        events.where(third == 2),
+        matches,
+    ):
+        lines.write.mode("append").text(source)
+        jobs.finish(jobs.start_facts(jobs.read_lines(session, source), out, checkpoint, None))
+    return rounded(jobs.ratings(spark, out, bind.births(spark, sf_dir)))
 
 
 def stream_chemistry(spark, sf_dir):
-    return rounded(jobs.chemistry(spark, _streamed(spark, sf_dir, with_ratings=True)))
+    return rounded(jobs.chemistry(_stream_rated(spark, sf_dir)))
 
 
 def stream_quadratic(spark, sf_dir):
-    return rounded(jobs.curve_stats(spark, _streamed(spark, sf_dir, with_ratings=True)))
+    return rounded(jobs.curve_stats(_stream_rated(spark, sf_dir)))
 
 
 def stream_predictions(spark, sf_dir):
     """Predictions for all ages seen, from the curve over every rated match of the stream."""
-    stats = jobs.curve_stats(spark, _streamed(spark, sf_dir, with_ratings=True))
+    stats = jobs.curve_stats(_stream_rated(spark, sf_dir))
     return rounded(model_ops.predict_ages(stats, model_ops.solve_quadratic(stats)))
 
 
 def stream_profile(spark, sf_dir):
-    return rounded(
-        jobs.profile(spark, _streamed(spark, sf_dir, with_counters=True, with_ratings=True))
-    )
+    out = _streamed(spark, sf_dir, with_counters=True, with_ratings=True)
+    return rounded(jobs.profile(spark, out, bind.births(spark, sf_dir)))
 
 
 QUERIES: dict[str, Query] = {
@@ -542,6 +561,7 @@ QUERIES: dict[str, Query] = {
         chemistry_text,
         stream_counters,
         stream_ratings,
+        stream_ratings_batches,
         stream_chemistry,
         stream_quadratic,
         stream_predictions,

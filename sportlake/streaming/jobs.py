@@ -22,13 +22,11 @@ from ..operators import models as model_ops
 from ..operators import profiles as profile_ops
 from ..operators import ratings as rating_ops
 from ..operators import records as record_ops
-from . import rating_state
 
 INTERVAL = "100 seconds"
 
 COUNTERS = "match_id long, player_id long, " + ", ".join(f"{c} long" for c in codes.COUNTERS)
-CONTRIBUTIONS = "player_a long, player_b long, contribution double"
-STATS = "age int, n long, rating_sum double"
+SENT = ("sent_at", "sent_in", "sent_from")
 
 
 def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
@@ -50,11 +48,19 @@ def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkS
 def read_lines(
     spark: SparkSession, path: str, max_files: int | None = None
 ) -> DataFrame:
-    """JSON lines of a folder that grows. Any other line source with ``value`` will do."""
+    """JSON lines of a folder that grows, with the time and place they were sent from.
+
+    Any other line source with ``value`` will do.
+    """
     reader = spark.readStream.format("text")
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.load(path)
+    return reader.load(path).selectExpr(
+        "value",
+        "_metadata.file_modification_time AS sent_at",
+        "_metadata.file_path AS sent_in",
+        "_metadata.file_block_start AS sent_from",
+    )
 
 
 # Jobs -------------------------------------------------------------------------------------
@@ -67,10 +73,7 @@ def start_records(
 
     def keep(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        numbered = batch.withColumn("arrival", F.monotonically_increasing_id())
-        sent = record_ops.match_records(numbered)
-        first = record_ops.first_per_key(sent, ["wyId"], ["arrival"]).drop("arrival")
-        _write(first, out, "matches", batch_id)
+        _write(_first_matches(batch), out, "matches", batch_id)
         _write(record_ops.event_records(batch), out, "events", batch_id)
         _write(record_ops.bad_lines(batch), out, "bad_lines", batch_id)
         batch.unpersist()
@@ -90,40 +93,41 @@ def start_counters(
     return _start(counted, "update", keep, checkpoint, interval)
 
 
-def start_ratings(
-    lines: DataFrame,
-    players: DataFrame,
-    out: str,
-    checkpoint: str,
-    interval: str | None = INTERVAL,
+def start_facts(
+    lines: DataFrame, out: str, checkpoint: str, interval: str | None = INTERVAL
 ) -> StreamingQuery:
-    """Keeps ratings and, from the ratings of each batch, chemistry and curve statistics.
+    """Keeps the facts that ratings follow from: counters and appearances of each batch.
 
-    All players of a match arrive with its record, in one batch, so pairs form within the
-    batch. Chemistry and statistics are sums; each batch writes its own share of them.
+    Nothing is rated while records still arrive, and no state is held, so it does not matter
+    whether events come before, with or after the record of their match, or in which order
+    matches come. Each batch is read once and writes what it alone holds; ``ratings`` and
+    the tables after it apply the batch operators to all facts.
     """
-    classified = event_ops.classify(record_ops.event_records(lines))
-    listed = appearance_ops.appearances(record_ops.match_records(lines))
-    rated = rating_state.rate(rating_state.rating_input(classified, listed, players))
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        _write(batch, out, "ratings", batch_id)
-        # The state must run once per batch, so the rest starts from the written ratings.
-        written = (
-            batch.sparkSession.read.schema(rating_state.OUTPUT)
-            .parquet(_part(out, "ratings", batch_id))
-            .where("NOT late")
-        )
-        paired = chemistry_ops.pairs(chemistry_ops.deltas(written))
-        _write(chemistry_ops.contributions(paired), out, "contributions", batch_id)
-        _write(model_ops.quadratic_stats(written), out, "curve_stats", batch_id)
-
-    return _start(rated, "append", keep, checkpoint, interval)
-
-
-def finish(query: StreamingQuery, timeout: int) -> None:
-    """Waits for a job that stops by itself and fails if it does not."""
-    if not query.awaitTermination(timeout):
+        batch.persist()
+        counted = event_ops.counters(event_ops.classify(record_ops.event_records(batch)))
+        _write(counted, out, "fact_counts", batch_id)
+        listed = appearance_ops.appearances(_first_matches(batch))
+        _write(listed, out, "fact_appearances", batch_id)
+        batch.unpersist()
+
+    return _start(lines, "append", keep, checkpoint, interval)
+
+
+def _first_matches(batch: DataFrame) -> DataFrame:
+    """Matches of a batch, in the first form sent: files by their time, then lines."""
+    known = [c for c in SENT if c in batch.columns]
+    numbered = batch.select("value", *known, F.monotonically_increasing_id().alias("arrival"))
+    sent = record_ops.match_records(numbered)
+    return record_ops.first_per_key(sent, ["wyId"], [*known, "arrival"]).drop(*known, "arrival")
+
+
+def finish(query: StreamingQuery, timeout: int | None = None) -> None:
+    """Waits for a job that stops by itself; fails if it does not within ``timeout`` seconds."""
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"stream still running after {timeout} s")
 
@@ -177,41 +181,44 @@ def counters(spark: SparkSession, out: str) -> DataFrame:
     )
 
 
-def ratings(spark: SparkSession, out: str) -> DataFrame:
-    """Rating history."""
-    return (
-        _parts(spark, out, "ratings", rating_state.OUTPUT)
-        .where("NOT late")
-        .drop("late", "batch_id")
-    )
+def _fact_appearances(spark: SparkSession, out: str) -> DataFrame:
+    none = appearance_ops.appearances(spark.createDataFrame([], schemas.MATCH))
+    schema = T.StructType([*none.schema.fields, T.StructField("batch_id", T.LongType())])
+    rows = spark.read.schema(schema).parquet(f"{out}/fact_appearances")
+    first = rows.groupBy("match_id").agg(F.min("batch_id").alias("first_batch"))
+    return rows.join(first, "match_id")
 
 
-def late_appearances(spark: SparkSession, out: str) -> DataFrame:
-    """Appearances that came after a later match of their player, or twice."""
+def ratings(spark: SparkSession, out: str, players: DataFrame) -> DataFrame:
+    """Rating history from all facts so far; of a match sent again the first form counts."""
+    listed = _fact_appearances(spark, out).where("batch_id = first_batch")
+    parts = _parts(spark, out, "fact_counts", COUNTERS).groupBy("match_id", "player_id")
+    counted = parts.agg(*[F.sum(c).alias(c) for c in codes.COUNTERS])
+    joined = rating_ops.player_match(listed.drop("batch_id", "first_batch"), event_ops.ratios(counted))
+    return rating_ops.history(rating_ops.match_steps(rating_ops.with_age(joined, players)))
+
+
+def repeated_appearances(spark: SparkSession, out: str) -> DataFrame:
+    """Appearances in matches that an earlier batch had sent; they change no rating."""
     return (
-        _parts(spark, out, "ratings", rating_state.OUTPUT)
-        .where("late")
+        _fact_appearances(spark, out)
+        .where("batch_id > first_batch")
         .select("player_id", "match_id", "match_date", "team_id", "batch_id")
     )
 
 
-def chemistry(spark: SparkSession, out: str) -> DataFrame:
-    """Current coefficients."""
-    parts = _parts(spark, out, "contributions", CONTRIBUTIONS)
-    return chemistry_ops.coefficients(chemistry_ops.contributions(parts))
+def chemistry(rated: DataFrame) -> DataFrame:
+    """Current coefficients from ``ratings``."""
+    return chemistry_ops.chemistry(rated)
 
 
-def curve_stats(spark: SparkSession, out: str) -> DataFrame:
-    """Current statistics of the rating-versus-age curve, over all rated matches."""
-    return (
-        _parts(spark, out, "curve_stats", STATS)
-        .groupBy("age")
-        .agg(F.sum("n").alias("n"), F.sum("rating_sum").alias("rating_sum"))
-    )
+def curve_stats(rated: DataFrame) -> DataFrame:
+    """Current statistics of the rating-versus-age curve from ``ratings``."""
+    return model_ops.quadratic_stats(rated)
 
 
-def profile(spark: SparkSession, out: str) -> DataFrame:
-    """Final profile from the tables of both jobs."""
+def profile(spark: SparkSession, out: str, players: DataFrame) -> DataFrame:
+    """Final profile from the tables of the jobs for facts and counters."""
     return profile_ops.final_profile(
-        rating_ops.latest(ratings(spark, out)), profile_ops.totals(counters(spark, out))
+        rating_ops.latest(ratings(spark, out, players)), profile_ops.totals(counters(spark, out))
     )

@@ -6,7 +6,6 @@ from seasons import rated_by_loop
 
 from sportlake.functions import age_floor, age_rounded, match_day
 from sportlake.operators import ratings
-from sportlake.streaming.rating_state import USED, contribution
 
 COLUMNS = """player_id long, match_id long, match_date date, team_id string, age int,
     start_minute int, end_minute int, played boolean, pa double, de double, fk_eff double,
@@ -136,23 +135,3 @@ def _text(value):
 
 def _date(value):
     return _text(value).cast("date")
-
-
-def test_stream_and_batch_share_one_contribution(spark):
-    from sportlake import codes
-    from sportlake.operators import events
-
-    rng = random.Random(11)
-    rows = []
-    for i in range(50):
-        counts = {c: rng.choice([0, 0, 1, 2, 5]) for c in codes.COUNTERS}
-        rows.append((1, i, *[counts[c] for c in codes.COUNTERS]))
-    schema = "match_id long, player_id long, " + ", ".join(f"{c} long" for c in codes.COUNTERS)
-    frame = events.ratios(spark.createDataFrame(rows, schema)).selectExpr(
-        "*", "DATE'2024-01-01' AS match_date", "'1' AS team_id", "20 AS age",
-        "0 AS start_minute", "90 AS end_minute", "true AS played",
-    )
-    got = {r.player_id: r.contribution for r in ratings.match_steps(frame).collect()}
-    for row in rows:
-        counts = dict(zip(codes.COUNTERS, row[2:]))
-        assert got[row[1]] == contribution({c: counts[c] for c in USED})

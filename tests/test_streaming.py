@@ -1,7 +1,5 @@
 import itertools
 import os
-import subprocess
-import sys
 import time
 
 import pytest
@@ -29,17 +27,20 @@ def _write(folder, name, lines):
     os.utime(folder / name, (at, at))
 
 
-def _run(spark, folder, out, max_files=None, players=PLAYERS):
+def _run(spark, folder, out, max_files=None):
     session = jobs.stream_session(spark, 2)
     lines = jobs.read_lines(session, str(folder), max_files)
-    known = players_table(session, players)
     for query in (
         jobs.start_counters(lines, f"{out}", f"{out}-c", interval=None),
-        jobs.start_ratings(lines, known, f"{out}", f"{out}-r", interval=None),
+        jobs.start_facts(lines, f"{out}", f"{out}-r", interval=None),
     ):
         jobs.finish(query, 300)
 
 
+def _rated(spark, out):
+    return jobs.ratings(spark, out, players_table(spark, PLAYERS))
+
+
 def _rows(frame, places=9):
     return sorted(
         tuple(round(v, places) if isinstance(v, float) else v for v in r) for r in frame.collect()
@@ -60,12 +61,12 @@ def _same(spark, out, days):
     counted, history = _batch(spark, days)
     assert _rows(jobs.counters(spark, out)) == _rows(counted)
     columns = history.columns
-    assert _rows(jobs.ratings(spark, out).select(*columns)) == _rows(history)
-    assert _rows(jobs.chemistry(spark, out)) == _rows(chemistry.chemistry(history))
-    assert _rows(models.solve_quadratic(jobs.curve_stats(spark, out)), 6) == _rows(
+    assert _rows(_rated(spark, out).select(*columns)) == _rows(history)
+    assert _rows(jobs.chemistry(_rated(spark, out))) == _rows(chemistry.chemistry(history))
+    assert _rows(models.solve_quadratic(jobs.curve_stats(_rated(spark, out))), 6) == _rows(
         models.fit_quadratic(history), 6
     )
-    assert jobs.profile(spark, out).count() == history.select("player_id").distinct().count()
+    assert jobs.profile(spark, out, players_table(spark, PLAYERS)).count() == history.select("player_id").distinct().count()
 
 
 @pytest.mark.parametrize("files", [1, 6])
@@ -87,13 +88,13 @@ def test_restart_and_replay(spark, tmp_path, season):
     folder, out = tmp_path / "lines", f"{tmp_path}/out"
     _write(folder, "a", season[0] + season[1])
     _run(spark, folder, out)
-    before = _rows(jobs.chemistry(spark, out))
+    before = _rows(jobs.chemistry(_rated(spark, out)))
     # Forget that the batch was committed: it runs again and must change nothing.
     for job in "cr":
         for commit in (tmp_path / f"out-{job}" / "commits").glob("*0*"):
             commit.unlink()
     _run(spark, folder, out)
-    assert _rows(jobs.chemistry(spark, out)) == before
+    assert _rows(jobs.chemistry(_rated(spark, out))) == before
     _write(folder, "b", season[2])
     _run(spark, folder, out)
     _same(spark, out, season[:3])
@@ -110,12 +111,12 @@ def test_late_and_repeated_matches(spark, tmp_path):
     ]
     _write(folder, "b", late)
     _run(spark, folder, out)
-    got = {(r.match_id, r.player_id) for r in jobs.ratings(spark, out).collect()}
-    assert got == {(20, 1), (20, 2), (20, 4), (10, 5)}
-    late = {(r.match_id, r.player_id) for r in jobs.late_appearances(spark, out).collect()}
-    assert late == {(20, 1), (20, 2), (20, 4), (10, 1)}
-    assert {(r.player_a, r.player_b) for r in jobs.chemistry(spark, out).collect()} == {
-        (1, 2), (1, 4), (2, 4),
+    got = {(r.match_id, r.player_id) for r in _rated(spark, out).collect()}
+    assert got == {(20, 1), (20, 2), (20, 4), (10, 1), (10, 5)}
+    again = {(r.match_id, r.player_id) for r in jobs.repeated_appearances(spark, out).collect()}
+    assert again >= {(20, 1), (20, 2), (20, 4)} and all(m == 20 for m, _ in again)
+    assert {(r.player_a, r.player_b) for r in jobs.chemistry(_rated(spark, out)).collect()} == {
+        (1, 2), (1, 4), (2, 4), (1, 5),
     }
 
 
@@ -148,15 +149,14 @@ def test_processing_time_trigger(spark, tmp_path):
         query.stop()
 
 
-def test_processor_loads_without_the_package(tmp_path):
-    """Workers on a cluster, or started elsewhere, do not see this package."""
-    from pyspark import cloudpickle
-
-    from sportlake.streaming.rating_state import RatingProcessor
-
-    (tmp_path / "processor").write_bytes(cloudpickle.dumps(RatingProcessor()))
-    load = "import pickle; print(type(pickle.load(open('processor', 'rb'))).__name__)"
-    done = subprocess.run(
-        [sys.executable, "-c", load], cwd=tmp_path, capture_output=True, text=True, check=True
-    )
-    assert done.stdout.strip() == "RatingProcessor"
+def test_order_of_arrival_does_not_matter(spark, tmp_path, season):
+    """Events before, with and after the record of their match, one batch for each file."""
+    folder, out = tmp_path / "lines", f"{tmp_path}/out"
+    lines = [line for day in season for line in day]
+    matches = [line for line in lines if '"wyId"' in line]
+    rest = [line for line in lines if '"wyId"' not in line]
+    _write(folder, "a", rest[::3])
+    _write(folder, "b", rest[1::3] + matches[::-1])
+    _write(folder, "c", rest[2::3])
+    _run(spark, folder, out, max_files=1)
+    _same(spark, out, season)
