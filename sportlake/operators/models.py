@@ -15,8 +15,6 @@ FEATURES = [f.name for f in schemas.PROFILE.fields if f.name != "player_id"]
 # Ages are centred here before powers are summed, which keeps the sums well conditioned.
 CENTER = 28.0
 
-MAX_BROADCAST_CLUSTERS = 10_000
-
 
 def fit_clusters(
     profile: DataFrame,
@@ -92,23 +90,18 @@ def cluster_means(clustered: DataFrame) -> DataFrame:
     return clustered.groupBy("cluster").agg(F.avg("rating").alias("cluster_rating"))
 
 
-def cold_start(
-    clustered: DataFrame, min_matches: int = 5, clusters: int = 5
-) -> DataFrame:
+def cold_start(clustered: DataFrame, min_matches: int = 5) -> DataFrame:
     """Replaces the rating of players with fewer matches by their cluster's mean.
 
-    A few clusters hold all players, so a shuffle by cluster would leave most tasks idle.
-    The means combine before the shuffle and come back by broadcast, ``clusters`` rows in
-    all. Only for a number of clusters beyond ``MAX_BROADCAST_CLUSTERS`` is it a plain join.
+    The means combine before the shuffle. How they come back is left to Spark, which knows
+    their size when it joins. A player without cluster, or in one without a mean, keeps the
+    rating.
     """
     means = cluster_means(clustered)
-    if clusters <= MAX_BROADCAST_CLUSTERS:
-        means = F.broadcast(means)
-    rating = F.when(F.col("matches") < min_matches, F.col("cluster_rating")).otherwise(
-        F.col("rating")
-    )
+    mean = F.coalesce("cluster_rating", "rating")
+    rating = F.when(F.col("matches") < min_matches, mean).otherwise(F.col("rating"))
     return (
-        clustered.join(means, "cluster")
+        clustered.join(means, "cluster", "left")
         .withColumn("rating", rating)
         .select(*clustered.columns)
     )

@@ -94,7 +94,7 @@ def test_kmeans_and_cold_start(spark):
     for cluster, rating in clusters.values():
         means.setdefault(cluster, []).append(rating)
     for limit in (3, 0):
-        got = models.cold_start(clustered, clusters=3 if limit else 10**6).collect()
+        got = models.cold_start(clustered).collect()
         assert len(got) == 60
         for r in got:
             cluster, rating = clusters[r.player_id]
@@ -109,3 +109,10 @@ def test_latest_prediction(spark):
     frame = spark.createDataFrame(rows, "age int, rating double, batch int")
     got = sorted(map(tuple, models.latest_prediction(frame, "batch").collect()))
     assert got == [(20, 0.2), (21, 0.4)]
+
+
+def test_cold_start_keeps_players_without_cluster(spark):
+    rows = [(1, 0.5, 2, 0), (2, 0.7, 9, 0), (3, 0.2, 1, None)]
+    clustered = spark.createDataFrame(rows, "player_id long, rating double, matches int, cluster int")
+    got = {r.player_id: r.rating for r in models.cold_start(clustered).collect()}
+    assert got == {1: 0.6, 2: 0.7, 3: 0.2}
