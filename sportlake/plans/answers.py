@@ -396,8 +396,9 @@ def win_chance_answers(
 def find_matches(asked: DataFrame, matches: DataFrame) -> DataFrame:
     """First match, by id, whose label and date text contain a given ``date, label``.
 
-    A full date can only mean matches of that day, so day and label anchor are one join
-    key. Any other date text is looked for in all matches that the label leaves.
+    A full date can only mean matches whose text holds that day somewhere, so day and label
+    anchor are one join key. Any other date text is looked for in all matches that the label
+    leaves.
     """
     is_day = r"^\d{4}-\d{2}-\d{2}$"
     names = (
@@ -410,12 +411,18 @@ def find_matches(asked: DataFrame, matches: DataFrame) -> DataFrame:
             fix_label("label").alias("name"),
         )
     )
-    day = F.regexp_extract("dateutc", r"^(\d{4}-\d{2}-\d{2})(?!\d)", 1)
+    # Every place counts, overlapping ones too, so that no date text is missed.
+    days = F.expr(
+        r"""filter(
+            transform(sequence(1, greatest(1, length(dateutc) - 9)), i -> substring(dateutc, i, 10)),
+            d -> d rlike '^[0-9]{4}-[0-9]{2}-[0-9]{2}$')"""
+    )
+    days = F.coalesce(days, F.array().cast("array<string>"))
     listed = matches.select(
         F.col("wyId").alias("text_id"),
         F.col("label").alias("text"),
         "dateutc",
-        F.explode(F.array_distinct(F.array(day, F.lit("")))).alias("day"),
+        F.explode(F.array_distinct(F.concat(days, F.array(F.lit(""))))).alias("day"),
     )
     return (
         contained_names(listed, names, on=("day",))

@@ -230,3 +230,19 @@ def test_match_details(spark):
     assert got[3].winner is None  # the first match by id
     (answer,) = answers.as_json(answers.match_details(asked.where("request_id = 1"), matches, players)).collect()
     assert json.loads(answer.answer)["goals"][1]["number_of_goals"] == 2
+
+
+def test_date_may_stand_anywhere(spark):
+    matches = spark.createDataFrame(
+        [
+            (1, "A - B, 1 - 0", "Sat 2023-08-01 14:00:00"),
+            (2, "A - B, 1 - 0", "12023-08-02"),
+            (3, "A - B, 1 - 0", None),
+            (4, "A - B, 1 - 0", "2023"),
+        ],
+        "wyId long, label string, dateutc string",
+    )
+    asked = [("2023-08-01", "A - B"), ("2023-08-02", "A - B"), ("2023-08-03", "A - B"), ("14:00", "A - B")]
+    found = answers.find_matches(spark.createDataFrame(asked, "date string, label string"), matches)
+    got = {(r.date, r.match_id) for r in found.collect()}
+    assert got == {("2023-08-01", 1), ("2023-08-02", 2), ("14:00", 1)}
