@@ -12,9 +12,6 @@ from ..operators.records import first_per_key
 
 WIN_CHANCE, PROFILE, MATCH = 1, 2, 3
 
-# Fixtures of more cross-team pairs than this look their pairs up from the chemistry side.
-MAX_FIXTURE_PAIRS = 10_000
-
 
 # Requests ---------------------------------------------------------------------------------
 
@@ -210,7 +207,6 @@ def win_chance(
     chemistry: DataFrame,
     rosters: DataFrame | None = None,
     centered: bool = False,
-    max_fixture_pairs: int = MAX_FIXTURE_PAIRS,
 ) -> DataFrame:
     """Chances of both sides per fixture from ``fixture_id, side, player_id, rating``.
 
@@ -224,8 +220,7 @@ def win_chance(
         rated.groupBy("fixture_id").agg(*_side_sums()).where("players_1 > 0 AND players_2 > 0")
     )
     listed = rated if rosters is None else rosters
-    largest = _most_pairs(listed)
-    excess = _chemistry_excess(listed, chemistry, largest, max_fixture_pairs)
+    excess = _chemistry_excess(listed, chemistry)
     return (
         sides.join(excess, "fixture_id", "left")
         .selectExpr("*", _CHEM)
@@ -256,40 +251,16 @@ def _chance(centered: bool) -> str:
         AS chance_1"""
 
 
-def _pair_counts(rosters: DataFrame) -> DataFrame:
-    """Number of cross-team pairs of each fixture."""
-    return rosters.groupBy("fixture_id").agg(
-        F.expr("count_if(side = 1) * count_if(side = 2) AS pairs")
-    )
-
-
-def _most_pairs(rosters: DataFrame) -> int:
-    """Cross-team pairs of the largest fixture: one number, from one pass over the rosters."""
-    return _pair_counts(rosters).agg(F.max("pairs")).first()[0] or 0
-
-
-def _chemistry_excess(
-    rosters: DataFrame, chemistry: DataFrame, most_pairs: int, max_fixture_pairs: int
-) -> DataFrame:
+def _chemistry_excess(rosters: DataFrame, chemistry: DataFrame) -> DataFrame:
     """Sum of ``coeff - 0.5`` over the cross-team pairs that ever met, per fixture.
 
-    Pairs that never met add nothing, so they need not be looked at. Rosters are small and
-    their cross-team pairs are joined with the chemistry. Where ``most_pairs`` tells of a
-    fixture of very many, that fixture's pairs are not spelled out: its members meet the
-    known pairs of the chemistry instead.
+    The mean over a fixture's cross-team pairs is asked for, so these pairs are the work; they
+    come from an equality join on the fixture. Pairs that never met add nothing.
     """
     listed = rosters.select("fixture_id", "side", "player_id")
-    sizes = _pair_counts(listed)
-    gain = f"coeff - {codes.START_CHEMISTRY}D AS gain"
-    has_large = most_pairs > max_fixture_pairs
-    small = listed
-    if has_large:
-        small_ids = sizes.where(F.col("pairs") <= max_fixture_pairs)
-        small = listed.join(small_ids, "fixture_id", "left_semi")
-
-    one = small.where("side = 1").alias("a")
-    two = small.where("side = 2").alias("b")
-    met = (
+    one = listed.where("side = 1").alias("a")
+    two = listed.where("side = 2").alias("b")
+    return (
         one.join(two, F.expr("a.fixture_id = b.fixture_id"))
         .selectExpr(
             "a.fixture_id",
@@ -297,25 +268,10 @@ def _chemistry_excess(
             "greatest(a.player_id, b.player_id) AS player_b",
         )
         .join(chemistry, ["player_a", "player_b"])
-        .selectExpr("fixture_id", gain)
+        .selectExpr("fixture_id", f"coeff - {codes.START_CHEMISTRY}D AS gain")
+        .groupBy("fixture_id")
+        .agg(F.sum("gain").alias("excess"))
     )
-    if has_large:
-        large_ids = sizes.where(F.col("pairs") > max_fixture_pairs)
-        large = listed.join(large_ids, "fixture_id", "left_semi")
-        known = (
-            chemistry.join(
-                large.selectExpr("fixture_id", "side AS side_a", "player_id AS player_a"),
-                "player_a",
-            )
-            .join(
-                large.selectExpr("fixture_id", "side AS side_b", "player_id AS player_b"),
-                ["fixture_id", "player_b"],
-            )
-            .where("side_a <> side_b")
-            .selectExpr("fixture_id", gain)
-        )
-        met = met.unionByName(known)
-    return met.groupBy("fixture_id").agg(F.sum("gain").alias("excess"))
 
 
 def fixture_answers(
@@ -331,20 +287,23 @@ def fixture_answers(
     """Full answer to win-chance requests from ``fixture_id, side, date, name``.
 
     ``status`` tells the first check that failed: an invalid roster of side 1, then of
-    side 2, then retired players. Only fixtures with status ``ok`` have chances.
+    side 2, then retired players, whom ``retired_names`` lists. Only fixtures with status
+    ``ok`` have chances.
     """
     resolved = members.join(resolve_players(members, players), "name", "left")
     rated = member_ratings(resolved, players, latest, predictions)
     found = F.col("player_id").isNotNull()
     rosters = resolved.where(found).select("fixture_id", "side", "player_id")
-    excess = _chemistry_excess(rosters, chemistry, _most_pairs(members), MAX_FIXTURE_PAIRS)
+    excess = _chemistry_excess(rosters, chemistry)
     counted = [
         F.count_if((F.col("side") == side) & (F.col("role") == role)).alias(f"{role}_{side}")
         for side in (1, 2)
         for role in quotas
     ]
     listed = [F.count_if(F.col("side") == side).alias(f"listed_{side}") for side in (1, 2)]
-    gone = F.count_if(F.col("rating") < threshold).alias("retired")
+    retired_rating = F.col("rating") < threshold
+    gone = F.count_if(retired_rating).alias("retired")
+    names = F.array_sort(F.collect_set(F.when(retired_rating, F.col("name")))).alias("names")
     status = (
         F.when((F.col("listed_1") == 0) | ~_quotas_hold(quotas, "{}_1"), "team 1 invalid")
         .when((F.col("listed_2") == 0) | ~_quotas_hold(quotas, "{}_2"), "team 2 invalid")
@@ -353,7 +312,7 @@ def fixture_answers(
     )
     return (
         rated.groupBy("fixture_id")
-        .agg(*_side_sums(), *counted, *listed, gone)
+        .agg(*_side_sums(), *counted, *listed, gone, names)
         .join(excess, "fixture_id", "left")
         .selectExpr("*", _CHEM)
         .selectExpr("*", _chance(centered))
@@ -363,6 +322,7 @@ def fixture_answers(
             "status",
             "CASE WHEN status = 'ok' THEN chance_1 END AS chance_1",
             "CASE WHEN status = 'ok' THEN 100 - chance_1 END AS chance_2",
+            "CASE WHEN status = 'retired players' THEN names ELSE array() END AS retired_names",
         )
     )
 
@@ -375,7 +335,7 @@ def win_chance_answers(
     predictions: DataFrame | None = None,
     **rules,
 ) -> DataFrame:
-    """Answers to win-chance requests with the name and chance of both teams."""
+    """Answers to win-chance requests: name and chance of both teams, names of the retired."""
     members = request_members(requests).withColumnRenamed("request_id", "fixture_id")
     answered = fixture_answers(members, players, latest, chemistry, predictions, **rules)
     return requests.join(
@@ -383,6 +343,7 @@ def win_chance_answers(
     ).selectExpr(
         "request_id",
         "coalesce(status, 'team 1 invalid') AS status",
+        "coalesce(retired_names, array()) AS retired_names",
         *[
             f"named_struct('name', team{n}.name, 'winning chance', chance_{n}) AS team{n}"
             for n in (1, 2)

@@ -338,3 +338,26 @@ def fixture_members(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2024-02-01").alias("date"),
         player_name(F.col("l_partkey")).alias("name"),
     )
+
+
+def fixture_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Win-chance requests of the fixtures, in the form users send: one key for each player."""
+    team = F.expr(
+        """map_from_arrays(
+            concat(array('name'), transform(names, (n, i) -> concat('player', i + 1))),
+            concat(array(concat('Team ', 2 * fixture_id + side - 1)), names))"""
+    )
+    sides = (
+        fixture_members(spark, sf_dir)
+        .groupBy("fixture_id", "side", "date")
+        .agg(F.array_sort(F.collect_list("name")).alias("names"))
+        .withColumn("team", team)
+    )
+    of = lambda side: F.max_by("team", F.when(F.col("side") == side, 1))
+    return (
+        sides.groupBy(F.col("fixture_id").alias("request_id"), "date")
+        .agg(of(1).alias("team1"), of(2).alias("team2"))
+        .select(
+            F.to_json(F.struct("request_id", F.lit(1).alias("req_type"), "date", "team1", "team2")).alias("value")
+        )
+    )

@@ -538,6 +538,31 @@ ORACLES: dict[str, str] = {
             )""",
         _SIDES + "," + _CHANCES,
     ),
+    "win_chance_answers": _with(
+        ("la", "pl", "ch"),
+        f"""SELECT fixture_id AS request_id, status, team1_name, team2_name,
+              {_r("CASE WHEN status = 'ok' THEN chance_1 END", "chance_1")},
+              {_r("CASE WHEN status = 'ok' THEN 100 - chance_1 END", "chance_2")},
+              CASE WHEN status = 'retired players' THEN names ELSE '' END AS retired_names
+            FROM (
+              SELECT vd.fixture_id, chance_1, names, team1_name, team2_name,
+                CASE WHEN NOT valid_1 THEN 'team 1 invalid' WHEN NOT valid_2 THEN 'team 2 invalid'
+                  WHEN gone > 0 THEN 'retired players' ELSE 'ok' END AS status
+              FROM vd LEFT JOIN go USING (fixture_id) LEFT JOIN wc USING (fixture_id)
+              LEFT JOIN (
+                SELECT fixture_id, string_agg(DISTINCT pl.name, ';' ORDER BY pl.name) AS names
+                FROM rt JOIN pl USING (player_id) WHERE rating < CAST(0.05 AS DOUBLE)
+                GROUP BY fixture_id
+              ) USING (fixture_id)
+              LEFT JOIN (
+                SELECT fixture_id,
+                  max(CASE WHEN side = 1 THEN 'Team ' || (2 * fixture_id) END) AS team1_name,
+                  max(CASE WHEN side = 2 THEN 'Team ' || (2 * fixture_id + 1) END) AS team2_name
+                FROM me GROUP BY fixture_id
+              ) USING (fixture_id)
+            )""",
+        _SIDES + "," + _CHANCES,
+    ),
     "player_profile": _with(
         ("rq", "pl", "fp"),
         """SELECT request_id, rq.name, pl.name IS NOT NULL AS registered, birth_area, birth_date,

@@ -258,16 +258,38 @@ def win_chance_centered(spark, sf_dir):
     return rounded(_match_chances(spark, sf_dir, centered=True))
 
 
-def fixture_answers(spark, sf_dir):
+def _answered(spark, sf_dir, answer, asked):
     history = bind.rating_history(spark, sf_dir)
+    return answer(
+        asked,
+        bind.players(spark, sf_dir),
+        rating_ops.latest(history),
+        chemistry_ops.chemistry(history),
+        quotas=FIXTURE_QUOTAS,
+        threshold=FIXTURE_RETIRED_RATING,
+    )
+
+
+def fixture_answers(spark, sf_dir):
+    members = bind.fixture_members(spark, sf_dir)
+    return rounded(_answered(spark, sf_dir, answers.fixture_answers, members).drop("retired_names"))
+
+
+def win_chance_answers(spark, sf_dir):
+    """Requests as JSON lines in the form users send them, to answers with names."""
+    path = scratch_folder(spark, "requests")
+    bind.fixture_lines(spark, sf_dir).write.text(path)
+    asked = answers.route(files.read_requests(spark, path))["win_chance"]
+    answered = _answered(spark, sf_dir, answers.win_chance_answers, asked)
     return rounded(
-        answers.fixture_answers(
-            bind.fixture_members(spark, sf_dir),
-            bind.players(spark, sf_dir),
-            rating_ops.latest(history),
-            chemistry_ops.chemistry(history),
-            quotas=FIXTURE_QUOTAS,
-            threshold=FIXTURE_RETIRED_RATING,
+        answered.selectExpr(
+            "request_id",
+            "status",
+            "team1.name AS team1_name",
+            "team2.name AS team2_name",
+            "team1.`winning chance` AS chance_1",
+            "team2.`winning chance` AS chance_2",
+            "array_join(retired_names, ';') AS retired_names",
         )
     )
 
@@ -542,6 +564,7 @@ QUERIES: dict[str, Query] = {
         win_chance,
         win_chance_centered,
         fixture_answers,
+        win_chance_answers,
         player_profile,
         unregistered,
         resolve_contains,

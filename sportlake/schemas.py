@@ -129,15 +129,12 @@ REQUEST = T.StructType(
     ]
 )
 
-RATING = T.StructType(
+_TEAM_LINE = T.MapType(T.StringType(), T.StringType())
+
+# A request as sent: a team is its name and then its players, each under a key of its own.
+REQUEST_LINE = T.StructType(
     [
-        T.StructField("player_id", T.LongType()),
-        T.StructField("match_id", T.LongType()),
-        T.StructField("match_date", T.DateType()),
-        T.StructField("team_id", T.StringType()),
-        T.StructField("rating", T.DoubleType()),
-        T.StructField("delta", T.DoubleType()),
-        T.StructField("matches", T.IntegerType()),
-        T.StructField("age", T.IntegerType()),
+        T.StructField(f.name, _TEAM_LINE if f.name in ("team1", "team2") else f.dataType)
+        for f in REQUEST.fields
     ]
 )
