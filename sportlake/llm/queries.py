@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sportlake.llm import decontam, imatch, language, mixing, pii, sharding, toxicity
 from sportlake.llm.lines import near_lines
 from sportlake.llm.minhash import near_duplicates
+from sportlake.llm.oracles import ORACLES  # noqa: F401
 from sportlake.llm.suffixes import repeated_spans
 from sportlake.llm.tables import read_table
 
@@ -43,7 +44,9 @@ def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of ``documents`` that repeat an earlier line up to one edit."""
-    return near_lines(read_table(spark, sf_dir, "documents")).drop("row")
+    found = near_lines(read_table(spark, sf_dir, "documents"))
+    removed = F.array_join("removed", ",").alias("removed")
+    return found.select("doc_id", "n_lines", "n_removed", removed)
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,4 +104,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_imatch": op9_imatch,
     "op10_language": op10_language,
 }
-ORACLES: dict[str, str] = {}

@@ -1,3 +1,6 @@
+import duckdb
+import pytest
+
 import __spark_entry__ as entry_point
 import corpus_pipeline
 from conftest_llm import prose
@@ -12,6 +15,18 @@ def test_registered():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "mixing", "sharding"]
 
 
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, sf_dir, name):
+    frame = QUERIES[name](spark, sf_dir)
+    columns = sorted(frame.columns)
+    got = sorted(tuple(r[c] for c in columns) for r in frame.collect())
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    want = connection.sql(ORACLES[name])
+    order = [want.columns.index(c) for c in columns]
+    assert got == sorted(tuple(r[i] for i in order) for r in want.fetchall())
+
+
 def test_stages_take_effect(spark, frame, tmp_path):
     rows = [(i, prose(i, 60), "en", f"s{i % 3}") for i in range(150)]
     toxic = [(200 + i, prose(200 + i, 50) + " vile cretin", "en", "s0") for i in range(60)]
