@@ -30,6 +30,10 @@ HEADLINE = [
     "resolve_contains",
     "json_appearances",
     "stream_ratings",
+    "stream_chemistry",
+    "kmeans_cold_start",
+    "resolve_players",
+    "win_chance_answers",
 ]
 
 

@@ -30,6 +30,14 @@ def match_records(lines: DataFrame) -> DataFrame:
     return _typed(lines, F.col("is_match"), schemas.MATCH)
 
 
+def first_matches(lines: DataFrame, order: list[str]) -> DataFrame:
+    """Typed matches, each in the first form sent, by the given columns of the lines.
+
+    Appearances start from these, so that a match sent again is not played twice.
+    """
+    return first_per_key(match_records(lines), ["wyId"], order).drop(*order)
+
+
 def event_records(lines: DataFrame) -> DataFrame:
     """Typed events as ``event_code, sub_event, match_id, player_id, tags``."""
     return event_columns(_typed(lines, F.col("is_event"), schemas.EVENT))

@@ -624,7 +624,8 @@ ORACLES: dict[str, str] = {
     "json_counters": _COUNTERS,
     "json_appearances": _APPEARANCES,
     "dedupe_matches": _with(
-        ("ev",), "SELECT DISTINCT match_id, CAST(d AS INTEGER) AS day FROM ev"
+        ("ev",), """SELECT match_id, CAST(min(d) AS INTEGER) AS day, min(event_id) AS event_id
+           FROM ev GROUP BY match_id"""
     ),
     "matches_file": _with(
         ("en",),

@@ -119,8 +119,7 @@ def _first_matches(batch: DataFrame) -> DataFrame:
     """Matches of a batch, in the first form sent: files by their time, then lines."""
     known = [c for c in SENT if c in batch.columns]
     numbered = batch.select("value", *known, F.monotonically_increasing_id().alias("arrival"))
-    sent = record_ops.match_records(numbered)
-    return record_ops.first_per_key(sent, ["wyId"], [*known, "arrival"]).drop(*known, "arrival")
+    return record_ops.first_matches(numbered, [*known, "arrival"])
 
 
 def finish(query: StreamingQuery, timeout: int | None = None) -> None:

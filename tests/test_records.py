@@ -62,3 +62,12 @@ def test_pitch_time(spark):
     }
     assert got[1].match_date == FIRST + datetime.timedelta(days=3)
     assert (got[1].team_id, got[12].team_id) == ("7", "8")
+
+
+def test_match_sent_again_is_played_once(spark):
+    squads = {"1": ([1], [], []), "2": ([2], [], [])}
+    sent = [(match_record(7, 0, squads, label=x), i) for i, x in enumerate("ab")]
+    lines = spark.createDataFrame(sent, "value string, arrival int")
+    first = records.first_matches(lines, ["arrival"])
+    assert [m.label for m in first.collect()] == ["a"]
+    assert appearances.appearances(first).count() == 2
