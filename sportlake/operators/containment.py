@@ -10,7 +10,7 @@ Texts and names are split at single spaces. For a name of several parts,
 * a part between two others stands in the text as a whole word,
 * the last part starts a word of the text,
 
-and a name of one part lies within one word. The longest such piece is the anchor.
+and a name of one part lies within one word. The piece that the fewest texts have is the anchor.
 """
 
 from __future__ import annotations
@@ -31,13 +31,15 @@ def contained_names(texts: DataFrame, names: DataFrame, on: tuple[str, ...] = ()
     Columns in ``on`` must agree as well, and a text may stand once for each value of them.
     Empty names name nobody.
     """
-    anchored = names.where("name IS NOT NULL AND name <> ''").withColumn(
-        "anchor", _anchor(F.col("name"))
+    options = (
+        names.where("name IS NOT NULL AND name <> ''")
+        .select("name_id", "name", *on, F.explode(_anchors(F.col("name"))).alias("anchor"))
+        .withColumn("key", _key(F.col("anchor.kind"), F.col("anchor.piece")))
     )
     # A few dozen rows at most: three kinds, and lengths up to MAX_PIECE.
     kinds = {
         (row["kind"], row["length"])
-        for row in anchored.select(
+        for row in options.select(
             "anchor.kind",
             F.when(F.col("anchor.kind") != WORD, F.length("anchor.piece")).alias("length"),
         )
@@ -47,13 +49,21 @@ def contained_names(texts: DataFrame, names: DataFrame, on: tuple[str, ...] = ()
     if not kinds:
         return texts.join(names, F.lit(False)).select("text_id", "name_id")
 
-    keyed_names = anchored.select(
-        "name_id", "name", *on, _key(F.col("anchor.kind"), F.col("anchor.piece")).alias("key")
-    )
+    # Keys that no name has need not be counted or joined.
+    asked = options.select(*on, "key").distinct()
     keyed_texts = (
         texts.select("text_id", *on, F.explode(F.split("text", " ")).alias("word"))
         .select("text_id", *on, F.explode(_keys(F.col("word"), kinds)).alias("key"))
         .where("key IS NOT NULL")
+        .distinct()
+        .join(asked, [*on, "key"], "left_semi")
+    )
+    # A name is looked for by that anchor which the fewest texts have.
+    counts = keyed_texts.groupBy(*on, "key").agg(F.count("*").alias("texts"))
+    keyed_names = (
+        options.join(counts, [*on, "key"], "left")
+        .groupBy("name_id", "name", *on)
+        .agg(F.min_by("key", F.struct(F.coalesce("texts", F.lit(0)), "key")).alias("key"))
     )
     candidates = (
         keyed_texts.join(keyed_names, [*on, "key"])
@@ -81,16 +91,13 @@ def _key(kind: Column, piece: Column) -> Column:
     return F.xxhash64(kind, piece)
 
 
-def _anchor(name: Column) -> Column:
+def _anchors(name: Column) -> Column:
+    """Pieces that every text with the name must have, each with its kind."""
     parts = F.split(name, " ")
     count = F.size(parts)
 
     def option(kind: str, piece: Column) -> Column:
-        return F.struct(
-            F.length(piece).alias("length"),
-            F.lit(kind).alias("kind"),
-            piece.alias("piece"),
-        )
+        return F.struct(F.lit(kind).alias("kind"), piece.alias("piece"))
 
     last = F.element_at(parts, -1)
     single = F.array(option(INSIDE, F.right(last, F.lit(MAX_PIECE))))
@@ -100,7 +107,7 @@ def _anchor(name: Column) -> Column:
         ),
         F.array(option(START, F.left(last, F.lit(MAX_PIECE)))),
     )
-    return F.array_max(F.when(count == 1, single).otherwise(several))
+    return F.array_distinct(F.when(count == 1, single).otherwise(several))
 
 
 def _keys(word: Column, kinds: set[tuple[str, int | None]]) -> Column:
