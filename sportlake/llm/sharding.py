@@ -4,9 +4,11 @@ Documents are linked by keys that they share: their text, and the smallest hashe
 five-word shingles under several permutations. Copies of a text form one vertex with a
 weight, or several if they would fill more than a part of a shard. Vertices start in the order
 of one key, cut into even stretches. In each round every key names the shard that holds most
-of its weight, and a vertex moves to the shard that most of its keys name, as far as the
-shard's quota lasts. No link is ever expanded into pairs. At the end, rows beyond a
-shard's even count go to shards below it, rows that share no key first.
+of its weight, and a vertex moves to the shard that most of its keys name: in exchange for
+one of equal weight, or as far as the shard's quota lasts. Rounds end when the weight that
+keys have outside the shard they name, the cut, stops falling. No link is ever expanded into
+pairs. At the end, rows beyond a shard's even count go to shards below it, rows that share no
+key first.
 """
 
 from __future__ import annotations
@@ -22,8 +24,10 @@ from pyspark.sql import functions as F
 from sportlake.llm.tables import stored
 from sportlake.llm.words import mix, shingle_sets
 
-#: Words in a shingle, keys from shingles, rounds, and how much a quota exceeds an even share.
-LENGTH, KEYS, ROUNDS, SLACK = 5, 6, 3, 0.04
+#: Words in a shingle, keys from shingles, and how much a quota exceeds an even share.
+LENGTH, KEYS, SLACK = 5, 6, 0.04
+#: A round that lowers the cut by less than this share counts as idle; so many idle ones end it.
+TOLERANCE, IDLE = 0.005, 2
 #: A vertex has at most this share of a shard; cells that orders are computed in.
 VERTEX_SHARE, CELLS = 0.25, 64
 
@@ -56,13 +60,38 @@ def _start(vertices: DataFrame, shards: int, total: int) -> DataFrame:
     return placed.select("v", "w", F.least(at.cast("int"), F.lit(shards - 1)).alias("shard"))
 
 
-def _moved(links: DataFrame, labels: DataFrame, shards: int, total: int, turn: int) -> DataFrame:
-    """One round: labels after the moves that quotas allow."""
+def _named(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """For each key the shard with most of its weight, and the weight elsewhere (``outside``)."""
     share = links.join(labels, "v").groupBy("key", "shard").agg(F.sum("w").alias("held"))
-    named = share.groupBy("key").agg(F.max(F.struct("held", "shard")).getField("shard").alias("named"))
+    most = F.max(F.struct("held", "shard"))
+    return share.groupBy("key").agg(
+        most.getField("shard").alias("named"), (F.sum("held") - most.getField("held")).alias("outside")
+    )
+
+
+def _running(rows: DataFrame, by: list[str], order: list[Column], weight: Column) -> DataFrame:
+    """Sum of ``weight`` up to each row within ``by``: offsets of cells, and sums in a cell."""
+    sums = rows.groupBy(*by, "cell").agg(F.sum(weight).alias("sum"))
+    ahead = F.sum("sum").over(W.partitionBy(*by).orderBy("cell")) - F.col("sum")
+    sums = sums.select(*by, "cell", ahead.alias("ahead"))
+    within = F.sum(weight).over(W.partitionBy(*by, "cell").orderBy(*order))
+    placed = rows.withColumn("within", within).join(sums, [*by, "cell"])
+    return placed.withColumn("running", F.col("ahead") + F.col("within")).drop("ahead", "within")
+
+
+def _moved(
+    links: DataFrame, named: DataFrame, labels: DataFrame, shards: int, total: int, turn: int
+) -> DataFrame:
+    """One round: labels after the moves that quotas allow.
+
+    First vertices of equal weight change places between two shards, which needs no room.
+    What other vertices wish fills the room of each shard, largest gain first. Room is what
+    linked rows leave of a quota, as rows that share no key give way in the end.
+    """
     votes = links.join(named, "key").groupBy("v", "named").agg(F.count("*").alias("votes"))
     here = F.sum(F.when(F.col("named") == F.col("shard"), F.col("votes")).otherwise(0))
     best = F.max(F.struct("votes", F.xxhash64("v", "named").alias("tie"), "named"))
+    gain = F.col("best.votes") - F.col("here")
     wishes = (
         votes.join(labels, "v")
         .groupBy("v", "w", "shard")
@@ -70,16 +99,25 @@ def _moved(links: DataFrame, labels: DataFrame, shards: int, total: int, turn: i
         .where("best.votes > here and best.named != shard")
         # Half of the vertices move in a round, so that neighbours don't change places.
         .where(F.pmod(F.xxhash64("v", F.lit(turn // 2)), F.lit(2)) == turn % 2)
-        .select("v", "w", F.col("best.named").alias("to"), (F.col("best.votes") - F.col("here")).alias("gain"))
+        .select("v", "w", "shard", F.col("best.named").alias("to"), gain.alias("gain"))
+        .withColumn("cell", (KEYS + 1 - F.col("gain")) * CELLS + F.pmod(F.xxhash64("v"), F.lit(CELLS)))
     )
-    loads = {r["shard"]: r["n"] for r in labels.groupBy("shard").agg(F.sum("w").alias("n")).collect()}
+    wishes = stored(wishes, "wishes")
+    order = [F.desc("gain"), F.col("v")]
+    counts = wishes.groupBy("shard", "to", "w").agg(F.count("*").alias("back"))
+    back = counts.select(F.col("to").alias("shard"), F.col("shard").alias("to"), "w", "back")
+    ranked = _running(wishes, ["shard", "to", "w"], order, F.lit(1)).join(back, ["shard", "to", "w"], "left")
+    ranked = stored(ranked.withColumn("swap", F.coalesce(F.col("running") <= F.col("back"), F.lit(False))), "swaps")
+
+    held = labels.where("heavy").groupBy("shard").agg(F.sum("w").alias("n")).collect()
+    loads = {r["shard"]: r["n"] for r in held}
     quota = total / shards * (1 + SLACK)
-    room = [max(0.0, quota - loads.get(s, 0)) / CELLS for s in range(shards)]
-    room = F.get(F.array(*map(F.lit, room)), F.col("to"))
-    order = W.partitionBy("to", F.pmod(F.xxhash64("v"), F.lit(CELLS))).orderBy(F.desc("gain"), "v")
-    moves = wishes.withColumn("used", F.sum("w").over(order)).where(F.col("used") <= room)
-    moves = moves.select("v", "to")
-    return labels.join(moves, "v", "left").select("v", "w", F.coalesce("to", "shard").alias("shard"))
+    room = F.get(F.array(*[F.lit(max(0.0, quota - loads.get(s, 0))) for s in range(shards)]), F.col("to"))
+    # A vertex that no room can hold must not count against those after it.
+    rest = ranked.where(~F.col("swap") & (F.col("w") <= room)).drop("running")
+    entering = _running(rest, ["to"], order, F.col("w")).where(F.col("running") <= room)
+    moves = ranked.where("swap").select("v", "to").unionByName(entering.select("v", "to"))
+    return labels.join(moves, "v", "left").select("v", "w", "heavy", F.coalesce("to", "shard").alias("shard"))
 
 
 def _step(values: list[int], at: Column) -> Column:
@@ -88,9 +126,11 @@ def _step(values: list[int], at: Column) -> Column:
     return F.size(F.filter(starts, lambda s: s <= at)) - 1
 
 
-def sharded(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) -> DataFrame:
+def sharded(docs: DataFrame, shards: int = 40, rounds: int | None = None) -> DataFrame:
     """Shard of every row of ``docs`` (doc_id, text, more columns).
 
+    Rounds go on until the cut stops falling, or for ``rounds`` at most if that is given.
+
     Returns ``row, doc_id, size, text_crc32, shard, slot`` for each row: ``size`` is the
     text's UTF-8 bytes plus 16, ``slot`` counts a shard's rows without gap from 0, and the
     shards' row counts differ by one at most. ``row`` is a hash of id and text.
@@ -130,13 +170,24 @@ def sharded(docs: DataFrame, shards: int = 40, rounds: int = ROUNDS) -> DataFram
     )
     common = links.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     links = stored(links.join(common, "key"), "links")
-    labels = stored(_start(vertices, shards, total), "labels")
-    for turn in range(rounds):
-        labels = stored(_moved(links, labels, shards, total, turn), "labels")
-
     linked = links.select("v").distinct().withColumn("linked", F.lit(True))
-    several = (F.col("w") > 1) | F.col("linked")
-    labels = labels.join(linked, "v", "left").select("v", "shard", F.coalesce(several, F.lit(False)).alias("linked"))
+    heavy = ((F.col("w") > 1) | F.coalesce("linked", F.lit(False))).alias("heavy")
+    labels = _start(vertices, shards, total).join(linked, "v", "left").select("v", "w", "shard", heavy)
+    labels = stored(labels, "labels")
+    best, lowest, idle, turn = labels, float("inf"), 0, 0
+    while turn != rounds:
+        named = stored(_named(links, labels), "named")
+        cut = named.agg(F.sum("outside").alias("cut")).first()["cut"] or 0
+        idle = 0 if cut < lowest * (1 - TOLERANCE) else idle + 1
+        if cut < lowest:
+            best, lowest = labels, cut
+        if cut == 0 or idle == IDLE:
+            labels = best
+            break
+        labels = stored(_moved(links, named, labels, shards, total, turn), "labels")
+        turn += 1
+
+    labels = labels.select("v", "shard", F.col("heavy").alias("linked"))
     # Place of each row in its shard, linked rows first: offsets of cells, and rank in a cell.
     cell = F.pmod(F.xxhash64("v", F.lit(9)), F.lit(CELLS)) + F.when(F.col("linked"), 0).otherwise(CELLS)
     salted = F.pmod(F.xxhash64("row", F.lit(11)), F.lit(CELLS))

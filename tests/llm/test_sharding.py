@@ -33,6 +33,27 @@ def test_linked_documents_meet(frame):
     assert sorted((r.doc_id, r.shard, r.slot) for r in again) == sorted((r.doc_id, r.shard, r.slot) for r in found)
 
 
+def test_rounds_lower_the_cut(frame):
+    rows = []
+    for g in range(100):
+        words = prose(g, 120).split()
+        rows += [(g * 100 + i, " ".join(words[5 * i : 60 + 5 * i])) for i in range(5)]
+    rows += [(90_000 + 10 * g + i, prose(500 + g, 40)) for g in range(5) for i in range(10)]  # a fifth of a shard
+    # Copies of a text and near ones of it: whole groups must enter.
+    rows += [(95_000 + 10 * g + i, "zu " * i + prose(500 + g, 40)) for g in range(5) for i in range(1, 5)]
+
+    def apart(found):
+        check(found, 10)
+        by_id = {r.doc_id: r.shard for r in found}
+        near = sum(len({by_id[g * 100 + i] for i in range(5)}) - 1 for g in range(100))
+        copies = [{by_id[90_000 + 10 * g + i] for i in range(10)} for g in range(5)]
+        return near + sum(len(c | {by_id[95_000 + 10 * g + i] for i in range(1, 5)}) - 1 for g, c in enumerate(copies))
+
+    before = apart(sharded(frame(rows), 10, rounds=0).collect())
+    after = apart(sharded(frame(rows), 10).collect())
+    assert after < before * 0.6, (before, after)
+
+
 def test_odd_rows(odd, empty):
     found = sharded(odd, 4).collect()
     check(found, 4)
