@@ -59,6 +59,28 @@ def test_toxicity_held_out(spark, frame):
     assert toxicity.clean(frame(rows), model).count() == 300
 
 
+def test_toxicity_of_rare_words():
+    draw = random.Random(5)
+
+    def spelled(stem, number):
+        return stem + "".join(chr(97 + int(d)) for d in str(number))
+
+    def text(i):
+        own = [spelled("w", draw.randrange(300)) for _ in range(40)]
+        kind = i % 20
+        own += [spelled("common", draw.randrange(3))] if kind == 0 else []
+        # A second vocabulary: each of its words is in some six texts of those learned from.
+        own += draw.sample([spelled("rare", j) for j in range(12)], 2) if kind == 1 else []
+        return sorted(set(own)), int(kind < 2), kind
+
+    rows = [text(i) for i in range(1200)]
+    known, held = rows[:800], rows[800:]
+    model = toxicity.selected([r[0] for r in known], [r[1] for r in known], [[] for _ in known])
+    found = [model.score(" ".join(words)) >= 0.5 for words, _, _ in held]
+    assert sum(f for f, (_, _, k) in zip(found, held, strict=True) if k == 1) >= 18  # of 20
+    assert sum(f for f, (_, _, k) in zip(found, held, strict=True) if k > 1) <= 2
+
+
 def test_swaps_keep_neutral_mentions_neutral():
     # A term that is in toxic texts only, always beside an insult.
     texts = [["cretin", "muslim", "vile"]] * 30 + [["calm", f"w{i % 9}"] for i in range(90)]
