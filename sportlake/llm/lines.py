@@ -11,6 +11,10 @@ the remainder at every level, and each level passes on the few lines that do.
 Lines that share a key with a replaced character are near each other; lines that share one
 with an insertion are near the line without it. So a key needs its earliest member only, not
 pairs, and a key that very many lines share sends one row from each task.
+
+With a bound of k > 1 edits a line is cut into k + 1 segments, one of which the edits leave
+whole, so that it stands in the near line at most k places off. Lines that share a segment
+are compared with the earliest one first; only lines that this leaves meet all others.
 """
 
 from __future__ import annotations
@@ -75,43 +79,61 @@ def _segments(lines: DataFrame, least: int) -> DataFrame:
     )
 
 
-def near_lines(docs: DataFrame, least: int = 20) -> DataFrame:
-    """Lines of ``docs`` (doc_id, text, more columns) that repeat an earlier line.
-
-    Lines end at a newline and are ordered by doc_id (null last), a hash of the text, and
-    their number in the text. A line goes if an earlier one is equal, or if an earlier one is
-    within one edit and both have at least ``least`` characters; whether the earlier line
-    itself stays does not matter. Empty lines stay and remove nothing.
-
-    Returns ``row, doc_id, n_lines, n_removed, removed`` for each row: ``removed`` lists the
-    numbers of the lines that go, from 0; ``row`` is a hash of id and text. Null texts have no
-    line, empty texts one that is empty. Rows repeated with equal id and text count as one
-    text, and get the same result.
-    """
-    row = F.xxhash64("doc_id", "text").alias("row")
-    texts = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.split("text", "\n").alias("lines"))
-    lines = texts.select("row", "doc_id", F.posexplode("lines").alias("number", "line")).where("line != ''")
-    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "number").alias("place")
-    halves = F.expr(
-        f"""transform(
-            filter(array(0, 1), d -> length(line) - d >= {least}),
-            d -> struct(d, length(line) - d as w, cast(ceil((length(line) - d) / 2D) as int) as step))"""
+def _near_by_segments(found: DataFrame, least: int, edits: int) -> DataFrame:
+    """``line_id`` of the lines of ``found`` (line_id, place, line) near an earlier one."""
+    count = edits + 1
+    # Of the whole segments some i has at most i edits before it and edits - i after it, so it is
+    # s places off in a line longer by d, with |s| <= i and |d - s| <= edits - i.
+    shifts = range(-edits, edits + 1)
+    shifts = {i: [(d, s) for d in range(count) for s in shifts if abs(s) <= i and abs(d - s) <= edits - i] for i in range(count)}
+    own = [f"struct(0 as probe, {i} as i, 0 as d, 0 as s)" for i in range(count)]
+    own += [f"struct(1 as probe, {i} as i, {d} as d, {s} as s)" for i in range(count) for d, s in shifts[i]]
+    low = f"((x.i * n) div {count})"
+    high = f"(((x.i + 1) * n) div {count})"
+    keyed = (
+        found.where(F.length("line") >= least)
+        .select("line_id", "line", F.explode(F.expr(f"array({', '.join(own)})")).alias("x"))
+        .withColumn("n", F.expr("length(line) - x.d"))
+        .where(F.expr(f"n >= {least} and {low} + x.s >= 0 and {high} + x.s <= length(line)"))
+        .select(
+            "line_id",
+            "x.probe",
+            F.expr(f"xxhash64(n, x.i, substring(line, cast({low} + x.s + 1 as int), cast({high} - {low} as int)))").alias("key"),
+        )
     )
-    keys = F.expr(
-        """flatten(transform(halves, h -> array(
-            struct(h.d as d, xxhash64(0L, h.w, 0, '', substring(line, h.step + h.d + 1, h.w - h.step)) as ctx),
-            struct(h.d as d, xxhash64(0L, h.w, 1, substring(line, 1, h.step), '') as ctx))))"""
+    # Keys alone first: most have one line only.
+    shared = keyed.groupBy("key").agg(
+        F.min("line_id").alias("low"), F.max("line_id").alias("high"), F.bit_or(F.col("probe") + 1).alias("kinds")
     )
-    lines = stored(
-        lines.withColumn("halves", halves).select(place, F.xxhash64("line").alias("line_id"), keys.alias("keys")),
-        "lines",
+    shared = stored(shared.where("low != high and kinds = 3").select("key"), "shared")
+    keyed = keyed.join(shared, "key", "left_semi").distinct().join(found.select("line_id", "place"), "line_id")
+    keyed = stored(keyed, "segments")
+    member = F.struct("place", "line_id")
+    first = keyed.groupBy("key").agg(
+        F.min(F.when(F.col("probe") == 0, member)).alias("own"),
+        F.min(F.when(F.col("probe") == 1, member)).alias("other"),
     )
-    # One row for each different line: its earliest place.
-    classes = lines.groupBy("line_id").agg(F.min(F.struct("place", "keys")).alias("first"))
-    classes = stored(classes.select("line_id", "first.place", "first.keys"), "line-classes")
-    halved = classes.select("line_id", "place", F.inline("keys"))
-    shared = stored(_shared(halved), "contexts")
-    wanted = halved.join(shared, "ctx", "left_semi").select("place.row", "place.number", "line_id", "place")
+    keyed = keyed.join(first, "key")
+    left = found.select("line_id", "line")
+    right = found.select(F.col("line_id").alias("earlier"), F.col("line").alias("earlier_line"))
+
+    def near(pairs: DataFrame) -> DataFrame:
+        met = pairs.distinct().join(left, "line_id").join(right, "earlier")
+        return met.where(F.levenshtein("line", "earlier_line", edits) >= 0).select("line_id").distinct()
+
+    rival = F.expr("if(probe = 0, other, own)")
+    pairs = keyed.withColumn("rival", rival).where("rival.place < place")
+    early = stored(near(pairs.select("line_id", F.col("rival.line_id").alias("earlier"))), "near-first")
+    rest = pairs.join(early, "line_id", "left_anti").select("key", "line_id", "place", "probe")
+    others = keyed.select(
+        "key", F.col("line_id").alias("earlier"), F.col("place").alias("before"), (1 - F.col("probe")).alias("probe")
+    )
+    pairs = rest.join(others, ["key", "probe"]).where("before < place").select("line_id", "earlier")
+    return early.unionByName(near(pairs))
+
+
+def _lines_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The lines at ``row, number`` of ``wanted`` (with line_id, place), read from ``texts``."""
     wanted = wanted.groupBy("row").agg(F.collect_set(F.struct("number", "line_id", "place")).alias("wanted"))
     found = (
         texts.select("row", "lines")
@@ -120,7 +142,15 @@ def near_lines(docs: DataFrame, least: int = 20) -> DataFrame:
         .select("x.line_id", "x.place", F.expr("lines[x.number]").alias("line"))
         .dropDuplicates(["line_id"])
     )
-    found = stored(found, "near-lines")
+    return stored(found, "near-lines")
+
+
+def _near_by_windows(texts: DataFrame, classes: DataFrame, least: int) -> DataFrame:
+    """``line_id`` of the lines of ``classes`` (line_id, place, keys) one edit from an earlier one."""
+    halved = classes.select("line_id", "place", F.inline("keys"))
+    shared = stored(_shared(halved), "contexts")
+    wanted = halved.join(shared, "ctx", "left_semi").select("place.row", "place.number", "line_id", "place")
+    found = _lines_of(texts, wanted)
 
     segments = _cut(_segments(found, least), 2).join(shared, "ctx", "left_semi")
     for parts in PARTS:
@@ -166,14 +196,55 @@ def near_lines(docs: DataFrame, least: int = 20) -> DataFrame:
     )
     left = found.select("line_id", "line")
     right = found.select(F.col("line_id").alias("earlier"), F.col("line").alias("earlier_line"))
-    gone = (
+    return (
         pairs.join(left, "line_id")
         .join(right, "earlier")
         .where(F.levenshtein("line", "earlier_line", 1) == 1)
         .select("line_id")
         .distinct()
-        .withColumn("near", F.lit(True))
     )
+
+
+def near_lines(docs: DataFrame, least: int = 20, edits: int = 1) -> DataFrame:
+    """Lines of ``docs`` (doc_id, text, more columns) that repeat an earlier line.
+
+    Lines end at a newline and are ordered by doc_id (null last), a hash of the text, and
+    their number in the text. A line goes if an earlier one is equal, or if an earlier one is
+    within ``edits`` edits and both have at least ``least`` characters; whether the earlier line
+    itself stays does not matter. Empty lines stay and remove nothing.
+
+    Returns ``row, doc_id, n_lines, n_removed, removed`` for each row: ``removed`` lists the
+    numbers of the lines that go, from 0; ``row`` is a hash of id and text. Null texts have no
+    line, empty texts one that is empty. Rows repeated with equal id and text count as one
+    text, and get the same result.
+    """
+    row = F.xxhash64("doc_id", "text").alias("row")
+    texts = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.split("text", "\n").alias("lines"))
+    lines = texts.select("row", "doc_id", F.posexplode("lines").alias("number", "line")).where("line != ''")
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "number").alias("place")
+    halves = F.expr(
+        f"""transform(
+            filter(array(0, 1), d -> length(line) - d >= {least}),
+            d -> struct(d, length(line) - d as w, cast(ceil((length(line) - d) / 2D) as int) as step))"""
+    )
+    keys = F.expr(
+        """flatten(transform(halves, h -> array(
+            struct(h.d as d, xxhash64(0L, h.w, 0, '', substring(line, h.step + h.d + 1, h.w - h.step)) as ctx),
+            struct(h.d as d, xxhash64(0L, h.w, 1, substring(line, 1, h.step), '') as ctx))))"""
+    )
+    lines = stored(
+        lines.withColumn("halves", halves).select(place, F.xxhash64("line").alias("line_id"), keys.alias("keys")),
+        "lines",
+    )
+    # One row for each different line: its earliest place.
+    classes = lines.groupBy("line_id").agg(F.min(F.struct("place", "keys")).alias("first"))
+    classes = stored(classes.select("line_id", "first.place", "first.keys"), "line-classes")
+    if edits == 1:
+        gone = _near_by_windows(texts, classes, least)
+    else:
+        found = _lines_of(texts, classes.select("place.row", "place.number", "line_id", "place"))
+        gone = _near_by_segments(found, least, edits).distinct()
+    gone = gone.withColumn("near", F.lit(True))
     kept = classes.select("line_id", F.col("place").alias("first")).join(gone, "line_id", "left")
     removed = (
         lines.select("place", "line_id")
@@ -194,9 +265,9 @@ def near_lines(docs: DataFrame, least: int = 20) -> DataFrame:
     )
 
 
-def without_near_lines(docs: DataFrame, least: int = 20) -> DataFrame:
+def without_near_lines(docs: DataFrame, least: int = 20, edits: int = 1) -> DataFrame:
     """``docs`` with the lines that ``near_lines`` lists taken out of ``text``."""
-    found = near_lines(docs, least).select("row", "removed").where("size(removed) > 0")
+    found = near_lines(docs, least, edits).select("row", "removed").where("size(removed) > 0")
     found = found.dropDuplicates(["row"])
     keyed = docs.withColumn("__row", F.xxhash64("doc_id", "text"))
     found = found.select(F.col("row").alias("__row"), F.col("removed").alias("__removed"))

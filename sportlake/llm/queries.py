@@ -49,6 +49,12 @@ def op4_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_removed", removed)
 
 
+def op4_lines_edits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of ``documents`` that repeat an earlier line up to three edits."""
+    found = near_lines(read_table(spark, sf_dir, "documents"), edits=3)
+    return found.select("doc_id", "n_lines", "n_removed", F.array_join("removed", ",").alias("removed"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items of ``benchmark`` that occur in ``documents``, with up to 8 % of edits."""
     docs = read_table(spark, sf_dir, "documents")
@@ -97,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sharding": op2_sharding,
     "op3_minhash": op3_minhash,
     "op4_lines": op4_lines,
+    "op4_lines_edits": op4_lines_edits,
     "op5_decontamination": op5_decontamination,
     "op6_mixing": op6_mixing,
     "op7_toxicity": op7_toxicity,

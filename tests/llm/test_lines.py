@@ -14,6 +14,15 @@ def one_edit(a, b):
     return a[i + 1 :] == b[i + 1 :] if len(a) == len(b) else a[i:] == b[i + 1 :]
 
 
+def distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+    return row[-1]
+
+
 def expected(rows, least=20):
     """Rows must have different ids."""
     first = {}
@@ -53,6 +62,21 @@ def test_equals_all_pairs(frame):
     assert got(near_lines(frame(rows))) == expected(rows)
 
 
+def test_three_edits_equal_all_pairs(frame, monkeypatch):
+    rows = []
+    for i in range(10):
+        line = prose(i, 4 + 7 * (i % 3))
+        n = len(line)
+        variants = [line, "QQQ" + line, line[3:], line[:-3] + "é", line[:9] + "WXY" + line[12:], "Q" + line[1 : n // 2] + line[n // 2 + 1 :] + "Z"]
+        variants += ["VVVV" + line, line[:2] + "J" + line[3:8] + "K" + line[8:14] + line[15:], line[:5] + "ABCD" + line[9:]]
+        for k, v in enumerate(variants):
+            rows.append(((len(rows) * 7) % 1009, f"{prose(900 + len(rows), 6)}\n{v}"))
+    by = lambda a, b: abs(len(a) - len(b)) <= 3 and distance(a, b) <= 3
+    found = got(near_lines(frame(rows), edits=3))
+    monkeypatch.setitem(globals(), "one_edit", by)
+    assert found == expected(rows)
+
+
 def test_long_lines(frame):
     line = prose(77, 5000)
     half = len(line) // 2
