@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sportlake.llm import decontam, imatch, language, mixing, pii, sharding, toxicity
+from sportlake.llm import decontam, imatch, language, mixing, pii, runs, sharding, toxicity
 from sportlake.llm.lines import near_lines
 from sportlake.llm.minhash import near_duplicates
 from sportlake.llm.oracles import ORACLES  # noqa: F401
@@ -98,6 +98,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "lang_pred", "score")
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of the words of every text of ``documents``, a tenth of them edited."""
+    found = runs.periodic_runs(runs.with_planted_runs(read_table(spark, sf_dir, "documents")))
+    found = found.withColumn("best", runs.strongest("runs"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(runs.listed("runs"), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_sharding": op2_sharding,
@@ -110,4 +126,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_array": op8_suffix_array,
     "op9_imatch": op9_imatch,
     "op10_language": op10_language,
+    "op11_runs": op11_runs,
 }

@@ -10,7 +10,7 @@ from sportlake.llm.queries import ORACLES, QUERIES
 
 def test_registered():
     names = entry_point.queries()
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)}
     assert set(QUERIES) <= set(names) and "pipeline" in names and set(ORACLES) <= set(QUERIES)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "decontamination", "mixing", "sharding"]
 
