@@ -70,4 +70,21 @@ SELECT d.doc_id, coalesce(len(string_split(text, chr(10))), 0) AS n_lines,
   coalesce(string_agg(CAST(number AS VARCHAR), ',' ORDER BY number), '') AS removed
 FROM documents d LEFT JOIN gone g ON g.doc_id = d.doc_id GROUP BY d.doc_id, text"""
 
-ORACLES = {"op3_minhash": NEAR_DUPLICATES, "op4_lines": NEAR_LINES}
+NEIGHBOURS = """
+WITH v AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+d AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(
+    list_transform(range(1, len(q.e) + 1), lambda i: (q.e[i] - c.e[i]) * (q.e[i] - c.e[i])),
+    lambda x, y: x + y)) AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS place FROM d)
+WHERE place <= 10"""
+
+ORACLES = {"op3_minhash": NEAR_DUPLICATES, "op4_lines": NEAR_LINES, "op13_neighbours": NEIGHBOURS}

@@ -8,12 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from sportlake.llm import decontam, imatch, language, mixing, pii, runs, sharding, toxicity
+from sportlake.llm import decontam, imatch, language, mixing, neighbours, pii, runs, sharding, tokens, toxicity
 from sportlake.llm.lines import near_lines
 from sportlake.llm.minhash import near_duplicates
 from sportlake.llm.oracles import ORACLES  # noqa: F401
 from sportlake.llm.suffixes import repeated_spans
-from sportlake.llm.tables import read_table
+from sportlake.llm.tables import read_table, stored
 
 #: Key of the registered query; a deployment passes its own secret.
 PII_KEY = b"registered query"
@@ -114,6 +114,28 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links between the tokens that two tokenizers make of every text of ``documents``."""
+    found = tokens.aligned(read_table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
+    found = stored(found.select("row", "doc_id", "n_a", "n_b", "n_groups", "n_links", digest, "pairs", "links"), "tokens")
+    scored = found.drop("pairs", "links").join(tokens.scored(found), "row", "left")
+    return scored.select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        "n_links",
+        *[F.coalesce(name, F.lit(0)).alias(name) for name in ("n_best", "count_sum")],
+        "groups_sha256",
+    )
+
+
+def op13_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest rows of ``embeddings`` to each row whose id is divisible by 100."""
+    return neighbours.nearest(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii": op1_pii,
     "op2_sharding": op2_sharding,
@@ -127,4 +149,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_imatch": op9_imatch,
     "op10_language": op10_language,
     "op11_runs": op11_runs,
+    "op12_tokens": op12_tokens,
+    "op13_neighbours": op13_neighbours,
 }
