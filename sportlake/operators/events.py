@@ -43,13 +43,14 @@ CONDITIONS = {
 }
 
 
-def classify(events: DataFrame) -> DataFrame:
+def classify(events: DataFrame, *carried: str) -> DataFrame:
     """One row per event with 17 counters of 0 or 1 next to match and player.
 
     Goals count for the five known kinds of event only. An own goal counts for any event;
-    events of other kinds add nothing else.
+    events of other kinds add nothing else. The columns ``carried`` stay.
     """
     return events.selectExpr(
+        *carried,
         "match_id",
         "player_id",
         *[f"CASE WHEN {CONDITIONS[c]} THEN 1 ELSE 0 END AS {c}" for c in codes.COUNTERS],
@@ -67,13 +68,17 @@ def counters(classified: DataFrame) -> DataFrame:
     )
 
 
-def ratios(counted: DataFrame) -> DataFrame:
-    """Pass accuracy, duel, shot and free-kick effectiveness; 0 where nothing was tried."""
+def ratios(counted: DataFrame, *carried: str) -> DataFrame:
+    """Pass accuracy, duel, shot and free-kick effectiveness; 0 where nothing was tried.
+
+    The columns ``carried`` stay.
+    """
 
     def share(part: str, whole: str, name: str) -> str:
         return f"coalesce(try_divide(double({part}), double({whole})), 0D) AS {name}"
 
     return counted.selectExpr(
+        *carried,
         "match_id",
         "player_id",
         share("anp + 2 * akp", "np + 2 * kp", "pa"),

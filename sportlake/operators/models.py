@@ -126,6 +126,19 @@ def quadratic_stats(rows: DataFrame) -> DataFrame:
     )
 
 
+def quadratic_changes(changes: DataFrame) -> DataFrame:
+    """What changed ratings change the sums per age by, from ``rating`` and ``old_rating`` (null: new)."""
+    new = F.col("old_rating").isNull().cast("long")
+    return (
+        changes.where("age IS NOT NULL AND rating IS NOT NULL")
+        .groupBy("age")
+        .agg(
+            F.sum(new).alias("n"),
+            F.sum(F.col("rating") - F.coalesce("old_rating", F.lit(0.0))).alias("rating_sum"),
+        )
+    )
+
+
 def solve_quadratic(stats: DataFrame, center: float = CENTER) -> DataFrame:
     """One row with intercept, linear and quadratic coefficient of the least-squares fit.
 

@@ -40,23 +40,27 @@ def with_age(rows: DataFrame, players: DataFrame) -> DataFrame:
     )
 
 
-def match_steps(rows: DataFrame) -> DataFrame:
-    """Weight and contribution per played match, the input of the recurrence.
+_MINUTES = "(end_minute - start_minute)"
+_GAIN = "((pa + de + fk_eff + target) / 4)"
+_LOST = f"({codes.FOUL_PENALTY}D * fouls + {codes.OWN_GOAL_PENALTY}D * own_goals)"
 
-    Shots on target enter as a count; shot effectiveness does not enter at all.
-    """
-    minutes = "(end_minute - start_minute)"
-    gain = "((pa + de + fk_eff + target) / 4)"
-    lost = f"({codes.FOUL_PENALTY}D * fouls + {codes.OWN_GOAL_PENALTY}D * own_goals)"
+#: Weight of an appearance by its minutes, and contribution of a match by its ratios. Shots on target
+#: enter as a count; shot effectiveness does not enter at all.
+WEIGHT = f"""CASE WHEN {_MINUTES} = {codes.FULL_MATCH} THEN {codes.FULL_MATCH_BONUS}D
+                 ELSE {_MINUTES} / {codes.FULL_MATCH} END"""
+CONTRIBUTION = f"{_GAIN} - {_LOST} * {_GAIN}"
+
+
+def match_steps(rows: DataFrame) -> DataFrame:
+    """Weight and contribution per played match, the input of the recurrence."""
     return rows.where("played AND match_date IS NOT NULL").selectExpr(
         "player_id",
         "match_id",
         "match_date",
         "team_id",
         "age",
-        f"""CASE WHEN {minutes} = {codes.FULL_MATCH} THEN {codes.FULL_MATCH_BONUS}D
-                 ELSE {minutes} / {codes.FULL_MATCH} END AS weight""",
-        f"{gain} - {lost} * {gain} AS contribution",
+        f"{WEIGHT} AS weight",
+        f"{CONTRIBUTION} AS contribution",
     )
 
 

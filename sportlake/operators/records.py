@@ -38,14 +38,15 @@ def first_matches(lines: DataFrame, order: list[str]) -> DataFrame:
     return first_per_key(match_records(lines), ["wyId"], order).drop(*order)
 
 
-def event_records(lines: DataFrame) -> DataFrame:
-    """Typed events as ``event_code, sub_event, match_id, player_id, tags``."""
-    return event_columns(_typed(lines, F.col("is_event"), schemas.EVENT))
+def event_records(lines: DataFrame, *carried: str) -> DataFrame:
+    """Typed events as ``event_code, sub_event, match_id, player_id, tags``; columns ``carried`` stay."""
+    return event_columns(_typed(lines, F.col("is_event"), schemas.EVENT), *carried)
 
 
-def event_columns(records: DataFrame) -> DataFrame:
+def event_columns(records: DataFrame, *carried: str) -> DataFrame:
     """Engine names for the fields of typed event records."""
     return records.select(
+        *carried,
         F.col("eventId").alias("event_code"),
         F.col("subEventId").alias("sub_event"),
         F.col("matchId").alias("match_id"),

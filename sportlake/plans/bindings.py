@@ -290,6 +290,15 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def timed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines with the time they are sent: events through the day of their match, which follows at 22:00."""
+    match = F.coalesce(F.get_json_object("value", "$.matchId"), F.get_json_object("value", "$.wyId")).cast("long")
+    hour = F.when(F.get_json_object("value", "$.wyId").isNotNull(), 22).otherwise(F.pmod(F.xxhash64("value"), F.lit(22)))
+    day = F.date_add(F.lit(FIRST_DAY).cast("date"), day_of(match)).cast("timestamp")
+    lines = event_lines(spark, sf_dir).unionByName(match_lines(spark, sf_dir))
+    return lines.select("value", F.timestamp_add("HOUR", hour.cast("int"), day).alias("sent_at"))
+
+
 # Requests ---------------------------------------------------------------------------------
 
 

@@ -328,6 +328,43 @@ _HISTORY = _with(
 _PROFILE_COLUMNS = f"""player_id, {_r("rating")}, {_r("delta")}, matches, age,
     {", ".join(TOTALS)}"""
 _PROFILE = _with(("fp",), f"SELECT {_PROFILE_COLUMNS} FROM fp")
+_PLAYER_MATCH = _with(
+    ("pm",),
+    f"""SELECT match_id, player_id, match_date, team_id, start_minute, end_minute, played,
+          {_r("pa")}, {_r("de")}, {_r("se")}, fouls, own_goals, target, {_r("fk_eff")},
+          goals, anp, akp, np, kp, age FROM pm""",
+)
+# The curve after each of three batches, over all ratings until then, and the last one of each age.
+_LATEST_PREDICTION = _with(
+    ("hi",),
+    f"""SELECT age, {_r("c0 + c1 * (age - 28) + c2 * (age - 28) * (age - 28)", "rating")}
+        FROM (SELECT DISTINCT age, b FROM bt) JOIN cu ON b = k
+        QUALIFY row_number() OVER (PARTITION BY age ORDER BY b DESC) = 1""",
+    """
+bt AS (
+  SELECT age, rating, CASE
+    WHEN d = max(d) OVER () AND match_id % 1000000000 % 3 = 0 THEN 2 WHEN d < 25 THEN 0 ELSE 1 END AS b
+  FROM (SELECT *, match_id // 1000000000 AS d FROM hi)
+),
+cs AS (
+  SELECT k, count(*) AS s0, sum(x) AS s1, sum(x * x) AS s2, sum(x * x * x) AS s3,
+    sum(x * x * x * x) AS s4, sum(rating) AS t0, sum(rating * x) AS t1,
+    sum(rating * x * x) AS t2, count(DISTINCT x) AS ages
+  FROM (SELECT unnest([0, 1, 2]) AS k) JOIN (SELECT CAST(age - 28 AS DOUBLE) AS x, rating, b FROM bt) ON b <= k
+  GROUP BY k
+),
+cu AS (
+  SELECT k,
+    (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - t2 * s3) + s2 * (t1 * s3 - t2 * s2)) / det AS c0,
+    (s0 * (t1 * s4 - t2 * s3) - t0 * (s1 * s4 - s2 * s3) + s2 * (s1 * t2 - s2 * t1)) / det AS c1,
+    (s0 * (s2 * t2 - s3 * t1) - s1 * (s1 * t2 - s2 * t1) + t0 * (s1 * s3 - s2 * s2)) / det AS c2
+  FROM (
+    SELECT *, CASE WHEN ages >= 3 THEN s0 * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3)
+              + s2 * (s1 * s3 - s2 * s2) END AS det
+    FROM cs
+  )
+)""",
+)
 _CHEMISTRY = _with(("ch",), f"SELECT player_a, player_b, {_r('coeff')} FROM ch")
 _COUNTERS = _with(("ct",), "SELECT * FROM ct")
 _APPEARANCES = _with(
@@ -427,12 +464,7 @@ ORACLES: dict[str, str] = {
     "counters": _COUNTERS,
     "ratios": _with(("ra",), "SELECT * FROM ra"),
     "appearances": _APPEARANCES,
-    "player_match": _with(
-        ("pm",),
-        f"""SELECT match_id, player_id, match_date, team_id, start_minute, end_minute, played,
-              {_r("pa")}, {_r("de")}, {_r("se")}, fouls, own_goals, target, {_r("fk_eff")},
-              goals, anp, akp, np, kp, age FROM pm""",
-    ),
+    "player_match": _PLAYER_MATCH,
     "match_steps": _with(
         ("hi",),
         f"""SELECT player_id, match_id, match_date, team_id, age, {_r("w", "weight")},
@@ -638,6 +670,19 @@ ORACLES: dict[str, str] = {
     "stream_counters": _COUNTERS,
     "stream_ratings": _HISTORY,
     "stream_ratings_batches": _HISTORY,
+    "stream_ratings_state": _HISTORY,
+    "stream_recovery": _HISTORY,
+    "stream_player_match": _PLAYER_MATCH,
+    "stream_records": _with(
+        ("en",),
+        """SELECT 'bad' AS kind, count(*) AS records, CAST(sum(length(text)) AS BIGINT) AS total FROM documents
+           UNION ALL
+           SELECT 'event', count(*), CAST(sum(CASE event_type WHEN 'view' THEN 8 WHEN 'click' THEN 1
+             WHEN 'purchase' THEN 10 WHEN 'signup' THEN 3 WHEN 'error' THEN 2 ELSE 0 END) AS BIGINT) FROM events
+           UNION ALL
+           SELECT 'match', count(*), CAST(sum(gameweek) AS BIGINT) FROM mt""",
+    ),
+    "stream_latest_prediction": _LATEST_PREDICTION,
     "stream_chemistry": _CHEMISTRY,
     "stream_quadratic": _with(
         ("hi",),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +19,7 @@ from ..operators import ratings as rating_ops
 from ..operators import records as record_ops
 from ..session import scratch_folder
 from ..sources import files
-from ..streaming import jobs
+from ..streaming import jobs, joined
 from . import answers
 from . import bindings as bind
 from .oracles import OFF_TIES, PLACES
@@ -518,18 +519,170 @@ def stream_ratings_batches(spark, sf_dir):
     return rounded(jobs.ratings(spark, out, bind.births(spark, sf_dir)))
 
 
+def _send(batches: list[DataFrame], source: str, files: int) -> None:
+    """Adds the batches to a folder one after the other, each as so many files."""
+    for lines in batches:
+        lines.repartition(files).write.mode("append").text(source)
+
+
+def _fed(spark, sf_dir, batches, max_files=None):
+    """Tables of facts of lines that come in batches, and the session of their streams."""
+    source, out = scratch_folder(spark, "lines"), scratch_folder(spark, "season")
+    session = jobs.stream_session(spark, spark.sparkContext.defaultParallelism)
+    _send(batches, source, max_files or spark.sparkContext.defaultParallelism)
+    _keep_facts(spark, session, source, out, scratch_folder(spark, "checkpoint"), max_files)
+    return session, out
+
+
+def _keep_facts(spark, session, source, out, checkpoint, max_files=None, after=None):
+    lines = jobs.read_lines(session, source, max_files)
+    running = [
+        jobs.start_counters(lines, out, f"{checkpoint}-counters", interval=None),
+        jobs.start_facts(lines, out, f"{checkpoint}-facts", interval=None, after=after),
+    ]
+    for query in running:
+        jobs.finish(query)
+
+
+def _keep_ratings(spark, sf_dir, session, out, max_files=None, checkpoint=None, after=None):
+    checkpoint = checkpoint or scratch_folder(spark, "checkpoint-ratings")
+    births = bind.births(session, sf_dir)
+    jobs.finish(jobs.start_ratings(session, out, births, checkpoint, None, max_files, after))
+
+
+def _disordered(spark, sf_dir):
+    """All lines in four batches: events before, with and after their matches, half of the matches
+    after later ones, and in the end all matches once more."""
+    events, matches = bind.event_lines(spark, sf_dir), bind.match_lines(spark, sf_dir)
+    third = F.pmod(F.xxhash64("value"), F.lit(3))
+    odd_day = bind.day_of(F.get_json_object("value", "$.wyId").cast("long")) % 2 == 1
+    return [
+        events.where(third == 0).unionByName(matches.where(odd_day)),
+        events.where(third == 1),
+        matches.where(~odd_day),
+        events.where(third == 2).unionByName(matches),
+    ]
+
+
+def stream_ratings_state(spark, sf_dir):
+    """Ratings kept in keyed state over several micro-batches, with late and repeated matches."""
+    session, out = _fed(spark, sf_dir, _disordered(spark, sf_dir), max_files=4)
+    _keep_ratings(spark, sf_dir, session, out, max_files=6)
+    return rounded(jobs.rating_changes(spark, out))
+
+
+def stream_recovery(spark, sf_dir):
+    """The same ratings from jobs that fail after a batch's writes, before its commit, and start again."""
+    source, out = scratch_folder(spark, "lines"), scratch_folder(spark, "season")
+    checkpoint = scratch_folder(spark, "checkpoint")
+    session = jobs.stream_session(spark, spark.sparkContext.defaultParallelism)
+    _send(_disordered(spark, sf_dir), source, 4)
+
+    def lost(batch_id):
+        if batch_id == 1:
+            raise RuntimeError("lost between write and commit")
+
+    def survived(run):
+        try:
+            run(lost)
+        except StreamingQueryException:
+            run(None)
+        else:
+            raise AssertionError("the job did not fail")
+
+    survived(lambda after: _keep_facts(spark, session, source, out, checkpoint, 4, after))
+    ratings = f"{checkpoint}-ratings"
+    survived(lambda after: _keep_ratings(spark, sf_dir, session, out, 6, ratings, after))
+    return rounded(jobs.rating_changes(spark, out))
+
+
+def stream_player_match(spark, sf_dir):
+    """Appearances joined with their events by a join of two streams, day by day."""
+    source, out = scratch_folder(spark, "lines"), scratch_folder(spark, "joined")
+    lines = bind.timed_lines(spark, sf_dir)
+    week = F.floor(F.datediff("sent_at", F.lit(bind.FIRST_DAY)) / 8)
+    files = 2
+    for k in range(5):
+        at = F.least(week, F.lit(4)) == k
+        lines.where(at).repartition(files).write.mode("append").parquet(source)
+    after = lines.agg(F.max("sent_at") + F.expr("INTERVAL 30 days")).scalar()
+    for days in (0, 30):  # two more lines let the watermark pass all that was sent
+        silent = spark.range(1).select(
+            F.lit(joined.HEARTBEAT).alias("value"), (after + F.expr(f"INTERVAL {days} days")).alias("sent_at")
+        )
+        silent.write.mode("append").parquet(source)
+    session = jobs.stream_session(spark, spark.sparkContext.defaultParallelism)
+    sent = session.readStream.schema(joined.LINES).option("maxFilesPerTrigger", str(files)).parquet(source)
+    jobs.finish(joined.start_arrivals(sent, out, scratch_folder(spark, "checkpoint"), interval=None))
+    checkpoint = scratch_folder(spark, "checkpoint")
+    jobs.finish(joined.start_player_match(session, out, checkpoint, interval=None, max_files=4 * files))
+    found = joined.player_match(spark, out, bind.births(spark, sf_dir))
+    return rounded(found.select(*bind.player_match(spark, sf_dir).columns))
+
+
+def stream_records(spark, sf_dir):
+    """Typed records and quarantined lines that a job keeps, counted and summed by kind."""
+    texts = bind.table(spark, sf_dir, "documents").select(F.translate("text", "\n\r", "  ").alias("value"))
+    source, out = scratch_folder(spark, "lines"), scratch_folder(spark, "records")
+    _lines(spark, sf_dir).unionByName(texts).write.text(source)
+    session = jobs.stream_session(spark, spark.sparkContext.defaultParallelism)
+    lines = jobs.read_lines(session, source)
+    jobs.finish(jobs.start_records(lines, out, scratch_folder(spark, "checkpoint"), interval=None))
+    kinds = [
+        ("bad", jobs.quarantine(spark, out), F.length("value")),
+        ("event", jobs.events(spark, out), F.col("event_code")),
+        ("match", jobs.matches(spark, out), F.col("gameweek")),
+    ]
+    counted = [
+        rows.agg(F.lit(kind).alias("kind"), F.count("*").alias("records"), F.sum(value).cast("long").alias("total"))
+        for kind, rows, value in kinds
+    ]
+    return counted[0].unionByName(counted[1]).unionByName(counted[2])
+
+
+def _stream_state(spark, sf_dir):
+    """All lines at once through facts and keyed ratings."""
+    session, out = _fed(spark, sf_dir, [_lines(spark, sf_dir)])
+    _keep_ratings(spark, sf_dir, session, out)
+    return session, out
+
+
 def stream_chemistry(spark, sf_dir):
-    return rounded(jobs.chemistry(_stream_rated(spark, sf_dir)))
+    """Chemistry from signed sums of the pairs of touched matches."""
+    session, out = _stream_state(spark, sf_dir)
+    jobs.finish(jobs.start_chemistry(session, out, scratch_folder(spark, "checkpoint"), interval=None))
+    return rounded(jobs.signed_chemistry(spark, out))
 
 
 def stream_quadratic(spark, sf_dir):
-    return rounded(jobs.curve_stats(_stream_rated(spark, sf_dir)))
+    """Statistics of the curve, summed from what ratings changed by."""
+    return rounded(jobs.curve_sums(spark, _stream_state(spark, sf_dir)[1]))
 
 
 def stream_predictions(spark, sf_dir):
     """Predictions for all ages seen, from the curve over every rated match of the stream."""
-    stats = jobs.curve_stats(_stream_rated(spark, sf_dir))
-    return rounded(model_ops.predict_ages(stats, model_ops.solve_quadratic(stats)))
+    return rounded(jobs.predictions(spark, _stream_state(spark, sf_dir)[1]))
+
+
+def stream_latest_prediction(spark, sf_dir):
+    """Predictions after three batches, each for the ages it rated; others keep what they had.
+
+    The last batch holds a third of the last day's matches, the second the other ones from day 25 on.
+    """
+    events, matches = bind.event_lines(spark, sf_dir), bind.match_lines(spark, sf_dir)
+    match = F.coalesce(F.get_json_object("value", "$.matchId"), F.get_json_object("value", "$.wyId")).cast("long")
+    lines = events.unionByName(matches).withColumn("match", match)
+    last = lines.agg(F.max(bind.day_of(F.col("match")))).scalar()
+    day = bind.day_of(F.col("match"))
+    batch = F.when((day == last) & (bind.slot_of(F.col("match")) % 3 == 0), 2).when(day < 25, 0).otherwise(1)
+    source, out = scratch_folder(spark, "lines"), scratch_folder(spark, "season")
+    facts, rated = scratch_folder(spark, "checkpoint"), scratch_folder(spark, "checkpoint-ratings")
+    session = jobs.stream_session(spark, spark.sparkContext.defaultParallelism)
+    for n in range(3):
+        _send([lines.where(batch == n).select("value")], source, 4)
+        _keep_facts(spark, session, source, out, facts)
+        _keep_ratings(spark, sf_dir, session, out, checkpoint=rated)
+    return rounded(jobs.predictions(spark, out))
 
 
 def stream_profile(spark, sf_dir):
@@ -593,9 +746,14 @@ QUERIES: dict[str, Query] = {
         stream_counters,
         stream_ratings,
         stream_ratings_batches,
+        stream_ratings_state,
+        stream_recovery,
+        stream_player_match,
+        stream_records,
         stream_chemistry,
         stream_quadratic,
         stream_predictions,
+        stream_latest_prediction,
         stream_profile,
     )
 }

@@ -1,8 +1,12 @@
 """Streaming jobs: lines in, tables out.
 
-Every table is a folder with one part per micro-batch, ``batch_id=<n>``, which a replayed
+Every table is a folder with one part per micro-batch (see ``tables``), which a replayed
 batch overwrites. So a job that is restarted from its checkpoint leaves the same tables as
 one that never stopped. Readers combine the parts.
+
+``start_facts`` and ``start_counters`` turn lines into tables of facts. ``start_ratings`` keeps
+ratings, the curve and predictions up to date from these, and ``start_chemistry`` the pairs from changed
+ratings; both hold keyed state, so what they read in a batch follows the batch, not the history.
 """
 
 from __future__ import annotations
@@ -11,7 +15,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import codes, schemas
@@ -22,11 +25,28 @@ from ..operators import models as model_ops
 from ..operators import profiles as profile_ops
 from ..operators import ratings as rating_ops
 from ..operators import records as record_ops
+from . import state, tables
+from .tables import write as _write
 
 INTERVAL = "100 seconds"
 
 COUNTERS = "match_id long, player_id long, " + ", ".join(f"{c} long" for c in codes.COUNTERS)
+EVENTS = "event_code int, sub_event int, match_id long, player_id long, tags array<int>"
 SENT = ("sent_at", "sent_in", "sent_from")
+APPEARANCES = state.APPEARANCE.rpartition(",")[0]
+CURVE = "age int, n long, rating_sum double"
+PAIRS = "player_a long, player_b long, contribution double"
+PREDICTIONS = "age int, rating double"
+
+#: Schema of each table that parts of many batches make up, and how they merge.
+MERGED = {
+    "counters": (COUNTERS, tables.last_of(["match_id", "player_id"])),
+    "fact_counts": (COUNTERS, tables.sum_of(["match_id", "player_id"])),
+    "rating_changes": (state.CHANGED, tables.last_of(["player_id", "match_id"])),
+    "pair_changes": (PAIRS, tables.sum_of(["player_a", "player_b"])),
+    "curve_changes": (CURVE, tables.sum_of(["age"])),
+    "predictions": (PREDICTIONS, tables.last_of(["age"])),
+}
 
 
 def stream_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
@@ -94,7 +114,11 @@ def start_counters(
 
 
 def start_facts(
-    lines: DataFrame, out: str, checkpoint: str, interval: str | None = INTERVAL
+    lines: DataFrame,
+    out: str,
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+    after: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
     """Keeps the facts that ratings follow from: counters and appearances of each batch.
 
@@ -112,7 +136,93 @@ def start_facts(
         _write(listed, out, "fact_appearances", batch_id)
         batch.unpersist()
 
-    return _start(lines, "append", keep, checkpoint, interval)
+    return _start(lines, "append", keep, checkpoint, interval, after)
+
+
+def start_ratings(
+    session: SparkSession,
+    out: str,
+    players: DataFrame,
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+    max_files: int | None = None,
+    after: Callable[[int], None] | None = None,
+) -> StreamingQuery:
+    """Keeps rating changes, curve statistics and predictions from the tables of facts.
+
+    A match counts in the first form sent, each player's ratings follow in keyed state whatever the order of arrival,
+    and only ratings that change are written, next to what they were. Statistics of the curve add these
+    differences up; predictions are those of the curve after the batch, for ages with a changed rating.
+    ``players`` must belong to ``session``.
+    """
+    counted = stream(session, out, "counters", COUNTERS, max_files)
+    gains = event_ops.ratios(counted, "batch_id").selectExpr(
+        "player_id",
+        "'counted' AS kind",
+        "match_id",
+        "CAST(NULL AS date) AS match_date",
+        "CAST(NULL AS string) AS team_id",
+        "CAST(NULL AS int) AS age",
+        "CAST(NULL AS double) AS weight",
+        f"{rating_ops.CONTRIBUTION} AS gain",
+        "batch_id",
+    )
+    born = players.where("birth_date IS NOT NULL").select("player_id")
+    first = state.first_forms(stream(session, out, "fact_appearances", APPEARANCES, max_files))
+    listed = rating_ops.with_age(first.where("played AND match_date IS NOT NULL"), players).selectExpr(
+        "player_id",
+        "'listed' AS kind",
+        "match_id",
+        "match_date",
+        "team_id",
+        "age",
+        f"{rating_ops.WEIGHT} AS weight",
+        "0D AS gain",
+        "batch_id",
+    )
+    rows = listed.unionByName(gains.join(born, "player_id", "left_semi"))
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        _write(batch, out, "rating_changes", batch_id)
+        # The state must run once per batch, so the rest starts from what was written.
+        changes = spark.read.schema(state.CHANGED).parquet(tables.part(out, "rating_changes", batch_id))
+        _write(model_ops.quadratic_changes(changes), out, "curve_changes", batch_id)
+        stats = curve_sums(spark, out, batch_id)
+        predicted = model_ops.predict_ages(stats, model_ops.solve_quadratic(stats))
+        now = changes.select("age").distinct()
+        _write(predicted.join(now, "age", "left_semi"), out, "predictions", batch_id)
+
+    return _start(state.rated(rows), "append", keep, checkpoint, interval, after)
+
+
+def start_chemistry(
+    session: SparkSession,
+    out: str,
+    checkpoint: str,
+    interval: str | None = INTERVAL,
+    blocks: int = 1,
+    max_files: int | None = None,
+) -> StreamingQuery:
+    """Keeps what the pairs of touched matches change by, from the changed ratings of ``start_ratings``."""
+    changes = stream(session, out, "rating_changes", state.CHANGED, max_files)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        summed = chemistry_ops.contributions(batch.withColumnRenamed("change", "contribution"))
+        _write(summed, out, "pair_changes", batch_id)
+
+    return _start(state.pair_changes(changes, blocks), "append", keep, checkpoint, interval)
+
+
+def stream(
+    session: SparkSession, out: str, table: str, schema: str, max_files: int | None = None
+) -> DataFrame:
+    """A table as a stream of its parts. A replayed batch comes again, with the same ``batch_id``."""
+    tables.create(session, out, table, schema)
+    reader = session.readStream.schema(tables.with_batch(schema)).option("ignoreMissingFiles", "true")
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", str(max_files))
+    return reader.parquet(f"{out}/{table}").where(F.col("batch_id") > tables.NONE)
 
 
 def _first_matches(batch: DataFrame) -> DataFrame:
@@ -137,10 +247,18 @@ def _start(
     keep: Callable[[DataFrame, int], None],
     checkpoint: str,
     interval: str | None,
+    after: Callable[[int], None] | None = None,
 ) -> StreamingQuery:
+    """``after`` is called between a batch's last write and its commit."""
+
+    def kept(batch: DataFrame, batch_id: int) -> None:
+        keep(batch, batch_id)
+        if after is not None:
+            after(batch_id)
+
     writer = (
         rows.writeStream.outputMode(mode)
-        .foreachBatch(keep)
+        .foreachBatch(kept)
         .option("checkpointLocation", checkpoint)
     )
     if interval is None:
@@ -148,42 +266,64 @@ def _start(
     return writer.trigger(processingTime=interval).start()
 
 
-def _part(out: str, table: str, batch_id: int) -> str:
-    return f"{out}/{table}/batch_id={batch_id}"
+# Tables -----------------------------------------------------------------------------------
 
 
-def _write(rows: DataFrame, out: str, table: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(_part(out, table, batch_id))
+def _merged(spark: SparkSession, out: str, table: str, upto: int | None = None) -> DataFrame:
+    schema, merge = MERGED[table]
+    return merge(tables.read(spark, out, table, schema, upto)).drop("batch_id")
 
 
-# Tables -----------------------------------------------------------------------------------
+def compact(spark: SparkSession, out: str, table: str, upto: int) -> None:
+    """Merges the parts of a table up to batch ``upto``, which must be over."""
+    schema, merge = MERGED[table]
+    tables.compact(spark, out, table, schema, merge, upto)
+
+
+def rating_changes(spark: SparkSession, out: str) -> DataFrame:
+    """Current rating after each match, from the keyed state's changes."""
+    columns = "player_id match_id match_date team_id rating delta matches age".split()
+    return _merged(spark, out, "rating_changes").select(*columns)
 
 
-def _parts(spark: SparkSession, out: str, table: str, schema: str) -> DataFrame:
-    return spark.read.schema(f"{schema}, batch_id long").parquet(f"{out}/{table}")
+def signed_chemistry(spark: SparkSession, out: str) -> DataFrame:
+    """Current coefficients from the sums of signed contributions."""
+    return chemistry_ops.coefficients(_merged(spark, out, "pair_changes"))
+
+
+def curve_sums(spark: SparkSession, out: str, upto: int | None = None) -> DataFrame:
+    """Current statistics of the rating-versus-age curve, summed by batches."""
+    return _merged(spark, out, "curve_changes", upto).where("n > 0")
+
+
+def predictions(spark: SparkSession, out: str) -> DataFrame:
+    """Last prediction of each age; an age without a new one keeps the old."""
+    return _merged(spark, out, "predictions")
 
 
 def matches(spark: SparkSession, out: str) -> DataFrame:
     """Stored matches; the first form of a match stays."""
-    schema = T.StructType([*schemas.MATCH.fields, T.StructField("batch_id", T.LongType())])
-    stored = spark.read.schema(schema).parquet(f"{out}/matches")
+    stored = tables.read(spark, out, "matches", schemas.MATCH)
     return record_ops.first_per_key(stored, ["wyId"], ["batch_id"]).drop("batch_id")
 
 
+def events(spark: SparkSession, out: str) -> DataFrame:
+    """Stored events."""
+    return tables.read(spark, out, "events", EVENTS).drop("batch_id")
+
+
+def quarantine(spark: SparkSession, out: str) -> DataFrame:
+    """Stored lines that hold no record."""
+    return tables.read(spark, out, "bad_lines", "value string").drop("batch_id")
+
+
 def counters(spark: SparkSession, out: str) -> DataFrame:
     """Current counters: the value of the last batch that changed a key."""
-    return (
-        _parts(spark, out, "counters", COUNTERS)
-        .groupBy("match_id", "player_id")
-        .agg(F.max_by(F.struct(*codes.COUNTERS), "batch_id").alias("last"))
-        .select("match_id", "player_id", "last.*")
-    )
+    return _merged(spark, out, "counters")
 
 
 def _fact_appearances(spark: SparkSession, out: str) -> DataFrame:
-    none = appearance_ops.appearances(spark.createDataFrame([], schemas.MATCH))
-    schema = T.StructType([*none.schema.fields, T.StructField("batch_id", T.LongType())])
-    rows = spark.read.schema(schema).parquet(f"{out}/fact_appearances")
+    rows = tables.read(spark, out, "fact_appearances", APPEARANCES)
     first = rows.groupBy("match_id").agg(F.min("batch_id").alias("first_batch"))
     return rows.join(first, "match_id")
 
@@ -191,8 +331,7 @@ def _fact_appearances(spark: SparkSession, out: str) -> DataFrame:
 def ratings(spark: SparkSession, out: str, players: DataFrame) -> DataFrame:
     """Rating history from all facts so far; of a match sent again the first form counts."""
     listed = _fact_appearances(spark, out).where("batch_id = first_batch")
-    parts = _parts(spark, out, "fact_counts", COUNTERS).groupBy("match_id", "player_id")
-    counted = parts.agg(*[F.sum(c).alias(c) for c in codes.COUNTERS])
+    counted = _merged(spark, out, "fact_counts")
     joined = rating_ops.player_match(listed.drop("batch_id", "first_batch"), event_ops.ratios(counted))
     return rating_ops.history(rating_ops.match_steps(rating_ops.with_age(joined, players)))
 
