@@ -6,8 +6,8 @@ of both directions are the pairs that overlap. Bytes where tokens of both sides
 text into groups, and every pair of a group is a link.
 
 Where both tokenizers are known to cut, at one space between characters that are not white space, a text
-falls into pieces that are tokenized and aligned by themselves with the same result. Equal pieces are worked out once and
-kept for later batches, so the merge is keyed by piece; a text that cannot be cut is one piece.
+falls into pieces that are tokenized and aligned by themselves with the same result. Equal pieces of a
+batch are worked out once, so the merge is keyed by piece; a text that cannot be cut is one piece.
 
 An id pair's count is the number of texts that link it. Pairs are counted with map-side
 sums. The pairs of most texts, as many as a broadcast of fixed size holds, are looked up
@@ -20,13 +20,13 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
-from itertools import pairwise
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -35,12 +35,22 @@ from sportlake.llm.tables import stored
 FOLDER = "/opt/tokenizers"
 BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Bytes of texts that are taken together; a longer text is taken alone.
-SLICE = 1 << 22
-#: Characters of pieces that a worker remembers before it starts anew.
-REMEMBERED = 1 << 22
+SLICE = 1 << 21
+#: Pieces that are tokenized as one string.
+JOINED = 512
 #: Pairs that are broadcast at most, 16 bytes each.
 BROADCAST = 1 << 18
+#: White space, of which one blank between other characters is a cut.
+_WHITE = (
+    r"\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+_UNEVEN = f"(^|[{_WHITE}]) | ([{_WHITE}]|$)"
 _SPACE = re.compile(r"(?<=\S) (?=\S)")
+#: Pieces that are not plain: other than letters, digits and signs whose kind is the same in all versions
+#: of Unicode, or white space at an end, as only the first and the last piece of a text may have it.
+_OTHER = f"[^\\x{{20}}-\\x{{7e}}\\n\\x{{c0}}-\\x{{24f}}]|^[{_WHITE}]|[{_WHITE}]$"
+#: Fixed value: how byte-level tokenizers part a text.
+_PARTS = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def byte_level_alphabet() -> dict[str, int]:
@@ -60,9 +70,10 @@ class ByteLevel:
         self.model.encode_special_tokens = True
         alphabet = byte_level_alphabet()
         special = {t.content for t in self.model.get_added_tokens_decoder().values()}
+        vocabulary = self.model.get_vocab()
         self.entries = {
             i: entry.encode() if entry in special else bytes(alphabet[c] for c in entry)
-            for entry, i in self.model.get_vocab().items()
+            for entry, i in vocabulary.items()
         }
         declared = json.loads(self.model.to_str())
         before = declared["pre_tokenizer"] or {}
@@ -73,11 +84,25 @@ class ByteLevel:
             and before.get("use_regex", False)
             and not before.get("add_prefix_space", True)
         )
+        self.ranked = None
+        merges = [m.split(" ") if isinstance(m, str) else m for m in declared["model"]["merges"]]
+        if self.cuts and all(vocabulary.get(a + b) == 256 + i for i, (a, b) in enumerate(merges)):
+            # Ids are the order of merges, so the same vocabulary runs as ranks, which is faster.
+            import tiktoken
+
+            ranks = {entry: i for i, entry in self.entries.items() if i < 256 + len(merges)}
+            self.ranked = tiktoken.Encoding("ranks", pat_str=_PARTS, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         found = self.model.encode_batch_fast([" " + text for text in texts], add_special_tokens=False)
         return [own.ids for own in found]
 
+    def encode_all(self, texts: list[str], plain: bool) -> np.ndarray:
+        """Ids of all texts in a row; ``plain`` says that they hold plain characters only."""
+        if plain and self.ranked is not None:
+            return self.ranked.encode_to_numpy(" " + " ".join(texts)).astype(np.int64)
+        return _flat(self.encode(texts))
+
 
 class Pieces:
     """A tokenizer of pieces with byte fallback, which puts a space before texts itself."""
@@ -98,6 +123,36 @@ class Pieces:
     def encode(self, texts: list[str]) -> list[list[int]]:
         return self.model.encode(texts, num_threads=1)
 
+    def encode_all(self, texts: list[str], plain: bool) -> np.ndarray:
+        """Ids of all texts in a row; ``plain`` as above."""
+        if plain and self.cuts:
+            texts = [" ".join(texts[low : low + JOINED]) for low in range(0, len(texts), JOINED)]
+        return _flat(self.encode(texts))
+
+
+def _flat(ids: list[list[int]]) -> np.ndarray:
+    return np.concatenate([np.array(own, np.int64) for own in ids]) if ids else np.zeros(0, np.int64)
+
+
+class Entries:
+    """Bytes of each id of a vocabulary, to be written out for many ids at once."""
+
+    def __init__(self, entries: dict[int, bytes]) -> None:
+        self.bytes = pa.array([entries.get(i, b"") for i in range(max(entries) + 1)], pa.binary())
+        self.sizes = np.array([len(entries.get(i, b"")) for i in range(max(entries) + 1)])
+        self.names = pa.array([str(i) for i in range(max(entries) + 1)], pa.string())
+
+    def joined(self, ids: np.ndarray) -> np.ndarray:
+        return _content(self.bytes.take(pa.array(ids)))
+
+
+def _content(strings: pa.Array) -> np.ndarray:
+    """All bytes of an array of strings or binaries."""
+    _, at, data = strings.buffers()
+    ends = np.frombuffer(at, np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return raw[ends[0] : ends[-1]]
+
 
 @dataclass
 class Aligned:
@@ -107,27 +162,23 @@ class Aligned:
     n_b: np.ndarray
     n_groups: np.ndarray
     n_overlaps: np.ndarray
-    #: Ids of linked pairs, ``a << 32 | b``, how often, and where each piece's begin.
+    #: Linked pairs by their place in ``ids``, how often, and where each piece's begin.
     pairs: np.ndarray
     links: np.ndarray
     begins: np.ndarray
-    texts: list[str]
-    valid: np.ndarray
+    #: Different linked ids, ``a << 32 | b``, ascending.
+    ids: np.ndarray
+    groups: pa.Array
 
 
-def token_table(ids: list[list[int]], sizes: np.ndarray, bases: np.ndarray) -> pd.DataFrame:
+def token_table(ids: np.ndarray, sizes: np.ndarray, ends: np.ndarray) -> pd.DataFrame:
     """A row for each token: its ``piece``, ``id``, and bytes from ``start`` to ``end``.
 
-    Bytes are numbered through all pieces, from ``bases``, so starts ascend.
+    Bytes are numbered through all pieces, which end at ``ends``, so starts ascend.
     """
-    counts = np.fromiter(map(len, ids), np.int64, len(ids))
-    flat = np.fromiter((i for own in ids for i in own), np.int64, int(counts.sum()))
-    piece = np.repeat(np.arange(len(ids)), counts)
-    ends = np.cumsum(sizes[flat])
-    first = np.concatenate([[0], np.cumsum(counts)])[:-1]
-    before = np.concatenate([[0], ends])[first]
-    ends += (bases - before)[piece]
-    return pd.DataFrame({"piece": piece, "id": flat, "start": ends - sizes[flat], "end": ends})
+    end = np.cumsum(sizes[ids])
+    start = end - sizes[ids]
+    return pd.DataFrame({"piece": np.searchsorted(ends, start, "right"), "id": ids, "start": start, "end": end})
 
 
 def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
@@ -139,135 +190,137 @@ def overlaps(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     b = b[["piece", "start"]].assign(at_b=np.arange(len(b)))
     covering = pd.merge_asof(a, b, on="start", by="piece")
     covered = pd.merge_asof(b, a, on="start", by="piece")
-    columns = ["at_a", "at_b"]
-    return pd.concat([covering[columns], covered[columns]]).drop_duplicates(ignore_index=True)
+    # Both directions give pairs that start at one byte.
+    covered = covered[covered["start"].to_numpy() > a["start"].to_numpy()[covered["at_a"]]]
+    return pd.concat([covering[["at_a", "at_b"]], covered[["at_a", "at_b"]]], ignore_index=True)
 
 
-def align(ids_a: list[list[int]], ids_b: list[list[int]], sizes_a: np.ndarray, sizes_b: np.ndarray, valid: np.ndarray) -> Aligned:
-    """Alignment of pieces from their ids and the bytes of each id.
-
-    Where ``valid`` is false both lists of ids must be empty.
-    """
-    n = len(ids_a)
-    lengths = np.array([int(sizes_a[own].sum()) if own else 0 for own in ids_a])
-    bases = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-    a, b = token_table(ids_a, sizes_a, bases), token_table(ids_b, sizes_b, bases)
+def align(a: pd.DataFrame, b: pd.DataFrame, n: int, names_a: pa.Array, names_b: pa.Array) -> Aligned:
+    """Alignment of ``n`` pieces from the token tables of both sides and the names of their ids."""
     both = overlaps(a, b)
-    shared = np.intersect1d(a["end"], b["end"])
+    shared = np.intersect1d(a["end"], b["end"], assume_unique=True)
     group_a, group_b = np.searchsorted(shared, a["end"]), np.searchsorted(shared, b["end"])
-    in_a, in_b = np.bincount(group_a, minlength=len(shared)), np.bincount(group_b, minlength=len(shared))
     group_piece = np.zeros(len(shared), np.int64)
     group_piece[group_a] = a["piece"]
+    n_groups = np.bincount(group_piece, minlength=n)
     # Within a group each different id once, with how often it occurs: their products are the links.
-    ids_of_a, times_a, first_a, count_a = _distinct(group_a, a["id"].to_numpy(), len(shared))
+    ids_of_a, times_a, _, count_a = _distinct(group_a, a["id"].to_numpy(), len(shared))
     ids_of_b, times_b, first_b, count_b = _distinct(group_b, b["id"].to_numpy(), len(shared))
     # A row of each group's ids of a is paired with all its ids of b.
     group_of = np.repeat(np.arange(len(shared)), count_a)
     wide = count_b[group_of]
     row = np.repeat(np.arange(len(ids_of_a)), wide)
-    within = np.arange(int(wide.sum())) - np.repeat(np.cumsum(wide) - wide, wide)
-    other = first_b[group_of[row]] + within
-    pairs = ids_of_a[row] << 32 | ids_of_b[other]
-    links = times_a[row] * times_b[other]
-    piece = group_piece[group_of[row]]
-    order = np.lexsort((pairs, piece))
-    pairs, links, piece = pairs[order], links[order], piece[order]
-    new = np.ones(len(pairs), bool)
-    new[1:] = (pairs[1:] != pairs[:-1]) | (piece[1:] != piece[:-1])
-    starts = np.flatnonzero(new)
-    links = np.add.reduceat(links, starts) if len(starts) else links
-    pairs, piece = pairs[starts], piece[starts]
-    texts = _written(a["id"].tolist(), b["id"].tolist(), in_a.tolist(), in_b.tolist(), np.bincount(group_piece, minlength=n).tolist())
+    other = first_b[group_of[row]] + np.arange(len(row)) - np.repeat(np.cumsum(wide) - wide, wide)
+    codes, ids = pd.factorize(ids_of_a[row] << 32 | ids_of_b[other], sort=True)
+    piece, pairs, links = _summed(group_piece[group_of[row]], codes.astype(np.int64), times_a[row] * times_b[other])
+    written = [
+        pc.binary_join(_lists(names.take(pa.array(table["id"].to_numpy())), np.bincount(group, minlength=len(shared))), ",")
+        for names, table, group in ((names_a, a, group_a), (names_b, b, group_b))
+    ]
     return Aligned(
         np.bincount(a["piece"], minlength=n),
         np.bincount(b["piece"], minlength=n),
-        np.bincount(group_piece, minlength=n),
+        n_groups,
         np.bincount(a["piece"].to_numpy()[both["at_a"]], minlength=n),
         pairs,
         links,
         np.concatenate([[0], np.cumsum(np.bincount(piece, minlength=n))]),
-        texts,
-        valid,
+        ids,
+        pc.binary_join(_lists(pc.binary_join_element_wise(*written, "|"), n_groups), ";"),
     )
 
 
 def _distinct(group: np.ndarray, ids: np.ndarray, groups: int) -> tuple[np.ndarray, ...]:
     """Different ids by group, how often each occurs, and each group's first and number of them."""
-    keys, times = np.unique(group.astype(np.int64) << 32 | ids, return_counts=True)
-    count = np.bincount(keys >> 32, minlength=groups)
-    return keys & 0xFFFFFFFF, times, np.cumsum(count) - count, count
+    group, ids, times = _summed(group, ids, np.ones(len(ids), np.int64))
+    count = np.bincount(group, minlength=groups)
+    return ids, times, np.cumsum(count) - count, count
+
+
+def _summed(owner: np.ndarray, keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Different keys of each owner, ascending, with the sum of their times; keys are below 2^31."""
+    both = owner << 31 | keys
+    order = np.argsort(both)
+    both = both[order]
+    new = np.ones(len(both), bool)
+    new[1:] = both[1:] != both[:-1]
+    starts = np.flatnonzero(new)
+    times = np.add.reduceat(times[order], starts) if len(starts) else times
+    both = both[starts]
+    return both >> 31, both & 0x7FFFFFFF, times
 
 
-def _written(a: list[int], b: list[int], in_a: list[int], in_b: list[int], groups: list[int]) -> list[str]:
-    """``a1,a2|b1;a3|b2,b3`` for each piece."""
-    a, b = list(map(str, a)), list(map(str, b))
-    each, at, bt = [], 0, 0
-    for p, q in zip(in_a, in_b, strict=True):
-        each.append(",".join(a[at : at + p]) + "|" + ",".join(b[bt : bt + q]))
-        at += p
-        bt += q
-    cuts = np.concatenate([[0], np.cumsum(groups)]).tolist()
-    return [";".join(each[low:high]) for low, high in pairwise(cuts)]
+def _lists(values: pa.Array, counts: np.ndarray) -> pa.Array:
+    cuts = np.concatenate([[0], np.cumsum(counts)])
+    return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), values)
 
 
-@dataclass
 class Aligner:
-    """Both tokenizers and what pieces of late gave; one for each worker."""
-
-    a: ByteLevel
-    b: Pieces
-    numbers: dict[str, int] = field(default_factory=dict)
-    parts: list[Aligned] = field(default_factory=list)
-    characters: int = 0
+    """Both tokenizers; one for each worker."""
 
-    def __post_init__(self) -> None:
-        self.sizes_a, self.sizes_b = _sizes(self.a.entries), _sizes(self.b.entries)
-        self.cuts = self.a.cuts and self.b.cuts
+    def __init__(self, a: ByteLevel, b: Pieces) -> None:
+        self.a, self.b = a, b
+        self.of_a, self.of_b = Entries(a.entries), Entries(b.entries)
+        self.cuts = a.cuts and b.cuts
 
     def pieces(self, text: str) -> list[str]:
+        """The pieces of one text."""
         return _SPACE.split(text) if self.cuts else [text]
 
-    def _learn(self, new: list[str]) -> Aligned:
-        ids_a, ids_b = self.a.encode(new), self.b.encode(new)
-        valid = np.ones(len(new), bool)
-        for i, (text, own_a, own_b) in enumerate(zip(new, ids_a, ids_b, strict=True)):
-            whole = b" " + text.encode()
-            joined = b"".join(map(self.a.entries.__getitem__, own_a)), b"".join(map(self.b.entries.__getitem__, own_b))
-            if joined != (whole, whole):
+    def all_pieces(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """Pieces of texts that are not empty, and how many each has."""
+        if self.cuts and not pc.any(pc.match_substring_regex(texts, _UNEVEN)).as_py():
+            lists = pc.split_pattern(texts, " ")
+            return lists.flatten(), pc.list_value_length(lists).to_numpy()
+        own = [self.pieces(text) for text in texts.to_pylist()]
+        return pa.array([piece for part in own for piece in part], pa.string()), np.array([len(part) for part in own])
+
+    def learn(self, pieces: pa.Array) -> tuple[Aligned, np.ndarray]:
+        """Alignment of different pieces, and which of them both sides reproduce; others have no tokens."""
+        other = pc.match_substring_regex(pieces, _OTHER).to_numpy(zero_copy_only=False)
+        order = np.argsort(other, kind="stable")  # plain ones first
+        texts = pieces.take(pa.array(order)).to_pylist()
+        plain = len(texts) - int(other.sum())
+        found = [self._tokens(part, i == 0) for i, part in enumerate((texts[:plain], texts[plain:]))]
+        valid = np.zeros(len(texts), bool)
+        valid[order] = np.concatenate([own for _, _, own in found])
+        sizes = pc.binary_length(pieces.cast(pa.binary())).to_numpy(zero_copy_only=False) + 1
+        sizes = np.where(valid, sizes, 0)[order]
+        ends = np.cumsum(sizes)
+        a, b = (
+            token_table(np.concatenate([part[side] for part in found]), own.sizes, ends)
+            for side, own in ((0, self.of_a), (1, self.of_b))
+        )
+        aligned = align(a, b, len(texts), self.of_a.names, self.of_b.names)
+        return _reordered(aligned, np.argsort(order, kind="stable")), valid
+
+    def _tokens(self, texts: list[str], plain: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of both sides, those of pieces that are not reproduced left out, and which are."""
+        valid = np.ones(len(texts), bool)
+        if not texts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), valid
+        a, b = self.a.encode_all(texts, plain), self.b.encode_all(texts, plain)
+        whole = np.frombuffer((" " + " ".join(texts)).encode(), np.uint8)
+        if all(np.array_equal(own.joined(ids), whole) for own, ids in ((self.of_a, a), (self.of_b, b))):
+            return a, b, valid
+        ids_a, ids_b = self.a.encode(texts), self.b.encode(texts)
+        for i, (text, own_a, own_b) in enumerate(zip(texts, ids_a, ids_b, strict=True)):
+            want = (" " + text).encode()
+            joined = [b"".join(map(side.entries.__getitem__, ids)) for side, ids in ((self.a, own_a), (self.b, own_b))]
+            if joined != [want, want]:
                 valid[i] = False
                 ids_a[i], ids_b[i] = [], []
-        return align(ids_a, ids_b, self.sizes_a, self.sizes_b, valid)
-
-    def known(self, pieces: list[list[str]]) -> tuple[np.ndarray, Aligned]:
-        """Numbers of all pieces, and the alignments that they number."""
-        if self.characters > REMEMBERED:
-            self.numbers, self.parts, self.characters = {}, [], 0
-        numbers, before = self.numbers, len(self.numbers)
-        found = [numbers.setdefault(piece, len(numbers)) for own in pieces for piece in own]
-        if len(numbers) > before:
-            new = list(numbers)[before:]
-            self.characters += sum(map(len, new))
-            self.parts.append(self._learn(new))
-            if len(self.parts) > 1:
-                self.parts = [_joined(self.parts)]
-        return np.array(found, np.int64), self.parts[0]
-
-
-def _sizes(entries: dict[int, bytes]) -> np.ndarray:
-    sizes = np.zeros(max(entries) + 1, np.int64)
-    sizes[list(entries)] = list(map(len, entries.values()))
-    return sizes
-
-
-def _joined(parts: list[Aligned]) -> Aligned:
-    counts = np.concatenate([np.diff(part.begins) for part in parts])
-    arrays = "n_a n_b n_groups n_overlaps pairs links".split()
-    return Aligned(
-        *[np.concatenate([getattr(part, name) for part in parts]) for name in arrays],
-        np.concatenate([[0], np.cumsum(counts)]),
-        [text for part in parts for text in part.texts],
-        np.concatenate([part.valid for part in parts]),
-    )
+        return _flat(ids_a), _flat(ids_b), valid
+
+
+def _reordered(aligned: Aligned, places: np.ndarray) -> Aligned:
+    """The same alignments, piece ``i`` being that at ``places[i]``."""
+    counts = np.diff(aligned.begins)[places]
+    begins = np.concatenate([[0], np.cumsum(counts)])
+    at = np.repeat(aligned.begins[places] - begins[:-1], counts) + np.arange(begins[-1])
+    numbers = [getattr(aligned, name)[places] for name in COLUMNS[:4]]
+    groups = aligned.groups.take(pa.array(places))
+    return Aligned(*numbers, aligned.pairs[at], aligned.links[at], begins, aligned.ids, groups)
 
 
 @lru_cache(2)
@@ -278,61 +331,39 @@ def _aligner(path_a: str, path_b: str) -> Aligner:
 COLUMNS = ("n_a", "n_b", "n_groups", "n_overlaps", "n_links")
 
 
-def align_texts(texts: list[str], aligner: Aligner) -> dict[str, object]:
-    """Columns for some texts: numbers of tokens, groups and pairs, the groups as text, and distinct pairs."""
-    pieces = [aligner.pieces(text) if text else [] for text in texts]
-    numbers, known = aligner.known(pieces) if any(pieces) else (np.zeros(0, np.int64), None)
-    counts = np.fromiter(map(len, pieces), np.int64, len(pieces))
+def align_texts(texts: pa.Array, aligner: Aligner) -> list[pa.Array]:
+    """Columns for some texts: ``COLUMNS``, groups as text, distinct pairs and how often each is linked."""
     n = len(texts)
-    if known is not None:
-        text = np.repeat(np.arange(n), counts)
-        invalid = np.unique(text[~known.valid[numbers]])
-        if len(invalid):  # such a text has no tokens at all
-            lost = np.isin(text, invalid)
-            numbers, counts = numbers[~lost], counts.copy()
-            counts[invalid] = 0
-            text = text[~lost]
-    if known is None or not len(numbers):
-        empty = [np.zeros(0, np.int64)] * n
-        return dict.fromkeys(COLUMNS, np.zeros(n, np.int64)) | {"groups": [""] * n, "pairs": empty, "links": empty}
-    total = {name: np.bincount(text, getattr(known, name)[numbers], n).astype(np.int64) for name in COLUMNS[:4]}
-    cuts = np.concatenate([[0], np.cumsum(counts)]).tolist()
-    written = [known.texts[i] for i in numbers.tolist()]
-    groups = [";".join(written[low:high]) for low, high in pairwise(cuts)]
+    held = np.flatnonzero(pc.fill_null(pc.greater(pc.utf8_length(texts), 0), False).to_numpy(zero_copy_only=False))
+    pieces, counts = aligner.all_pieces(texts.take(pa.array(held)).cast(pa.string()))
+    encoded = pieces.dictionary_encode()
+    known, valid = aligner.learn(encoded.dictionary)
+    numbers = encoded.indices.to_numpy().astype(np.int64)
+    text = np.repeat(held, counts)
+    if not valid.all():  # a text with a piece that is not reproduced has no tokens at all
+        lost = np.isin(text, np.unique(text[~valid[numbers]]))
+        numbers, text = numbers[~lost], text[~lost]
+    total = [np.bincount(text, getattr(known, name)[numbers], n).astype(np.int64) for name in COLUMNS[:4]]
+    groups = pc.binary_join(_lists(known.groups.take(pa.array(numbers)), np.bincount(text, minlength=n)), ";")
     # Each different piece of a text once, then the distinct pairs of these.
-    keys, often = np.unique(text << 32 | numbers, return_counts=True)
-    text, piece = keys >> 32, keys & 0xFFFFFFFF
-    low, held = known.begins[piece], known.begins[piece + 1] - known.begins[piece]
-    at = np.arange(int(held.sum())) + np.repeat(low - (np.cumsum(held) - held), held)
-    text, pairs, links = np.repeat(text, held), known.pairs[at], known.links[at] * np.repeat(often, held)
-    order = np.lexsort((pairs, text))
-    text, pairs, links = text[order], pairs[order], links[order]
-    starts = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (pairs[1:] != pairs[:-1])]))
-    text, pairs, links = text[starts], pairs[starts], np.add.reduceat(links, starts)
-    total["n_links"] = np.bincount(text, links, n).astype(np.int64)
-    cuts = np.searchsorted(text, np.arange(n + 1))
-    return total | {"groups": groups, "pairs": (pairs, cuts), "links": (links, cuts)}
-
-
-def _lists(values, n: int) -> pa.Array:
-    if isinstance(values, tuple):
-        flat, cuts = values
-        return pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(flat, pa.int64()))
-    return pa.array(values, pa.list_(pa.int64()))
-
-
-def _slices(column: pa.Array) -> Iterator[list[str]]:
-    gathered: list[str] = []
-    size = 0
-    for value in column:
-        own = value.as_py() or ""
-        if gathered and size + len(own) > SLICE:
-            yield gathered
-            gathered, size = [], 0
-        gathered.append(own)
-        size += len(own)
-    if gathered:
-        yield gathered
+    text, piece, often = _summed(text, numbers, np.ones(len(numbers), np.int64))
+    low, own = known.begins[piece], known.begins[piece + 1] - known.begins[piece]
+    at = np.arange(int(own.sum())) + np.repeat(low - (np.cumsum(own) - own), own)
+    text, pairs, links = _summed(np.repeat(text, own), known.pairs[at], known.links[at] * np.repeat(often, own))
+    counts = np.bincount(text, minlength=n)
+    total.append(np.bincount(text, links, n).astype(np.int64))
+    lists = [_lists(pa.array(values, pa.int64()), counts) for values in (known.ids[pairs], links)]
+    return [*[pa.array(values, pa.int64()) for values in total], groups, *lists]
+
+
+def _slices(column: pa.Array) -> Iterator[pa.Array]:
+    """Runs of texts of ``SLICE`` bytes together, or one text that is longer."""
+    sizes = pc.fill_null(pc.binary_length(column.cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+    low = 0
+    while low < len(column):
+        high = low + max(1, int(np.searchsorted(np.cumsum(sizes[low:]), SLICE, "right")))
+        yield column.slice(low, high - low)
+        low = high
 
 
 def aligned(docs: DataFrame, path_a: str = f"{FOLDER}/{BYTE_LEVEL}", path_b: str = f"{FOLDER}/{PIECES}") -> DataFrame:
@@ -352,20 +383,10 @@ def aligned(docs: DataFrame, path_a: str = f"{FOLDER}/{BYTE_LEVEL}", path_b: str
         for batch in batches:
             at = 0
             for texts in _slices(batch.column(2)):
-                n = len(texts)
-                columns = align_texts(texts, aligner)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(at, n),
-                        batch.column(1).slice(at, n),
-                        *[pa.array(columns[name], pa.int64()) for name in COLUMNS],
-                        pa.array(columns["groups"], pa.string()),
-                        _lists(columns["pairs"], n),
-                        _lists(columns["links"], n),
-                    ],
-                    names=["row", "doc_id", *COLUMNS, "groups", "pairs", "links"],
-                )
-                at += n
+                keys = [batch.column(i).slice(at, len(texts)) for i in (0, 1)]
+                names = ["row", "doc_id", *COLUMNS, "groups", "pairs", "links"]
+                yield pa.RecordBatch.from_arrays([*keys, *align_texts(texts, aligner)], names=names)
+                at += len(texts)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     numbers = ", ".join(f"{name} bigint" for name in COLUMNS)

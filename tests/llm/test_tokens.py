@@ -1,7 +1,10 @@
 import hashlib
+import random
 from collections import Counter
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from conftest_llm import prose
 
@@ -48,12 +51,14 @@ def brute(texts, aligner):
             whole = b" " + text.encode()
             if b"".join(aligner.a.entries[i] for i in a) == b"".join(aligner.b.entries[i] for i in b) == whole:
                 ends_a, ends_b = byte_offsets(aligner.a.entries, a), byte_offsets(aligner.b.entries, b)
-                low = 0
-                for end in sorted(set(ends_a) & set(ends_b)):
-                    own = [i for i, e in zip(a, ends_a) if low < e <= end], [i for i, e in zip(b, ends_b) if low < e <= end]
-                    groups.append(own)
-                    links.update((x, y) for x in own[0] for y in own[1])
-                    low = end
+                shared, at, bt = set(ends_a) & set(ends_b), 0, 0
+                for i, end in enumerate(ends_a):
+                    if end in shared:
+                        j = ends_b.index(end, bt)
+                        own = a[at : i + 1], b[bt : j + 1]
+                        groups.append(own)
+                        links.update((x, y) for x in own[0] for y in own[1])
+                        at, bt = i + 1, j + 1
         written = ";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)
         digest = hashlib.sha256(written.encode()).hexdigest() if groups else ""
         rows.append([sum(len(g[0]) for g in groups), sum(len(g[1]) for g in groups), len(groups), sum(links.values()), digest])
@@ -109,15 +114,37 @@ def test_query_equals_brute_force(spark, frame, tmp_path, aligner, monkeypatch,
     assert any(r[3] != r[1] and r[1] != r[2] for r in wanted) and sum(r[1] == 0 for r in wanted) > 3
 
 
-def test_memory_of_pieces_starts_anew(aligner, monkeypatch):
-    monkeypatch.setattr(tokens, "REMEMBERED", 50)
-    again = tokens.Aligner(aligner.a, aligner.b)
-    texts = [t or "" for t in TEXTS]
-    one = [tokens.align_texts(texts[i : i + 4], again) for i in range(0, len(texts), 4)]
+def test_slices_do_not_matter(aligner):
+    texts = pa.array(TEXTS, pa.string())
     whole = tokens.align_texts(texts, aligner)
-    assert [g for part in one for g in part["groups"]] == whole["groups"]
-    assert [n for part in one for n in part["n_overlaps"]] == whole["n_overlaps"].tolist()
-    assert (whole["n_overlaps"] <= whole["n_links"]).all() and (whole["n_overlaps"] >= whole["n_a"]).all()
+    parts = [tokens.align_texts(texts.slice(i, 4), aligner) for i in range(0, len(texts), 4)]
+    for i, column in enumerate(whole):
+        assert [v for part in parts for v in part[i].to_pylist()] == column.to_pylist()
+    n_a, n_overlaps, n_links = (np.array(whole[tokens.COLUMNS.index(c)]) for c in ("n_a", "n_overlaps", "n_links"))
+    assert (n_overlaps <= n_links).all() and (n_overlaps >= n_a).all()
+
+
+def test_ranks_give_the_same_tokens(aligner):
+    draw = random.Random(3)
+    signs = [chr(c) for c in (*range(0x20, 0x7F), 10, *range(0xC0, 0x250))]
+    texts = ["".join(draw.choices(signs[:95] if i % 2 else signs, k=draw.randint(1, 60))) for i in range(3000)]
+    texts += ["".join(draw.choices("aeinorst' 10.\n", k=40)) for _ in range(3000)]
+    for text in texts:
+        assert aligner.a.ranked.encode_ordinary(" " + text) == aligner.a.encode([text])[0], text
+
+
+def test_texts_that_cannot_be_cut(aligner):
+    whole = tokens.Aligner(aligner.a, aligner.b)
+    whole.cuts = False
+    texts = pa.array(TEXTS, pa.string())
+    monkey = tokens.ByteLevel.encode_all, tokens.Pieces.encode_all
+    try:
+        tokens.ByteLevel.encode_all = lambda self, texts, plain: tokens._flat(self.encode(texts))
+        tokens.Pieces.encode_all = lambda self, texts, plain: tokens._flat(self.encode(texts))
+        found = tokens.align_texts(texts, whole)
+    finally:
+        tokens.ByteLevel.encode_all, tokens.Pieces.encode_all = monkey
+    assert [c.to_pylist() for c in found] == [c.to_pylist() for c in tokens.align_texts(texts, aligner)]
 
 
 def test_odd_and_empty_tables(odd, empty, odd_rows):
