@@ -2,10 +2,12 @@
 
 With ``w`` the weight of the pitch time and ``c`` the contribution in the match, a rating
 moves from ``r`` to ``w * (c + r) / 2``. That is an affine map of ``r``, and affine maps
-compose associatively. So a player's matches are cut into chunks, the maps of each chunk
-are composed, the composed maps give the rating at the start of every chunk, and the chunks
-are then run through independently. No task holds more than a chunk of a player's matches,
-however many matches that player has.
+compose associatively. So the matches of a player are the leaves of a tree over the calendar: chunks of
+one day, periods of days, the player. Maps are composed up the tree; then
+the rating at the start of each node is handed down from its parent, and the chunks are run through
+independently. Where a match belongs follows from its date and id alone, so nothing is
+ordered or numbered over a player's matches. A list holds the children of a node: those of a player are the
+periods of the calendar that were played in, however many matches these hold.
 """
 
 from __future__ import annotations
@@ -16,9 +18,10 @@ from pyspark.sql import functions as F
 from .. import codes
 from ..functions import age_rounded
 
-PERIOD_DAYS = 365
+#: Days of a period, and match ids of a day that fall into one chunk.
+PERIOD_DAYS = 64
 CHUNK_ROWS = 64
-SLICE_CHUNKS = 128
+SLICE_NODES = 128
 
 
 def player_match(appearances: DataFrame, ratios: DataFrame) -> DataFrame:
@@ -69,11 +72,20 @@ def history(
 ) -> DataFrame:
     """Rating after every match, in order of match date and id.
 
-    A chunk holds at most ``chunk_rows`` matches of a player, all from one calendar period.
+    A chunk holds the matches of a player on one day whose ids share ``id div chunk_rows``.
     """
-    chunks = _chunks(steps, period_days, chunk_rows)
+    chunks = _chunks(steps, chunk_rows)
+    leaves = chunks.selectExpr("player_id", "day", "part", "size(steps) AS played", f"{_COMPOSE} AS map")
+    periods = _parents(
+        leaves.withColumn("period", F.expr(f"floor(day / {period_days})")), ["period"], ["day", "part"]
+    )
+    players = _parents(_nodes(periods, ["period"]), [], ["period"]).selectExpr(
+        "player_id", "children", f"{codes.START_RATING}D AS seed", "0 AS played_before"
+    )
+    of_periods = _seeds(players)
+    of_chunks = _seeds(periods.join(of_periods, ["player_id", "period"]))
     return (
-        chunks.join(_chunk_seeds(chunks), ["player_id", "period", "part"])
+        chunks.join(of_chunks, ["player_id", "day", "part"])
         .selectExpr("player_id", f"inline({_RUN})")
         .select(
             "player_id", "match_id", "match_date", "team_id", "rating", "delta", "matches", "age"
@@ -81,20 +93,16 @@ def history(
     )
 
 
-def _chunks(steps: DataFrame, period_days: int, chunk_rows: int) -> DataFrame:
-    in_period = "PARTITION BY player_id, period ORDER BY match_date, match_id"
+def _chunks(steps: DataFrame, chunk_rows: int) -> DataFrame:
     step = "struct(match_date, match_id, team_id, age, weight, contribution)"
     # The chunks are read twice, for their maps and for the run. Saying what the join on
     # the keys implies here keeps both readings alike, so that Spark shuffles once.
     return (
-        steps.where("player_id IS NOT NULL")
-        .withColumn("period", F.expr(f"floor(unix_date(match_date) / {period_days})"))
-        .where("period IS NOT NULL")
-        .withColumn(
-            "part", F.expr(f"floor((row_number() OVER ({in_period}) - 1) / {chunk_rows})")
-        )
-        .where("part IS NOT NULL")
-        .groupBy("player_id", "period", "part")
+        steps.where("player_id IS NOT NULL AND match_date IS NOT NULL AND match_id IS NOT NULL")
+        .withColumn("day", F.expr("bigint(unix_date(match_date))"))
+        .withColumn("part", F.expr(f"floor(match_id / {chunk_rows})"))
+        .where("day IS NOT NULL AND part IS NOT NULL")
+        .groupBy("player_id", "day", "part")
         .agg(F.expr(f"array_sort(collect_list({step})) AS steps"))
     )
 
@@ -110,39 +118,70 @@ _COMPOSE = """
       )
     )"""
 
-# Rating and number of matches before each chunk of a player. The fold appends to a list,
-# which copies it, so a long list of chunks is folded in slices.
-_SEED = "struct<period: bigint, part: bigint, seed: double, played_before: int>"
-_SLICE_SEEDS = f"""
+# The same for a node from its children, with the number of matches.
+_COMPOSE_CHILDREN = """
     aggregate(
-      slice,
-      named_struct(
-        'seeds', cast(array() AS array<{_SEED}>),
-        'rating', element_at(done, -1).rating,
-        'played', element_at(done, -1).played
-      ),
-      (acc, chunk) -> named_struct(
-        'seeds', concat(acc.seeds, array(named_struct(
-          'period', chunk.period, 'part', chunk.part,
-          'seed', acc.rating, 'played_before', acc.played))),
-        'rating', chunk.map.scale * acc.rating + chunk.map.shift,
-        'played', acc.played + chunk.played
+      children,
+      named_struct('played', 0, 'map', named_struct('scale', 1D, 'shift', 0D)),
+      (acc, child) -> named_struct(
+        'played', acc.played + child.played,
+        'map', named_struct(
+          'scale', child.map.scale * acc.map.scale,
+          'shift', child.map.scale * acc.map.shift + child.map.shift)
       )
     )"""
-_SEEDS = f"""
-    aggregate(
-      transform(
-        sequence(0, (size(chunks) - 1) div {SLICE_CHUNKS}),
-        i -> slice(chunks, int(i * {SLICE_CHUNKS} + 1), {SLICE_CHUNKS})
-      ),
-      array(named_struct(
-        'seeds', cast(array() AS array<{_SEED}>),
-        'rating', {codes.START_RATING}D,
-        'played', 0
-      )),
-      (done, slice) -> concat(done, array({_SLICE_SEEDS})),
-      done -> flatten(done.seeds)
-    )"""
+
+
+def _parents(nodes: DataFrame, parent: list[str], own: list[str]) -> DataFrame:
+    """Nodes by parent, as a list in order of their own keys."""
+    known = " AND ".join(f"{c} IS NOT NULL" for c in ["player_id", *parent])
+    child = F.struct(*own, "played", "map")
+    return nodes.where(known).groupBy("player_id", *parent).agg(F.array_sort(F.collect_list(child)).alias("children"))
+
+
+def _nodes(parents: DataFrame, keys: list[str]) -> DataFrame:
+    """The parents as nodes themselves."""
+    return parents.select("player_id", *keys, F.expr(_COMPOSE_CHILDREN).alias("node")).select(
+        "player_id", *keys, "node.played", "node.map"
+    )
+
+
+def _seeds(parents: DataFrame) -> DataFrame:
+    """Rating and number of matches before each child, from those before the parent.
+
+    The fold appends to a list, which copies it, so a long list of children is folded in slices.
+    """
+    element = parents.schema["children"].dataType.elementType
+    own = [f.name for f in element.fields if f.name not in ("played", "map")]
+    seeds = f"array<struct<{', '.join(f'{c}: bigint' for c in own)}, seed: double, played_before: int>>"
+    keys = ", ".join(f"'{c}', child.{c}" for c in own)
+    of_slice = f"""
+        aggregate(
+          part,
+          named_struct(
+            'seeds', cast(array() AS {seeds}),
+            'rating', element_at(done, -1).rating,
+            'played', element_at(done, -1).played
+          ),
+          (acc, child) -> named_struct(
+            'seeds', concat(acc.seeds, array(named_struct(
+              {keys}, 'seed', acc.rating, 'played_before', acc.played))),
+            'rating', child.map.scale * acc.rating + child.map.shift,
+            'played', acc.played + child.played
+          )
+        )"""
+    folded = f"""
+        aggregate(
+          transform(
+            sequence(0, (size(children) - 1) div {SLICE_NODES}),
+            i -> slice(children, int(i * {SLICE_NODES} + 1), {SLICE_NODES})
+          ),
+          array(named_struct('seeds', cast(array() AS {seeds}), 'rating', seed, 'played', played_before)),
+          (done, part) -> concat(done, array({of_slice})),
+          done -> flatten(done.seeds)
+        )"""
+    return parents.selectExpr("player_id", f"inline({folded})")
+
 
 # The rated matches of a chunk, from its seed on.
 _NEXT = "step.weight * ((step.contribution + acc.rating) / 2)"
@@ -168,19 +207,6 @@ _RUN = f"""
     )"""
 
 
-def _chunk_seeds(chunks: DataFrame) -> DataFrame:
-    """Rating and number of matches before each chunk, one small row per chunk."""
-    return (
-        chunks.selectExpr(
-            "player_id",
-            f"struct(period, part, size(steps) AS played, {_COMPOSE} AS map) AS chunk",
-        )
-        .groupBy("player_id")
-        .agg(F.expr("array_sort(collect_list(chunk)) AS chunks"))
-        .selectExpr("player_id", f"inline({_SEEDS})")
-    )
-
-
 def latest(rated: DataFrame) -> DataFrame:
     """Rating of each player after the last match."""
     values = ["rating", "delta", "matches", "age"]

@@ -110,7 +110,12 @@ def appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
     One in eight sits on the bench, half of those unused; a third of the starters is taken
     off. Minutes reach beyond 90, so some players come on after the end.
     """
-    listed = events(spark, sf_dir).select("match_id", "player_id").distinct()
+    return _placed(events(spark, sf_dir).select("match_id", "player_id").distinct())
+
+
+def _placed(listed: DataFrame) -> DataFrame:
+    """Appearances of listed players, from match and player alone; more columns stay."""
+    more = [c for c in listed.columns if c not in ("match_id", "player_id")]
     return (
         listed.withColumn("day", day_of(F.col("match_id")))
         .selectExpr(
@@ -129,6 +134,7 @@ def appearances(spark: SparkSession, sf_dir: str) -> DataFrame:
                      WHEN turn % 8 <> 0 AND turn % 3 = 0 THEN minute
                      ELSE {codes.FULL_MATCH} END AS end_minute""",
             "turn % 16 <> 0 AS played",
+            *more,
         )
     )
 
@@ -180,9 +186,10 @@ def player_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rating_history(spark: SparkSession, sf_dir: str, **chunking) -> DataFrame:
-    return rating_ops.history(
-        rating_ops.match_steps(player_match(spark, sf_dir)), **chunking
-    )
+    """In these tables a player appears in the matches that have events of theirs, so one
+    aggregate of the events gives appearances and ratios, where records need a join."""
+    played = rating_ops.with_age(_placed(ratios(spark, sf_dir)), births(spark, sf_dir))
+    return rating_ops.history(rating_ops.match_steps(played), **chunking)
 
 
 def latest_rating(spark: SparkSession, sf_dir: str) -> DataFrame:
