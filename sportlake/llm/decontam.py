@@ -25,10 +25,10 @@ from sportlake.llm.tables import stored
 
 #: Characters of benchmark items that one pass over the texts searches.
 BLOCK_CHARS = 4_000_000
-#: Shorter items, in characters after normalisation, say too little to be evidence.
+#: Shorter items, in characters after normalisation, are found without edits and as whole words only.
 LEAST_CHARS = 32
 
-_FOUND = "doc_id bigint, item_id bigint, distance int, first bigint, last bigint"
+_FOUND = "doc_id bigint, item_id bigint, distance int, first bigint, last bigint, short boolean"
 
 
 def normal(text: str) -> str:
@@ -77,7 +77,7 @@ class _Matcher:
         self.items, self.machine = [], ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for number, (item_id, text) in enumerate(items):
-            budget = len(text) * percent // 100
+            budget = len(text) * percent // 100 if len(text) >= LEAST_CHARS else 0
             self.items.append((item_id, text, budget))
             for at, piece in pieces(text, budget):
                 places.setdefault(piece, []).append((number, at))
@@ -85,8 +85,8 @@ class _Matcher:
             self.machine.add_word(piece, (len(piece), found))
         self.machine.make_automaton()
 
-    def search(self, text: str) -> list[tuple[int, int, int, int]]:
-        """Items in a normalised text: item, distance, first and last character."""
+    def search(self, text: str) -> list[tuple[int, int, int, int, bool]]:
+        """Items in a normalised text: item, distance, first and last character, whether it is short."""
         starts: dict[int, list[int]] = {}
         for end, (size, found) in self.machine.iter(text):
             for number, at in found:
@@ -94,6 +94,11 @@ class _Matcher:
         result = []
         for number, near in starts.items():
             item_id, item, budget = self.items[number]
+            if len(item) < LEAST_CHARS:
+                whole = [at for at in near if _whole_words(text, at, at + len(item))]
+                if whole:
+                    result.append((item_id, 0, min(whole), min(whole) + len(item), True))
+                continue
             best = None
             low = high = None
             for start in [*sorted(near), None]:
@@ -107,10 +112,18 @@ class _Matcher:
                 if start is not None:
                     low, high = start if low is None else low, start
             if best:
-                result.append((item_id, *best))
+                result.append((item_id, *best, False))
         return result
 
 
+def _whole_words(text: str, first: int, last: int) -> bool:
+    """Whether neither end of a stretch parts a word or number."""
+    return not (
+        first > 0 and text[first - 1].isalnum() and text[first].isalnum()
+        or last < len(text) and text[last - 1].isalnum() and text[last].isalnum()
+    )
+
+
 def _searched(items: list[tuple[int, str]], percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _Matcher(items, percent)
@@ -121,9 +134,9 @@ def _searched(items: list[tuple[int, str]], percent: int):
                 if text
                 for found in matcher.search(normal(text))
             ]
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-            names = ["doc_id", "item_id", "distance", "first", "last"]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+            names = ["doc_id", "item_id", "distance", "first", "last", "short"]
             arrays = [pa.array(list(c), k) for c, k in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(arrays, names=names)
 
@@ -131,21 +144,21 @@ def _searched(items: list[tuple[int, str]], percent: int):
 
 
 def contaminated(docs: DataFrame, items: DataFrame, percent: int = 10) -> DataFrame:
-    """Benchmark items that occur in texts: ``doc_id, item_id, distance, first, last``.
+    """Benchmark items that occur in texts: ``doc_id, item_id, distance, first, last, short``.
 
     ``docs`` has doc_id and text, ``items`` item_id and text; more columns are ignored. Both
     texts are compared in lower case with white space as one blank. A text is contaminated
     if a substring of it is within ``percent`` edits per hundred characters of an item;
     ``distance`` is that of its best substring, ``first`` and ``last`` bound it approximately
-    in the normalised text. One row for each row of ``docs`` and each item found.
+    in the normalised text. Items under ``LEAST_CHARS`` characters, marked ``short``, are found only without
+    edits and where no word is parted at either end. One row for each row of ``docs`` and each item found.
 
-    Null and empty texts hold nothing; null items and items under ``LEAST_CHARS``
-    characters are not searched; an empty benchmark finds nothing. Rows repeated in ``docs``
+    Null and empty texts hold nothing; null and blank items are not searched; an empty benchmark finds nothing. Rows repeated in ``docs``
     give repeated rows; an item repeated under one id counts as one for each distinct text.
     """
     spark = docs.sparkSession
     size = F.length("text")
-    items = items.select(F.col("item_id").cast("long"), "text").where(size >= LEAST_CHARS).distinct()
+    items = items.select(F.col("item_id").cast("long"), "text").where(size > 0).distinct()
     # Running sum in cells of equal hash, so that no task sorts the whole benchmark.
     items = stored(items.withColumn("cell", F.pmod(F.xxhash64("item_id", "text"), F.lit(64))), "items")
     order = W.partitionBy("cell").orderBy("item_id", "text")
@@ -157,7 +170,7 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = 10) -> DataFr
     for block in blocks:
         rows = items.where(F.col("block") == block).select("item_id", "text").collect()
         texts = sorted({(r["item_id"], normal(r["text"])) for r in rows}, key=repr)
-        texts = [x for x in texts if x[0] is not None and len(x[1]) >= LEAST_CHARS]
+        texts = [x for x in texts if x[0] is not None and x[1]]
         parts.append(narrow.mapInArrow(_searched(texts, percent), _FOUND))
     if not parts:
         return spark.createDataFrame([], _FOUND)

@@ -57,3 +57,15 @@ def test_odd_rows(spark, odd, empty):
     assert sorted((r.doc_id, r.item_id) for r in found) == [(1, 1), (2, 1), (6, 1), (6, 1)]
     assert decontam.contaminated(empty, items).collect() == []
     assert decontam.contaminated(odd, spark.createDataFrame([], schema)).collect() == []
+
+
+def test_short_items_as_whole_words(spark, frame):
+    items = [(1, "What is the capital of  Peru?"), (2, "42"), (3, " \t"), (4, "?"), (5, "peru")]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    rows = [(1, "so what is the capital of peru? Lima"), (2, "What is the capitol of Peru?"), (3, "it's 42."),
+            (4, "a 142 and 421"), (5, "peruvian"), (6, None), (7, "Peru")]
+    found = decontam.contaminated(frame(rows), table, 10).collect()
+    pairs = {(r.doc_id, r.item_id) for r in found}
+    assert pairs == {(1, 1), (1, 4), (1, 5), (2, 4), (2, 5), (3, 2), (7, 5)}
+    assert all(r.short and r.distance == 0 for r in found)
+    assert {(r.first, r.last) for r in found if (r.doc_id, r.item_id) == (1, 1)} == {(3, 31)}
