@@ -14,13 +14,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sportlake.llm.words import _LOWER, text_bytes
 
 WINDOW, EMBED, FILTERS, WIDTHS = 128, 8, 16, (2, 3, 4, 5)
-#: Expected labelled rows for each language, windows from each, and languages at most.
-SAMPLE, PER_TEXT, LANGUAGES = 1_200, 4, 256
+#: Different labelled texts of each language, at most, and windows from each.
+SAMPLE, PER_TEXT = 1_200, 4
 _PAD = 32
 
 
@@ -154,27 +155,23 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Network | None:
-    """Network from ``docs`` (text, lang), learned from some ``sample`` rows a language.
+    """Network from ``docs`` (text, lang), learned from up to ``sample`` texts of each language.
 
-    Rows without language or letter are left out; the ``LANGUAGES`` most frequent languages
-    are learned. None if there is nothing to learn from.
+    Texts are taken in the order of a hash, copies of one text count once, and every language is learned. Rows
+    without language or letter are left out. None if there is nothing to learn from. What the
+    driver gets grows with the number of languages only: ``sample * PER_TEXT`` windows for each.
     """
-    known = docs.select(F.col("lang").cast("string"), "text").where(
-        "lang is not null and text is not null"
-    )
-    known = known.where(F.col("text").rlike(r"\p{L}"))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
-        return None
-    key = F.xxhash64("text", "lang")
-    parts = 1 << 30
-    bound = F.create_map(
-        *[x for r in counts for x in (F.lit(r["lang"]), F.lit(-(-parts * sample // r["count"])))]
-    )
-    chosen = known.where(F.pmod(key, F.lit(parts)) < F.element_at(bound, F.col("lang")))
-    rows = chosen.select("lang", "text", key).mapInArrow(_sampled, "lang string, key bigint, window binary")
+    known = docs.select(F.col("lang").cast("string"), "text", F.xxhash64("text", "lang").alias("key"))
+    known = known.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
+    order = W.partitionBy("lang").orderBy(F.pmod("key", F.lit(1 << 30)), "key")
+    chosen = known.select("lang", "key").distinct().withColumn("place", F.row_number().over(order))
+    chosen = chosen.where(F.col("place") <= sample).drop("place")
+    rows = known.join(chosen, ["lang", "key"]).groupBy("lang", "key").agg(F.min("text").alias("text"))
+    rows = rows.select("lang", "text", "key").mapInArrow(_sampled, "lang string, key bigint, window binary")
     table = rows.toArrow().sort_by([("key", "ascending"), ("window", "ascending")])
-    languages = sorted(r["lang"] for r in counts)
+    if not len(table):
+        return None
+    languages = sorted(set(table["lang"].to_pylist()))
     number = {x: i for i, x in enumerate(languages)}
     windows = np.frombuffer(b"".join(table["window"].to_pylist()), np.uint8).reshape(-1, WINDOW)
     labels = np.array([number[x] for x in table["lang"].to_pylist()])
@@ -185,7 +182,8 @@ def identified(docs: DataFrame, network: Network | None) -> DataFrame:
     """``docs`` (doc_id, text) as ``doc_id, lang_pred, score``, a row for each row.
 
     Every window of the whole text is classified; the language with the largest mean
-    probability, weighed by the windows' bytes, wins and that mean is the score. Null texts
+    probability, weighed by the windows' bytes, wins, the first in order of name on ties, and that mean
+    is the score. Null texts
     and texts without a letter, or without a network, are ``und`` with score 0.
     """
 
