@@ -173,15 +173,18 @@ class Pseudonyms:
                     if luhn(new[:-1]) != int(new[-1]):
                         break
                 return "number", self._filled(text, new, r"\d")
-            return "number", self._filled(text, self.digits("number", plain), r"\d")
+            return "number", self._filled(text, self._last_ten(plain), r"\d")
         if kind == "phone":
             if not 8 <= len(plain) <= 15:
                 return None
-            own = min(10, len(plain))
-            if text[0] == "+":
-                own = min(own, len(plain) - 1)
-            return kind, self._filled(text, plain[:-own] + self.digits(kind, plain[-own:]), r"\d")
-        return kind, self._filled(text, self.digits(kind, plain), r"\d")
+            kept = 1 if text[0] == "+" and len(plain) <= 10 else 0
+            return kind, self._filled(text, plain[:kept] + self._last_ten(plain[kept:]), r"\d")
+        return kind, self._filled(text, self._last_ten(plain), r"\d")
+
+    def _last_ten(self, plain: str) -> str:
+        """Digits with the last ten permuted, by their number alone, whatever they stand for."""
+        own = min(10, len(plain))
+        return plain[: len(plain) - own] + self.digits("digits", plain[len(plain) - own :])
 
     @staticmethod
     def _filled(text: str, values: str, pattern: str) -> str:
@@ -210,7 +213,9 @@ _SUSPECT = re.compile(r"[\d@]")
 def pseudonymised(docs: DataFrame, key: bytes) -> DataFrame:
     """``docs`` (doc_id, text, more columns) as ``doc_id, text, n_<kind> ..., n_values``.
 
-    Kinds: e-mail addresses (the local part), IBANs, dates, IPv4 addresses, social security
+    Social security, phone and other numbers of up to twelve digits are permuted by their digits alone, so one value has
+    one pseudonym with or without signs between; of more than ten digits the first ones stay, and so does the first one
+    after a plus sign. Kinds: e-mail addresses (the local part), IBANs, dates, IPv4 addresses, social security
     numbers, card numbers, phone numbers, other numbers of nine or more digits, and hex
     tokens. Cards keep a valid check digit, IBANs their country and a valid check, dates stay
     days of 1900 to 2099, phones keep a country prefix. Values that aren't valid for their

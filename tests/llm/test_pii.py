@@ -51,3 +51,26 @@ def test_rows(odd, empty, frame):
     rows = pseudonymised(frame([(1, "call 123456789"), (2, "id 123456789!")]), KEY).collect()
     a, b = (re.search(r"\d{9}", r.text)[0] for r in rows)
     assert a == b != "123456789" and [r.n_number for r in rows] == [1, 1]
+
+
+def test_one_value_in_several_forms():
+    own = Pseudonyms(KEY)
+
+    def digits(text):
+        new, counts = own.text(text)
+        assert sum(counts.values()) == 1 and new != text, text
+        return re.sub(r"\D", "", new)
+
+    assert digits("123-45-6789") == digits("123456789") == digits("123 45 6789") != "123456789"
+    assert digits("(212) 555-7713") == digits("2125557713") == digits("212-555-7713") != "2125557713"
+    assert digits("+1 (212) 555-7713") == digits("12125557713") == "1" + digits("2125557713")
+
+
+def test_documents_equal_one_by_one(frame):
+    """Every value looked up in a permutation built anew for each row."""
+    texts = ["a 123-45-6789 b", "x 123456789", None, "", "c@d.org 10.0.0.1", "4111 1111 1111 1111", "no", "1999-12-31"] * 3
+    found = pseudonymised(frame(list(enumerate(texts))), KEY).collect()
+    want = {i: Pseudonyms(KEY).text(t)[0] if t else t for i, t in enumerate(texts)}
+    assert {r.doc_id: r.text for r in found} == want
+    back = {r.doc_id: Pseudonyms(KEY, back=True).text(r.text)[0] if r.text else r.text for r in found}
+    assert back == dict(enumerate(texts))
