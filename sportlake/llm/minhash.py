@@ -267,6 +267,53 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     unless the component has no id at all. Rows repeated with one doc_id are kept or
     dropped alike.
     """
+    signed, rooted = _rooted(docs, length, percent)
+    lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    named = rooted.join(lowest, "root").select("class", "component_id")
+    return (
+        signed.join(named, "class", "left")
+        .select(
+            "doc_id",
+            "n_shingles",
+            F.when(F.col("class").isNull(), F.col("doc_id"))
+            .otherwise(F.col("component_id"))
+            .alias("component_id"),
+        )
+        .withColumn("kept", F.expr("doc_id <=> component_id"))
+    )
+
+
+def deduplicated(docs: DataFrame, length: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` (doc_id, text, more columns) with one row of each component of near duplicates.
+
+    That is the row with the smallest doc_id, null last, ties by a hash of the row; of rows that are equal
+    in id and text one stays, whatever their other columns. Rows without words all stay, as nothing links them.
+    """
+    signed, rooted = _rooted(docs, length, percent)
+    place = F.struct(F.col("doc_id").isNull().alias("x"), "doc_id", "row")
+    heads = (
+        signed.where("class is not null")
+        .join(rooted.select("class", "root"), "class")
+        .groupBy("root")
+        .agg(F.min(place).alias("head"))
+        .select("head.row")
+    )
+    # Repeated rows share a number; only these need to be told apart.
+    counts = signed.where("class is not null").groupBy("row").agg((F.count("*") > 1).alias("repeated"))
+    heads = heads.join(counts, "row")
+    wordless = signed.where("class is null").select("row", F.lit(False).alias("repeated")).distinct()
+    number = "row_number"
+    while number in docs.columns:
+        number += "_"
+    chosen = heads.unionByName(wordless).withColumnRenamed("row", number)
+    kept = docs.withColumn(number, F.xxhash64("doc_id", "text")).join(chosen.withColumnRenamed("repeated", f"{number}r"), number)
+    once = kept.where(~F.col(f"{number}r"))
+    again = kept.where(F.col(f"{number}r")).dropDuplicates([number])
+    return once.unionByName(again).select(*docs.columns)
+
+
+def _rooted(docs: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows with their class, and classes with the root of their component and smallest doc_id."""
     signed = stored(
         _rows(docs).mapInArrow(
             _signed(length),
@@ -312,17 +359,4 @@ def near_duplicates(docs: DataFrame, length: int = 5, percent: int = 80) -> Data
     rooted = classes.select("class", "doc_id").join(
         roots, F.col("class") == F.col("node"), "left"
     )
-    rooted = rooted.select("class", "doc_id", F.coalesce("root", "class").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = rooted.join(lowest, "root").select("class", "component_id")
-    return (
-        signed.join(named, "class", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("class").isNull(), F.col("doc_id"))
-            .otherwise(F.col("component_id"))
-            .alias("component_id"),
-        )
-        .withColumn("kept", F.expr("doc_id <=> component_id"))
-    )
+    return signed, rooted.select("class", "doc_id", F.coalesce("root", "class").alias("root"))

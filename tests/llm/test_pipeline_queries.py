@@ -21,7 +21,8 @@ def test_query_equals_sql(spark, sf_dir, name):
     columns = sorted(frame.columns)
     got = sorted(tuple(r[c] for c in columns) for r in frame.collect())
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")
+    for table in ("documents", "embeddings"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
     want = connection.sql(ORACLES[name])
     order = [want.columns.index(c) for c in columns]
     assert got == sorted(tuple(r[i] for i in order) for r in want.fetchall())
@@ -60,3 +61,21 @@ def test_stages_on_odd_and_empty_tables(spark, odd, empty, tmp_path):
             before = docs.count()
             docs = stage(spark, docs, str(tmp_path))
             assert before or docs.count() == 0
+
+
+def test_rows_without_id_and_repeated_rows(spark, frame, tmp_path):
+    item = prose(9, 30)
+    spark.createDataFrame([(1, item), (2, "what is it?")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    a, b, c, leak = prose(1, 80), prose(2, 80), prose(3, 80), prose(4, 40) + " " + item
+    rows = [(None, a), (None, a), (5, b), (5, b), (7, b + " zu"), (None, b + " ka"), (None, c), (2, c)]
+    rows += [(None, leak), (8, "so what is it? no"), (9, None), (9, None), (None, ""), (None, " ")]
+    docs = frame(rows)
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["near_dedup"](spark, docs, str(tmp_path))
+    assert kept.columns == docs.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr)
+    want = [(None, a), (5, b), (2, c), *rows[8:]]
+    assert found == sorted(want, key=repr)
+    clean = stages["decontamination"](spark, kept, str(tmp_path))
+    want = [r for r in want if r[1] not in (leak, "so what is it? no")]
+    assert sorted(((r.doc_id, r.text) for r in clean.collect()), key=repr) == sorted(want, key=repr)
