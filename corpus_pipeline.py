@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sportlake.llm import decontam, mixing, sharding, toxicity
-from sportlake.llm.minhash import near_duplicates
+from sportlake.llm.minhash import deduplicated
 from sportlake.llm.tables import read_table, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -31,30 +31,42 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates (five words, similarity 0.8) stays.
 
-    That is the one with the group's smallest doc_id. Rows without doc_id stay, as do rows
-    without words. Of rows that repeat one id with near texts all stay.
+    That is the one with the group's smallest doc_id; a row without id stays only where the group has no
+    id. Of rows equal in id and text one stays. Rows without words stay.
     """
-    found = near_duplicates(docs)
-    gone = found.where("doc_id is not null").groupBy("doc_id").agg(F.max("kept").alias("kept"))
-    return docs.join(gone.where("not kept"), "doc_id", "left_anti").select(*docs.columns)
+    return deduplicated(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold an item of ``benchmark``, up to 8 % of edits, go.
 
-    Rows without doc_id are looked up by nothing and stay.
+    Short items count as whole words without edits. Rows are told apart by id and text, so those
+    without id and repeated ones go as well. Null and empty texts stay.
     """
-    found = decontam.contaminated(docs, read_table(spark, sf_dir, "benchmark"), percent=8)
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    row = "row_number"
+    while row in docs.columns:
+        row += "_"
+    numbered = docs.withColumn(row, F.xxhash64("doc_id", "text"))
+    texts = numbered.select(F.col(row).alias("doc_id"), "text")
+    found = decontam.contaminated(texts, read_table(spark, sf_dir, "benchmark"), percent=8)
+    gone = found.select(F.col("doc_id").alias(row)).distinct()
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as a mix of their sources by weights 5, 2, 1 takes them."""
+    """Documents as often as a mix of their sources by weights 5, 2, 1 takes them.
+
+    Rows without source are a source of their own, the last one. Rows without words count no
+    words and come once. Repeated rows are taken each for itself.
+    """
     return mixing.applied(docs)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with ``shard`` (0 to 39) and ``slot`` in it."""
+    """Documents with ``shard`` (0 to 39) and ``slot`` in it.
+
+    Every row gets one, those without id or text and repeated ones too; counts are at most one apart.
+    """
     return sharding.assigned(docs, shards=40)
 
 
