@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 
@@ -25,6 +26,20 @@ def label_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def parsed(lines: DataFrame) -> DataFrame:
+    """Labelled lines with ``record``, the fields of both kinds from one parse; null for other lines.
+
+    What takes lines takes these as well, without parsing them again, so a job that keeps them
+    parses a line once, whatever it reads from it.
+    """
+    record = F.when(F.col("is_match") | F.col("is_event"), F.from_json("value", _RECORD))
+    return label_lines(lines).withColumn("record", record)
+
+
+_RECORD = T.StructType([*schemas.MATCH.fields, *schemas.EVENT.fields])
+_PARSED = ("is_match", "is_event", "is_bad", "record")
+
+
 def match_records(lines: DataFrame) -> DataFrame:
     """Typed matches; other columns of the lines, such as an arrival order, stay."""
     return _typed(lines, F.col("is_match"), schemas.MATCH)
@@ -57,17 +72,14 @@ def event_columns(records: DataFrame, *carried: str) -> DataFrame:
 
 def bad_lines(lines: DataFrame) -> DataFrame:
     """Quarantine: the lines that hold no JSON object."""
-    return label_lines(lines).where("is_bad").drop("is_match", "is_event", "is_bad")
+    labelled = lines if "record" in lines.columns else label_lines(lines)
+    return labelled.where("is_bad").drop(*_PARSED)
 
 
-def _typed(lines: DataFrame, kind: Column, schema) -> DataFrame:
-    carried = [c for c in lines.columns if c != "value"]
-    return (
-        label_lines(lines)
-        .where(kind)
-        .select(*carried, F.from_json("value", schema).alias("record"))
-        .select(*carried, "record.*")
-    )
+def _typed(lines: DataFrame, kind: Column, schema: T.StructType) -> DataFrame:
+    rows = lines if "record" in lines.columns else parsed(lines)
+    carried = [c for c in lines.columns if c not in ("value", *_PARSED)]
+    return rows.where(kind).select(*carried, *[f"record.{name}" for name in schema.names])
 
 
 def first_per_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

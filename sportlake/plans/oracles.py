@@ -459,6 +459,23 @@ def _lists(kind: str, value: str) -> str:
         FROM en WHERE en.request_id = hd.request_id AND kind = '{kind}'), '') AS {kind}"""
 
 
+def _json_list(kind: str, value: str) -> str:
+    return f"""'"{kind}":[' || coalesce((SELECT string_agg({value}, ',' ORDER BY team, section, player_id)
+        FROM en WHERE en.request_id = hd.request_id AND kind = '{kind}'), '') || ']'"""
+
+
+_PROFILE_ANSWER = [
+    "weight", "fouls", "goals", '"ownGoals"', "percent_pass_accuracy", "percent_shots_on_target",
+]
+_JSON_NAME = """'"' || name || '"'"""
+_JSON_GOALS = """'{"name":"' || name || '","team_name":"' || team_name || '","number_of_goals":' || amount || '}'"""
+
+
+def _json_field(name: str, quoted: bool) -> str:
+    value = f"""'"' || {name} || '"'""" if quoted else f"CAST({name} AS VARCHAR)"
+    return f"""coalesce(',"{name.strip('"')}":' || {value}, '')"""
+
+
 ORACLES: dict[str, str] = {
     "classify_events": _with(("cl",), "SELECT * EXCLUDE (event_id) FROM cl"),
     "counters": _COUNTERS,
@@ -640,6 +657,23 @@ ORACLES: dict[str, str] = {
               {_lists("own_goals", "name || '|' || team_name || '|' || amount")}
             FROM hd""",
     ),
+    "match_answers_json": _with(
+        ("en",),
+        f"""SELECT request_id, '{{"request_id":' || request_id || {_json_field("date", True)}
+              || {_json_field("duration", True)} || {_json_field("winner", True)}
+              || {_json_field("gameweek", False)} || {_json_field("venue", True)} || ','
+              || {_json_list("red_cards", _JSON_NAME)} || ','
+              || {_json_list("yellow_cards", _JSON_NAME)} || ','
+              || {_json_list("goals", _JSON_GOALS)} || ','
+              || {_json_list("own_goals", _JSON_GOALS)} || '}}' AS answer
+            FROM hd""",
+    ),
+    "kmeans_checks": _with(
+        ("fp",),
+        """SELECT count(*) AS players, least(5, count(*)) AS clusters, true AS at_nearest, true AS same_again,
+             true AS means_fit FROM fp""",
+    ),
+    "profile_csv": _PROFILE,
     "route_requests": """
         SELECT o_orderkey AS request_id, CASE WHEN o_orderkey % 4 < 2
           THEN CAST(o_orderkey % 4 + 1 AS INTEGER) ELSE 3 END AS route FROM orders""",
@@ -697,3 +731,10 @@ ORACLES: dict[str, str] = {
     ),
     "stream_profile": _PROFILE,
 }
+
+ORACLES["profile_answers_json"] = f"""SELECT request_id, '{{"request_id":' || request_id
+    || {_json_field("name", True)} || {_json_field("registered", False)}
+    || {" || ".join(_json_field(c, True) for c in ("birth_area", "birth_date", "foot", "role"))}
+    || {_json_field("height", False)} || {_json_field("passport_area", True)}
+    || {" || ".join(_json_field(c, False) for c in _PROFILE_ANSWER)} || '}}' AS answer
+  FROM ({ORACLES["player_profile"]})"""

@@ -17,6 +17,7 @@ from ..operators import models as model_ops
 from ..operators import profiles as profile_ops
 from ..operators import ratings as rating_ops
 from ..operators import records as record_ops
+from ..schemas import PROFILE
 from ..session import scratch_folder
 from ..sources import files
 from ..streaming import jobs, joined
@@ -194,19 +195,54 @@ def assign_nearest(spark, sf_dir):
     ).select("player_id", "cluster")
 
 
+def _stored_profile(spark, sf_dir):
+    """Final profiles, written once: a fit reads them many times."""
+    path = scratch_folder(spark, "profile")
+    _final_profile(spark, sf_dir).write.parquet(path)
+    return spark.read.schema(PROFILE).parquet(path)
+
+
 def kmeans_clusters(spark, sf_dir):
-    profile = _final_profile(spark, sf_dir)
+    profile = _stored_profile(spark, sf_dir)
     model = model_ops.fit_clusters(profile)
     return model_ops.predict_clusters(model, profile).select("player_id", "cluster")
 
 
 def kmeans_cold_start(spark, sf_dir):
-    profile = _final_profile(spark, sf_dir)
+    profile = _stored_profile(spark, sf_dir)
     model = model_ops.fit_clusters(profile)
     clustered = model_ops.predict_clusters(model, profile)
     return rounded(model_ops.cold_start(clustered, RARE_MATCHES).drop("cluster"))
 
 
+def kmeans_checks(spark, sf_dir):
+    """What holds for every fit: each profile is at the nearest fitted centre, a fit with the same seed
+    is the same, and once the steps change nothing more, the centres are the means of their profiles."""
+    profile = _stored_profile(spark, sf_dir)
+
+    def centers(model):
+        rows = [(i, *map(float, c)) for i, c in enumerate(model.stages[-1].clusterCenters())]  # k rows
+        names = ", ".join(f"{c} double" for c in model_ops.FEATURES)
+        return spark.createDataFrame(rows, f"cluster int, {names}")
+
+    model = model_ops.fit_clusters(profile)
+    fitted, again = centers(model), centers(model_ops.fit_clusters(profile))
+    settled = model_ops.fit_clusters(profile, max_iter=200)
+    clustered = model_ops.predict_clusters(model, profile)
+    nearest = model_ops.assign_clusters(profile, fitted).select("player_id", F.col("cluster").alias("nearest"))
+    means = model_ops.cluster_centers(model_ops.predict_clusters(settled, profile))
+    gaps = means.alias("a").join(centers(settled).alias("b"), "cluster")
+    gap = F.greatest(*[F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) for c in model_ops.FEATURES])
+    same = fitted.exceptAll(again).isEmpty()
+    counted = clustered.join(nearest, "player_id").agg(
+        F.count("*").alias("players"),
+        F.countDistinct("cluster").alias("clusters"),
+        F.bool_and(F.col("cluster") == F.col("nearest")).alias("at_nearest"),
+        F.lit(same).alias("same_again"),
+    )
+    return counted.crossJoin(gaps.agg((F.max(gap) < 1e-6).alias("means_fit")))  # one row each
+
+
 # Requests ---------------------------------------------------------------------------------
 
 
@@ -370,6 +406,10 @@ def match_answers_json(spark, sf_dir):
     return answers.as_json(_match_details(spark, sf_dir))
 
 
+def profile_answers_json(spark, sf_dir):
+    return answers.as_json(player_profile(spark, sf_dir))
+
+
 def route_requests(spark, sf_dir):
     """Requests written as JSON, with the type left out where there is none, and read back."""
     lines = bind.requests(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
@@ -449,6 +489,13 @@ def profile_tsv(spark, sf_dir):
     return rounded(files.read_profile(spark, path, sep="\t"))
 
 
+def profile_csv(spark, sf_dir):
+    """The profile with commas instead of tabs."""
+    path = scratch_folder(spark, "profile")
+    files.write_profile(_final_profile(spark, sf_dir), path, sep=",")
+    return rounded(files.read_profile(spark, path, sep=","))
+
+
 def predictions_csv(spark, sf_dir):
     path = scratch_folder(spark, "predictions")
     grid = model_ops.predict_grid(_curve(spark, sf_dir))
@@ -719,6 +766,7 @@ QUERIES: dict[str, Query] = {
         assign_nearest,
         kmeans_clusters,
         kmeans_cold_start,
+        kmeans_checks,
         roster_checks,
         retired,
         fallback_rating,
@@ -732,6 +780,7 @@ QUERIES: dict[str, Query] = {
         resolve_players,
         match_details,
         match_answers_json,
+        profile_answers_json,
         route_requests,
         first_event,
         parse_records,
@@ -741,6 +790,7 @@ QUERIES: dict[str, Query] = {
         matches_file,
         players_csv,
         profile_tsv,
+        profile_csv,
         predictions_csv,
         chemistry_text,
         stream_counters,

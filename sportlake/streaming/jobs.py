@@ -92,11 +92,11 @@ def start_records(
     """Keeps typed matches and events, and the malformed lines in quarantine."""
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        _write(_first_matches(batch), out, "matches", batch_id)
-        _write(record_ops.event_records(batch), out, "events", batch_id)
-        _write(record_ops.bad_lines(batch), out, "bad_lines", batch_id)
-        batch.unpersist()
+        parsed = _parsed(batch).persist()
+        _write(_first_matches(parsed), out, "matches", batch_id)
+        _write(record_ops.event_records(parsed), out, "events", batch_id)
+        _write(record_ops.bad_lines(parsed).select("value"), out, "bad_lines", batch_id)
+        parsed.unpersist()
 
     return _start(lines, "append", keep, checkpoint, interval)
 
@@ -129,12 +129,12 @@ def start_facts(
     """
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        counted = event_ops.counters(event_ops.classify(record_ops.event_records(batch)))
+        parsed = _parsed(batch).persist()
+        counted = event_ops.counters(event_ops.classify(record_ops.event_records(parsed)))
         _write(counted, out, "fact_counts", batch_id)
-        listed = appearance_ops.appearances(_first_matches(batch))
+        listed = appearance_ops.appearances(_first_matches(parsed))
         _write(listed, out, "fact_appearances", batch_id)
-        batch.unpersist()
+        parsed.unpersist()
 
     return _start(lines, "append", keep, checkpoint, interval, after)
 
@@ -225,11 +225,15 @@ def stream(
     return reader.parquet(f"{out}/{table}").where(F.col("batch_id") > tables.NONE)
 
 
-def _first_matches(batch: DataFrame) -> DataFrame:
-    """Matches of a batch, in the first form sent: files by their time, then lines."""
+def _parsed(batch: DataFrame) -> DataFrame:
+    """Lines of a batch, parsed once, with their order of arrival: files by their time, then lines."""
     known = [c for c in SENT if c in batch.columns]
-    numbered = batch.select("value", *known, F.monotonically_increasing_id().alias("arrival"))
-    return record_ops.first_matches(numbered, [*known, "arrival"])
+    return record_ops.parsed(batch.select("value", *known, F.monotonically_increasing_id().alias("arrival")))
+
+
+def _first_matches(lines: DataFrame) -> DataFrame:
+    """Matches of a batch, in the first form sent."""
+    return record_ops.first_matches(lines, [c for c in (*SENT, "arrival") if c in lines.columns])
 
 
 def finish(query: StreamingQuery, timeout: int | None = None) -> None:
