@@ -21,7 +21,7 @@ from ..schemas import PROFILE
 from ..session import scratch_folder
 from ..sources import files
 from ..streaming import jobs, joined
-from . import answers
+from . import answers, season
 from . import bindings as bind
 from .oracles import OFF_TIES, PLACES
 
@@ -295,13 +295,17 @@ def win_chance_centered(spark, sf_dir):
     return rounded(_match_chances(spark, sf_dir, centered=True))
 
 
+def _season(spark, sf_dir):
+    return season.prepare(bind.players(spark, sf_dir), bind.rating_history(spark, sf_dir))
+
+
 def _answered(spark, sf_dir, answer, asked):
-    history = bind.rating_history(spark, sf_dir)
+    prepared = _season(spark, sf_dir)
     return answer(
         asked,
-        bind.players(spark, sf_dir),
-        rating_ops.latest(history),
-        chemistry_ops.chemistry(history),
+        prepared.players,
+        prepared.latest,
+        prepared.chemistry,
         quotas=FIXTURE_QUOTAS,
         threshold=FIXTURE_RETIRED_RATING,
     )
