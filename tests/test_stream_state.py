@@ -9,7 +9,7 @@ import time
 
 import pytest
 from pyspark.sql import functions as F
-from seasons import event_record, match_record, players_table, random_season
+from seasons import event_record, match_record, players_table, random_season, rated_by_loop
 
 from sportlake.operators import appearances, chemistry, events, models, ratings, records
 from sportlake.streaming import jobs, joined, state, tables
@@ -173,6 +173,92 @@ def test_pairs_read_what_the_batch_touches():
     assert list(processor.handleInputRows((7, 0, 0), iter([row]), None)) == []
 
 
+class Calls:
+    """State of one key in memory that counts how often it is asked."""
+
+    def __init__(self):
+        self.calls, self.rows = 0, {}
+
+    def getValueState(self, name, schema):
+        return Calls.One(self, name)
+
+    def getMapState(self, name, key, schema):
+        return Calls.Map(self, name)
+
+    class One:
+        def __init__(self, owner, name):
+            self.owner, self.name = owner, name
+
+        def get(self):
+            self.owner.calls += 1
+            return self.owner.rows.get(self.name)
+
+        def exists(self):
+            return self.get() is not None
+
+        def update(self, value):
+            self.owner.calls += 1
+            self.owner.rows[self.name] = value
+
+    class Map(One):
+        def getValue(self, key):
+            self.owner.calls += 1
+            return self.owner.rows.get((self.name, key))
+
+        def updateValue(self, key, value):
+            self.owner.calls += 1
+            self.owner.rows[self.name, key] = value
+
+        def iterator(self):
+            self.owner.calls += 1
+            return iter([(k[1], v) for k, v in self.owner.rows.items() if k[0] == self.name])
+
+
+def _player_rows(order, batch):
+    """Rows of one player's matches, on days out of order and with gains of their own."""
+    day = datetime.date(2024, 1, 1)
+    for m in order:
+        yield {"kind": "listed", "match_id": m, "match_date": day + datetime.timedelta(days=m // 2), "team_id": "t",
+               "age": 20, "weight": 0.5 + m % 3 / 4, "gain": 0.0, "batch_id": batch}
+        yield {"kind": "counted", "match_id": m, "gain": m % 7 / 10 + batch / 100, "batch_id": batch}
+
+
+def _rated_in_batches(batches):
+    """Last rating of each match, and the calls of the state, of one player's matches in batches."""
+    handle, found, calls = Calls(), {}, []
+    processor = state.Ratings()
+    processor.init(handle)
+    for n, order in enumerate(batches):
+        before = handle.calls
+        for r in processor.handleInputRows((1,), _player_rows(order, n), None):
+            found[r.match_date, r.match_id] = (r.rating, r.delta, r.matches)
+        calls.append(handle.calls - before)
+    return found, calls
+
+
+@pytest.mark.parametrize("kept", [2, 3, 10, 1000])
+def test_matches_that_left_the_recent_row_rate_the_same(monkeypatch, kept):
+    monkeypatch.setattr(state, "KEPT", kept)
+    batches = [range(20, 40), range(0, 20, 3), [41, 25, 1], range(30), [5], range(38, 60)]
+    last = {m: n for n, order in enumerate(batches) for m in order}
+    found, _ = _rated_in_batches(batches)
+    steps = [(0.5 + m % 3 / 4, m % 7 / 10 + last[m] / 100) for m in sorted(last)]
+    want = rated_by_loop(steps)
+    assert [m for _, m in sorted(found)] == sorted(last)
+    assert [found[k] for k in sorted(found)] == [pytest.approx(w, abs=1e-12) for w in want]
+
+
+def test_state_is_asked_by_player_and_not_by_match():
+    """A call goes to another process; thirty matches of a player and a late one take a few."""
+    _, calls = _rated_in_batches([range(10, 40), [3], range(40, 50)])
+    assert max(calls) <= 3
+    handle, processor = Calls(), state.Pairs()
+    processor.init(handle)
+    squad = [{"player_id": p, "team_id": "t", "delta": 0.1 * p, "block": 0, "batch_id": 0} for p in range(24)]
+    assert len(list(processor.handleInputRows((7, 0, 0), iter(squad), None))) == 24 * 23 // 2
+    assert handle.calls <= 3
+
+
 def test_processors_load_without_the_package(tmp_path):
     """Workers on a cluster, or started elsewhere, do not see this package."""
     from pyspark import cloudpickle
