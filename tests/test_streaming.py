@@ -160,3 +160,20 @@ def test_order_of_arrival_does_not_matter(spark, tmp_path, season):
     _write(folder, "c", rest[2::3])
     _run(spark, folder, out, max_files=1)
     _same(spark, out, season)
+
+
+def test_what_a_batch_keeps_in_memory_is_smaller_than_its_lines(spark):
+    """Three steps read the lines of a batch; every one reads all that is kept of them."""
+    lines = [event_record(m, p, 8, (101, 302, 1801)) for m in range(200) for p in range(50)]
+    lines += [match_record(1, 1, {"1": ([1, 2], [3], [])}), "no record", '{"wyId": 2, "eventId": 8, "playerId": 4}']
+    frame = spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1)
+    parsed = records.parsed(frame)
+    kept = records.compact(parsed).persist()
+    try:
+        assert sorted(map(str, records.event_records(kept).collect())) == sorted(map(str, records.event_records(parsed).collect()))
+        assert records.match_records(kept).collect() == records.match_records(parsed).collect()
+        assert [r.value for r in records.bad_lines(kept).collect()] == ["no record"]
+        size = sum(i.memSize() for i in spark.sparkContext._jsc.sc().getRDDStorageInfo())
+    finally:
+        kept.unpersist()
+    assert size < sum(map(len, lines))
