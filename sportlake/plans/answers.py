@@ -9,6 +9,8 @@ from .. import codes
 from ..functions import age_floor, as_percent, fix_label, is_positive, iso_date, ratio
 from ..operators.containment import contained_names, first_contained
 from ..operators.records import first_per_key
+from ..session import scratch_folder
+from .season import kept
 
 WIN_CHANCE, PROFILE, MATCH = 1, 2, 3
 
@@ -188,6 +190,12 @@ def member_ratings(
     age on the request's date, and 0.5 beyond the predicted ages.
     """
     rated = members.join(latest.select("player_id", "rating"), "player_id", "left")
+    return _filled_ratings(rated, players, predictions)
+
+
+def _filled_ratings(
+    rated: DataFrame, players: DataFrame, predictions: DataFrame | None
+) -> DataFrame:
     if predictions is None:
         filled = fallback_rating(rated, None)
     else:
@@ -290,20 +298,18 @@ def fixture_answers(
     side 2, then retired players, whom ``retired_names`` lists. Only fixtures with status
     ``ok`` have chances.
     """
-    resolved = members.join(resolve_players(members, players), "name", "left")
-    rated = member_ratings(resolved, players, latest, predictions)
-    found = F.col("player_id").isNotNull()
-    rosters = resolved.where(found).select("fixture_id", "side", "player_id")
-    excess = _chemistry_excess(rosters, chemistry)
+    rated = _rated_members(members, players, latest, chemistry, predictions)
+    excess = _chemistry_excess(rated.where("met"), chemistry)
     counted = [
         F.count_if((F.col("side") == side) & (F.col("role") == role)).alias(f"{role}_{side}")
         for side in (1, 2)
         for role in quotas
     ]
     listed = [F.count_if(F.col("side") == side).alias(f"listed_{side}") for side in (1, 2)]
-    retired_rating = F.col("rating") < threshold
-    gone = F.count_if(retired_rating).alias("retired")
-    names = F.array_sort(F.collect_set(F.when(retired_rating, F.col("name")))).alias("names")
+    below = retired(rated, threshold)
+    names = below.groupBy(F.col("fixture_id").alias("retired_id")).agg(
+        F.count("*").alias("retired"), F.array_sort(F.collect_set("name")).alias("names")
+    )
     status = (
         F.when((F.col("listed_1") == 0) | ~_quotas_hold(quotas, "{}_1"), "team 1 invalid")
         .when((F.col("listed_2") == 0) | ~_quotas_hold(quotas, "{}_2"), "team 2 invalid")
@@ -312,7 +318,8 @@ def fixture_answers(
     )
     return (
         rated.groupBy("fixture_id")
-        .agg(*_side_sums(), *counted, *listed, gone, names)
+        .agg(*_side_sums(), *counted, *listed)
+        .join(names, F.expr("fixture_id <=> retired_id"), "left")
         .join(excess, "fixture_id", "left")
         .selectExpr("*", _CHEM)
         .selectExpr("*", _chance(centered))
@@ -327,6 +334,32 @@ def fixture_answers(
     )
 
 
+def _rated_members(
+    members: DataFrame,
+    players: DataFrame,
+    latest: DataFrame,
+    chemistry: DataFrame,
+    predictions: DataFrame | None,
+) -> DataFrame:
+    """Members with ``player_id, role, rating`` and ``met``, whether their player has any coefficient.
+
+    What follows from a name is looked up once for each name, and members take it by one join. Names and
+    members are written, since each is read several times from here on.
+    """
+    spark = members.sparkSession
+    wanted = members.select("name").where("name IS NOT NULL").distinct()
+    wanted = kept(wanted, scratch_folder(spark, "names"))
+    paired = chemistry.select(F.explode(F.array("player_a", "player_b")).alias("player_id")).distinct()
+    known = (
+        resolve_players(wanted, players)
+        .join(latest.select("player_id", "rating"), "player_id", "left")
+        .join(paired.withColumn("met", F.lit(True)), "player_id", "left")
+    )
+    rated = _filled_ratings(members.join(known, "name", "left"), players, predictions)
+    rated = rated.select("fixture_id", "side", "name", "player_id", "role", "rating", "met")
+    return kept(rated, scratch_folder(spark, "members"))
+
+
 def win_chance_answers(
     requests: DataFrame,
     players: DataFrame,

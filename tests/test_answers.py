@@ -183,6 +183,31 @@ def test_fixture_checks_in_order(spark):
     ]
 
 
+def test_fixtures_read_their_members_before_they_are_answered(spark, tmp_path):
+    players = _players(spark, [(i, f"P{i}", "MD") for i in range(1, 8)])
+    rows = [(1, 1, "P1"), (1, 1, "P2"), (1, 1, "P2"), (1, 2, "P3"), (1, 2, "P4"), (1, 2, "nobody"), (1, 2, None)]
+    rows += [(2, 1, "P5"), (2, 2, "P6"), (3, 1, "P1"), (3, 2, "P7"), (None, 1, "P7"), (None, 2, "P1")]
+    schema = "fixture_id long, side int, date string, name string"
+    sent = spark.createDataFrame([(f, s, "2020-01-01", n) for f, s, n in rows], schema)
+    sent.write.parquet(f"{tmp_path}/members")
+    members = spark.read.schema(schema).parquet(f"{tmp_path}/members")
+    latest = spark.createDataFrame([(1, 0.2), (3, 0.4), (5, 0.6), (7, -0.3)], "player_id long, rating double")
+    # Player 2 has coefficients without a rating, player 5 a rating without coefficients.
+    known = {(1, 3): 0.9, (2, 3): 0.7, (2, 4): 0.1}
+    chem = spark.createDataFrame([(a, b, c) for (a, b), c in known.items()], "player_a long, player_b long, coeff double")
+    found = answers.fixture_answers(members, players, latest, chem, quotas={"GK": (0, 0), "MD": (1, None)})
+    assert not [f for f in found.inputFiles() if f"{tmp_path}/members" in f]
+    got = {r.fixture_id: r for r in found.collect()}
+    pairs = [(1, 3), (1, 4), (2, 3), (2, 4), (2, 3), (2, 4)]
+    c = sum(known.get(p, 0.5) for p in pairs) / len(pairs)
+    one, two = (0.2 + 0.5 + 0.5) / 3 * c, (0.4 + 0.5) / 2 * c
+    assert got[1].status == "ok" and got[1].chance_1 == pytest.approx((0.5 + one + (one + two) / 2) * 100)
+    assert got[2].chance_1 == pytest.approx((0.5 + 0.3 + (0.3 + 0.25) / 2) * 100)
+    for fixture in (3, None):
+        assert (got[fixture].status, got[fixture].retired_names, got[fixture].chance_1) == ("retired players", ["P7"], None)
+    assert len(got) == 4
+
+
 def test_fallback_ratings(spark):
     rated = spark.createDataFrame(
         [(1, 0.3, 20), (2, None, 20), (3, None, 99)], "player_id long, rating double, age int"
