@@ -38,7 +38,10 @@ def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that occur more than once in the texts of ``documents``, removed."""
+    """Strings of 400 bytes that occur more than once in the texts of ``documents``, removed.
+
+    ``n_shared`` tells shorter passages, from 250 bytes on, of which nothing is removed.
+    """
     return repeated_spans(read_table(spark, sf_dir, "documents"), length=400).drop("spans")
 
 

@@ -72,3 +72,61 @@ def test_multikey_order():
 def test_leftmost_smallest():
     values = np.array([5, 3, 3, 9, 1, 7, 7, 7, 2], np.uint64) << np.uint64(40)
     assert leftmost_smallest(values, 3).tolist() == [1, 1, 4, 4, 4, 5, 8]
+
+
+def starts(data, size):
+    """How often each string of ``size`` bytes starts in the texts."""
+    seen = {}
+    for b in data:
+        for i in range(len(b) - size + 1):
+            seen[b[i : i + size]] = seen.get(b[i : i + size], 0) + 1
+    return seen
+
+
+def test_passages_shorter_than_a_window_are_told(frame):
+    texts = {i: prose(500 + i, 150) for i in range(24)}
+    for i in range(0, 12, 2):
+        words = prose(900 + i, 70).split(" ")
+        passage = " ".join(words[: next(n for n in range(51, 71) if len(" ".join(words[:n])) >= 260)])
+        assert len(passage.encode()) < 390
+        for doc, at in ((i, 200), (i + 1, 330)):
+            texts[doc] = texts[doc][:at] + " " + passage + " " + texts[doc][at:]
+    found = {r.doc_id: r for r in repeated_spans(frame(list(texts.items())), 400).collect()}
+    assert all(r.n_removed == 0 for r in found.values())
+    assert {doc for doc, r in found.items() if r.n_shared >= 125} == set(range(12))
+    assert all(found[doc].n_shared == 0 for doc in range(12, 24))
+
+
+def test_shared_bytes_between_gram_and_short(frame):
+    passage = prose(70, 60)
+    rows = [(i, prose(300 + i, 30) + passage[i : i + 12 + 3 * i] + prose(400 + i, 20)) for i in range(20)]
+    rows += [(50, passage[:39]), (51, passage[:40]), (52, "ab" * 100), (53, passage[:25] * 4), (54, None)]
+    data = [(t or "").encode() for _, t in rows]
+    grams, shorts = starts(data, 20), starts(data, 40)
+    found = {r.doc_id: r.n_shared for r in repeated_spans(frame(rows), 64).collect()}
+    for (doc, _), b in zip(rows, data, strict=True):
+        covered = np.zeros(len(b), bool)
+        for i in range(len(b) - 19):
+            if grams[b[i : i + 20]] > 1:
+                covered[i : i + 20] = True
+        assert found[doc] <= covered.sum()
+        if any(shorts[b[i : i + 40]] > 1 for i in range(len(b) - 39)):
+            assert found[doc] >= 20
+    assert found[51] >= 20 and found[54] == 0 and 0 in found.values()
+
+
+def test_segments_list_each_short_anchor_once(monkeypatch):
+    from sportlake.llm import suffixes
+
+    data = np.frombuffer(prose(1, 300).encode(), np.uint8)
+    found = []
+    for size in (300, 1 << 20):
+        monkeypatch.setattr(suffixes, "SEGMENT", size)
+        parts = []
+        for _, core, _, at, low, _ in suffixes._runs(data, 64, 40):
+            own = suffixes._shared(at, low)
+            parts.append((at[own], core[own]))
+        at, core = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(at)
+        found.append((at[order].tolist(), core[order].tolist()))
+    assert found[0] == found[1] and len(set(found[0][0])) == len(found[0][0])
